@@ -53,17 +53,19 @@ def rank(spark: SparkSession, vertices: DataFrame, resolved: DataFrame,
     p = min(1.0, max(0.0, float(teleport)))
     parts = _partitions(spark)
     checkpoint_dir(spark)
-    verts = (vertices.select("id").distinct().repartition(parts, "id")
-             .persist(StorageLevel.MEMORY_AND_DISK))
+    # Inputs are written to the checkpoint folder once: the loop's plans then
+    # start from files, not from the page parsing that produced the graph.
+    verts = vertices.select("id").distinct().repartition(parts, "id").checkpoint()
     n = verts.count()
     if n == 0:
         return RankResult(verts.withColumn("rank", F.lit(None).cast("double")), [])
-    edges = (G.weighted_edges(resolved).repartition(parts, "src")
+    edges = (G.weighted_edges(resolved).repartition(parts, "src").checkpoint()
              .persist(StorageLevel.MEMORY_AND_DISK))
     has_out = edges.select(F.col("src").alias("id")).distinct().withColumn("has_out", F.lit(True))
     verts_flag = (verts.join(has_out, "id", "left")
                   .select("id", F.coalesce("has_out", F.lit(False)).alias("has_out"))
                   .repartition(parts, "id")
+                  .checkpoint()
                   .persist(StorageLevel.MEMORY_AND_DISK))
 
     # Uniform start; x is kept as (id, raw) with x = raw * scale.
