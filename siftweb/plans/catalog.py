@@ -22,6 +22,7 @@ from siftweb.operators import rank as R
 from siftweb.operators import search as S
 from siftweb.session import read_table
 from siftweb.sources import fetchlog, nodestore
+from siftweb.streaming import pages_stream as ST
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -67,9 +68,9 @@ def merged(spark, sf):
     return D.merge_duplicates(page_nodes(spark, sf))
 
 
-def doc_nodes(spark, sf) -> DataFrame:
+def doc_nodes(spark, sf, docs: DataFrame | None = None) -> DataFrame:
     """Documents as nodes: lines are segments, first line is the title."""
-    docs = read_table(spark, sf, "documents")
+    docs = docs if docs is not None else read_table(spark, sf, "documents")
     lines = F.filter(F.transform(F.split(F.col("text"), "\n", -1), H.strip_ws), lambda s: s != "")
     staged = docs.select("doc_id", "source", "lang", lines.alias("lines"))
     content = F.when(F.size("lines") == 0, F.array(F.lit(""))).otherwise(F.col("lines"))
@@ -651,3 +652,61 @@ def q23(spark, sf):
     return res.select("query_id", F.col("position").cast("bigint").alias("position"), "id",
                       F.col("title_hits").cast("bigint").alias("title_hits"),
                       F.col("content_hits").cast("bigint").alias("content_hits"))
+
+
+# ------------------------------------------------------------ streaming
+
+def _pages_glob(sf: str) -> str:
+    return f"{sf.rstrip('/')}/pages*.parquet"
+
+
+@query("t1_stream_parse")
+def t1(spark, sf):
+    out, ck = ST.scratch(spark, "t1-out"), ST.scratch(spark, "t1-ckpt")
+    ST.run_to_table(ST.parse_stream(ST.read_pages_stream(spark, _pages_glob(sf))), out, ck)
+    return node_summary(spark.read.parquet(out))
+
+
+@query("t2_stream_content_dedup")
+def t2(spark, sf):
+    docs = (spark.readStream.schema(read_table(spark, sf, "documents").schema)
+            .parquet(f"{sf.rstrip('/')}/documents*.parquet"))
+    out, ck = ST.scratch(spark, "t2-out"), ST.scratch(spark, "t2-ckpt")
+    ST.run_to_table(ST.dedup_content(doc_nodes(spark, sf, docs)).select("content_hash"), out, ck)
+    return spark.read.parquet(out)
+
+
+@query("t3_stream_link_dedup")
+def t3(spark, sf):
+    out, ck = ST.scratch(spark, "t3-out"), ST.scratch(spark, "t3-ckpt")
+    nodes = ST.parse_stream(ST.read_pages_stream(spark, _pages_glob(sf)))
+    ST.run_to_table(ST.dedup_links(nodes), out, ck)
+    return spark.read.parquet(out)
+
+
+def store_summary(spark, store: str) -> DataFrame:
+    nodes, aliases = ST.read_store(spark, store)
+    counts = aliases.groupBy(F.col("node_id").alias("id")).agg(F.count(F.lit(1)).alias("n_urls"))
+    return nodes.select("id", "url", "content_hash").join(counts, "id")
+
+
+@query("t4_stream_store_merge")
+def t4(spark, sf):
+    store, ck = ST.scratch(spark, "t4-store"), ST.scratch(spark, "t4-ckpt")
+    ST.merge_stream(spark, ST.read_pages_stream(spark, _pages_glob(sf)), store, ck)
+    return store_summary(spark, store)
+
+
+@query("t5_stream_resume")
+def t5(spark, sf):
+    store, ck = ST.scratch(spark, "t5-store"), ST.scratch(spark, "t5-a")
+    ST.merge_stream(spark, ST.read_pages_stream(spark, _pages_glob(sf)), store, ck)
+    # Restart on the same checkpoint: nothing is processed twice.
+    ST.merge_stream(spark, ST.read_pages_stream(spark, _pages_glob(sf)), store, ck)
+    _, aliases = ST.read_store(spark, store)
+    # Restart with a fresh checkpoint: pages whose URL is stored are skipped.
+    ST.merge_stream(spark, ST.read_pages_stream(spark, _pages_glob(sf)), store, ST.scratch(spark, "t5-b"),
+                    known_urls=aliases.select(F.col("page_id"), "url").join(
+                        pages(spark, sf).select("page_id", F.col("url").alias("raw_url")), "page_id")
+                    .select(F.col("raw_url").alias("url")))
+    return store_summary(spark, store)
