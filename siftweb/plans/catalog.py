@@ -500,15 +500,15 @@ def d4(spark, sf):
 
 @query("d5_letter_shares")
 def d5(spark, sf):
-    docs = read_table(spark, sf, "documents")
-    shares = T.letter_shares(F.col("text"))
-    return docs.select("doc_id", *[F.round(s, 9).alias(f"share_{i:02d}") for i, s in enumerate(shares)])
+    docs = T.with_letter_shares(read_table(spark, sf, "documents").select("doc_id", "text"), "text")
+    return docs.select("doc_id", *[F.round(f"share_{i:02d}", 9).alias(f"share_{i:02d}")
+                                   for i in range(len(T.LETTERS))])
 
 
 @query("d6_guess_language")
 def d6(spark, sf):
-    docs = read_table(spark, sf, "documents")
-    return docs.select("doc_id", "lang", T.guess_language(F.col("text")).alias("guess"))
+    docs = read_table(spark, sf, "documents").select("doc_id", "lang", "text")
+    return T.with_language_guess(docs, "text").select("doc_id", "lang", "guess")
 
 
 @query("d7_match_buckets")

@@ -56,6 +56,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return conf
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer tasks than the cluster has
+    cores (a small file with one row group is read by one task).  A large
+    input already splits into many tasks and is left alone, so this never
+    adds a shuffle at scale.  Column pruning and filters still reach the
+    scan below the repartition."""
+    sc = df.sparkSession.sparkContext
+    want = sc.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one driver table (already-fetched pages and friends)."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
