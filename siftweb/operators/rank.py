@@ -43,7 +43,8 @@ def _partitions(spark: SparkSession) -> int:
 
 def rank(spark: SparkSession, vertices: DataFrame, resolved: DataFrame,
          teleport: float = 0.0, eps: float = DEFAULT_EPS,
-         max_iter: int = DEFAULT_MAX_ITER, checkpoint_every: int = 5) -> RankResult:
+         max_iter: int = DEFAULT_MAX_ITER, checkpoint_every: int = 5,
+         salt_min_edges: int = 100_000) -> RankResult:
     """Rank ``vertices(id)`` over ``resolved(src, dst)`` links.
 
     ``teleport`` p is clamped to [0, 1]; a step is ``(1-p)·M x + p/n``.
@@ -53,36 +54,59 @@ def rank(spark: SparkSession, vertices: DataFrame, resolved: DataFrame,
     p = min(1.0, max(0.0, float(teleport)))
     parts = _partitions(spark)
     checkpoint_dir(spark)
-    # Inputs are written to the checkpoint folder once: the loop's plans then
-    # start from files, not from the page parsing that produced the graph.
-    verts = vertices.select("id").distinct().repartition(parts, "id").checkpoint()
+    # Inputs are written to the checkpoint folder once, so the loop's plans
+    # start from files, not from whatever produced the graph.  Edges are
+    # then hash-partitioned on src and cached: the per-step join to the rank
+    # vector reads them in place.
+    weighted = G.weighted_edges(resolved).checkpoint()
+    n_edges = weighted.count()
+    # Hub sources are split into sub-buckets by target so that no single
+    # task joins a third of all edges; only hub rows of the rank vector are
+    # replicated (one per bucket).  The hub table is bounded: a source is a
+    # hub when it holds more than ``target`` edges, so there are at most
+    # n_edges / target <= 4 * partitions of them.
+    target = max(salt_min_edges, -(-n_edges // (4 * parts)))
+    hubs = (weighted.groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
+            .filter(F.col("deg") > target)
+            .select(F.col("src").alias("hub"), F.ceil(F.col("deg") / target).cast("int").alias("k")))
+    hub_rows = hubs.collect()
+    hubs = spark.createDataFrame(hub_rows, hubs.schema) if hub_rows else None
+    salted = weighted.withColumn("salt", F.lit(0))
+    if hubs is not None:
+        salted = (weighted.join(F.broadcast(hubs), weighted["src"] == hubs["hub"], "left")
+                  .withColumn("salt", F.when(F.col("k").isNull(), F.lit(0))
+                              .otherwise(F.pmod(F.xxhash64("dst"), F.col("k"))).cast("int"))
+                  .drop("hub", "k"))
+    edges = salted.repartition(parts, "src", "salt").persist(StorageLevel.MEMORY_AND_DISK)
+    has_out = weighted.select(F.col("src").alias("id")).distinct().withColumn("has_out", F.lit(True))
+    verts = (vertices.select("id").distinct().join(has_out, "id", "left")
+             .select("id", F.coalesce("has_out", F.lit(False)).alias("has_out"))
+             .checkpoint())
     n = verts.count()
     if n == 0:
-        return RankResult(verts.withColumn("rank", F.lit(None).cast("double")), [])
-    edges = (G.weighted_edges(resolved).repartition(parts, "src").checkpoint()
-             .persist(StorageLevel.MEMORY_AND_DISK))
-    has_out = edges.select(F.col("src").alias("id")).distinct().withColumn("has_out", F.lit(True))
-    verts_flag = (verts.join(has_out, "id", "left")
-                  .select("id", F.coalesce("has_out", F.lit(False)).alias("has_out"))
-                  .repartition(parts, "id")
-                  .checkpoint()
-                  .persist(StorageLevel.MEMORY_AND_DISK))
-
-    # Uniform start; x is kept as (id, raw) with x = raw * scale.
-    x = verts_flag.select("id", "has_out", F.lit(1.0 / n).alias("raw"))
+        return RankResult(verts.select("id", F.lit(None).cast("double").alias("rank")), [])
+    n_dangling = verts.filter(~F.col("has_out")).count()
+
+    # Uniform start; x is kept as (id, has_out, raw) with x = raw * scale.
+    x = (verts.select("id", "has_out", F.lit(1.0 / n).alias("raw"))
+         .repartition(parts, "id").persist(StorageLevel.MEMORY_AND_DISK))
     scale = 1.0
-    dangling_mass = verts_flag.filter(~F.col("has_out")).count() / n
+    dangling_mass = n_dangling / n
     history = []
-    prev = None
+    prev = x
     for step in range(max_iter):
-        contrib = (x.join(edges, x["id"] == edges["src"])
+        xs = x.withColumn("salt", F.lit(0))
+        if hubs is not None:
+            xs = (x.join(F.broadcast(hubs), x["id"] == hubs["hub"], "left")
+                  .withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("k"), F.lit(1)) - 1)))
+                  .drop("hub", "k"))
+        contrib = (xs.join(edges, (xs["id"] == edges["src"]) & (xs["salt"] == edges["salt"]))
                    .groupBy("dst")
                    .agg(F.sum(F.col("raw") * F.col("weight")).alias("c")))
         mx = F.coalesce(F.col("c"), F.lit(0.0)) * F.lit(scale) + F.lit(dangling_mass / n)
-        y = (verts_flag.join(contrib, verts_flag["id"] == contrib["dst"], "left")
-             .select("id", "has_out", ((1.0 - p) * mx + p / n).alias("y")))
-        cur = x.select(F.col("id").alias("xid"), (F.col("raw") * F.lit(scale)).alias("x"))
-        both = y.join(cur, y["id"] == cur["xid"])
+        both = (x.join(contrib, x["id"] == contrib["dst"], "left")
+                .select("id", "has_out", (F.col("raw") * F.lit(scale)).alias("x"),
+                        ((1.0 - p) * mx + p / n).alias("y")))
         if (step + 1) % checkpoint_every == 0:
             both = both.checkpoint()
         else:
@@ -102,8 +126,7 @@ def rank(spark: SparkSession, vertices: DataFrame, resolved: DataFrame,
         diff2 = st["xx"] - 2.0 * st["xy"] / l1 + st["yy"] / (l1 * l1)   # R6
         diff = math.sqrt(max(diff2, 0.0))
         history.append((step, float(l1), float(diff)))
-        if prev is not None:
-            prev.unpersist()
+        prev.unpersist()
         prev = both
         x = both.select("id", "has_out", F.col("y").alias("raw"))
         scale = 1.0 / l1                  # R4: renormalize lazily

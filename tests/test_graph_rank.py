@@ -110,3 +110,15 @@ def test_reachability(spark):
     start = spark.createDataFrame([("a",)], "id string")
     got = {r.id: r.depth for r in G.reachability(spark, e, start).collect()}
     assert got == {"a": 0, "b": 1, "c": 2, "d": 3}
+
+
+def test_hub_salting_keeps_result(spark):
+    ids = list(range(40))
+    links = [(0, d) for d in range(1, 40)] + [(d, 0) for d in range(1, 40)] + [(5, 6), (5, 6)]
+    v = spark.createDataFrame([(i,) for i in ids], "id long")
+    e = spark.createDataFrame(links, "src long, dst long")
+    res = R.rank(spark, v, e, teleport=0.1, eps=0.0, max_iter=5, salt_min_edges=3)
+    got = {r.id: r.rank for r in res.ranks.collect()}
+    exp = brute_rank(ids, links, 0.1, 5)
+    for k in ids:
+        assert got[k] == pytest.approx(exp[k], abs=1e-12)
