@@ -20,7 +20,7 @@ from siftweb.operators import graph as G
 from siftweb.operators import nodes as N
 from siftweb.operators import rank as R
 from siftweb.operators import search as S
-from siftweb.session import read_table
+from siftweb.session import checkpoint_dir, read_table
 from siftweb.sources import fetchlog, nodestore
 from siftweb.streaming import pages_stream as ST
 
@@ -647,7 +647,10 @@ def title_queries(spark, sf) -> DataFrame:
 
 @query("q23_batch_search")
 def q23(spark, sf):
-    nodes, _ = merged(spark, sf)
+    checkpoint_dir(spark)
+    # The node table is read twice (matching, then fields of the shown
+    # rows): write it once to the shared checkpoint folder, as a store.
+    nodes = merged(spark, sf)[0].checkpoint()
     res = S.batch_search(nodes, title_queries(spark, sf))
     return res.select("query_id", F.col("position").cast("bigint").alias("position"), "id",
                       F.col("title_hits").cast("bigint").alias("title_hits"),
