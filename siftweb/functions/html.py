@@ -72,10 +72,12 @@ SCRIPT_LINK_LENIENT_RE = "<a\\s[^<>]*?href\\s*=\\s*['\"]([^'\"]*)['\"][^<>]*>"
 
 
 def decode_entities(c: Column) -> Column:
-    """P10: decode the named character references in ENTITIES."""
+    """P10: decode the named character references in ENTITIES (text
+    without '&' skips the replace chain)."""
+    out = c
     for ent, ch in ENTITIES:
-        c = F.replace(c, F.lit(ent), F.lit(ch))
-    return c
+        out = F.replace(out, F.lit(ent), F.lit(ch))
+    return F.when(c.contains("&"), out).otherwise(c)
 
 
 def strip_ws(c: Column) -> Column:

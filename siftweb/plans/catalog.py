@@ -468,7 +468,8 @@ def r10(spark, sf):
 def r11(spark, sf):
     vertices, resolved = sp_graph(spark, sf)
     res = R.rank(spark, vertices, resolved, teleport=TELEPORT)
-    return res.history_df(spark)
+    return res.history_df(spark).select(
+        "step", r9("l1").alias("l1"), r9("diff").alias("diff"))
 
 
 # ------------------------------------------------------------ dedup, language
