@@ -123,16 +123,21 @@ def supplier_part_graph(lineitem: DataFrame, returnflag: str = "R"):
 
 
 def reachability(spark: SparkSession, edges: DataFrame, start: DataFrame,
-                 max_depth: int | None = None) -> DataFrame:
+                 max_depth: int | None = None, max_sites: int = 0) -> DataFrame:
     """Breadth-first reach from ``start(id)`` over ``edges(src, dst)``.
 
     Each vertex is reported once with its smallest depth.  One level per
     driver iteration: frontier join edges, minus everything visited.  The
     visited set is checkpointed to the shared checkpoint folder each level,
     so lineage stays short and a lost executor recomputes one level only.
+    ``max_sites`` > 0 caps the crawl: the level that crosses the cap keeps
+    its smallest ids only (a top-n on that level, the cap being the feature).
     """
     checkpoint_dir(spark)
-    adj = edges.select("src", "dst").distinct()
+    # Distinct adjacency written once, hash-partitioned on src for the
+    # per-level join (not recomputed at every level).
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    adj = edges.select("src", "dst").distinct().repartition(parts, "src").checkpoint()
     visited = start.select("id").distinct().withColumn("depth", F.lit(0)).checkpoint()
     current = visited
     depth = 0
@@ -146,6 +151,13 @@ def reachability(spark: SparkSession, edges: DataFrame, start: DataFrame,
                .checkpoint())
         if nxt.isEmpty():
             break
+        if max_sites > 0:
+            room = max_sites - visited.count()
+            if room <= 0:
+                break
+            nxt = nxt.orderBy("id").limit(room).checkpoint()
         visited = visited.unionByName(nxt).checkpoint()
         current = nxt
+    if max_sites > 0:
+        visited = visited.orderBy("depth", "id").limit(max_sites)
     return visited

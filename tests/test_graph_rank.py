@@ -122,3 +122,10 @@ def test_hub_salting_keeps_result(spark):
     exp = brute_rank(ids, links, 0.1, 5)
     for k in ids:
         assert got[k] == pytest.approx(exp[k], abs=1e-12)
+
+
+def test_reachability_cap(spark):
+    e = spark.createDataFrame([("a", "b"), ("a", "c"), ("b", "d"), ("c", "e")], "src string, dst string")
+    start = spark.createDataFrame([("a",)], "id string")
+    got = {r.id: r.depth for r in G.reachability(spark, e, start, max_sites=4).collect()}
+    assert got == {"a": 0, "b": 1, "c": 1, "d": 2}

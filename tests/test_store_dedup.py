@@ -78,3 +78,23 @@ def test_language_guess(spark):
     shares = df.select(*T.letter_shares(F.col("t"))).collect()
     assert shares[2][26] == 0.0          # 'ß' upper-cases to 'SS', never counted
     assert shares[3][0] is None
+
+
+def test_save_clear_and_upsert(spark):
+    import tempfile
+    path = tempfile.mkdtemp(prefix="siftweb-store-") + "/nodes"
+    first = spark.createDataFrame([
+        (None, "u1", 1, ["a"], [], "de", -1.0, "t1", "h1"),
+        (None, "u2", 1, ["b"], [], "de", -1.0, "t2", "h2")], COLS)
+    stored = nodestore.save(spark, path, first, clear=True)
+    assert sorted((r.id, r.url) for r in stored.collect()) == [(1, "u1"), (2, "u2")]
+    second = spark.createDataFrame([
+        (2, "u2", 1, None, [], "de", 0.5, "t2", "h2"),
+        (None, "u3", 1, ["c"], [], "en", -1.0, "t3", "h3")], COLS)
+    stored = nodestore.save(spark, path, second)
+    rows = {r.id: r for r in stored.collect()}
+    assert sorted(rows) == [1, 2, 3] and rows[2].content == ["b"] and rows[2].importance == 0.5
+    assert nodestore.scan(spark, path, with_content=False).columns == [
+        "id", "url", "n_urls", "out_links", "language", "importance", "title", "content_hash"]
+    again = nodestore.save(spark, path, first, clear=True)
+    assert again.count() == 2
