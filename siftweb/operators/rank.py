@@ -59,18 +59,22 @@ def rank(spark: SparkSession, vertices: DataFrame, resolved: DataFrame,
     # then hash-partitioned on src and cached: the per-step join to the rank
     # vector reads them in place.
     weighted = G.weighted_edges(resolved).checkpoint()
-    n_edges = weighted.count()
+    deg = weighted.groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
+    dstats = deg.agg(F.sum("deg").alias("m"), F.max("deg").alias("top")).first()
+    n_edges, top = dstats["m"] or 0, dstats["top"] or 0
     # Hub sources are split into sub-buckets by target so that no single
     # task joins a third of all edges; only hub rows of the rank vector are
     # replicated (one per bucket).  The hub table is bounded: a source is a
     # hub when it holds more than ``target`` edges, so there are at most
     # n_edges / target <= 4 * partitions of them.
     target = max(salt_min_edges, -(-n_edges // (4 * parts)))
-    hubs = (weighted.groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
-            .filter(F.col("deg") > target)
-            .select(F.col("src").alias("hub"), F.ceil(F.col("deg") / target).cast("int").alias("k")))
-    hub_rows = hubs.collect()
-    hubs = spark.createDataFrame(hub_rows, hubs.schema) if hub_rows else None
+    hubs = None
+    if top > target:
+        hub_rows = (deg.filter(F.col("deg") > target)
+                    .select(F.col("src").alias("hub"),
+                            F.ceil(F.col("deg") / target).cast("int").alias("k")).collect())
+        hubs = spark.createDataFrame(hub_rows, "hub " + weighted.schema["src"].dataType.simpleString()
+                                     + ", k int")
     salted = weighted.withColumn("salt", F.lit(0))
     if hubs is not None:
         salted = (weighted.join(F.broadcast(hubs), weighted["src"] == hubs["hub"], "left")
@@ -78,14 +82,15 @@ def rank(spark: SparkSession, vertices: DataFrame, resolved: DataFrame,
                               .otherwise(F.pmod(F.xxhash64("dst"), F.col("k"))).cast("int"))
                   .drop("hub", "k"))
     edges = salted.repartition(parts, "src", "salt").persist(StorageLevel.MEMORY_AND_DISK)
-    has_out = weighted.select(F.col("src").alias("id")).distinct().withColumn("has_out", F.lit(True))
+    has_out = deg.select(F.col("src").alias("id"), F.lit(True).alias("has_out"))
     verts = (vertices.select("id").distinct().join(has_out, "id", "left")
              .select("id", F.coalesce("has_out", F.lit(False)).alias("has_out"))
              .checkpoint())
-    n = verts.count()
+    vstats = verts.agg(F.count(F.lit(1)).alias("n"),
+                       F.count_if(~F.col("has_out")).alias("nd")).first()
+    n, n_dangling = vstats["n"], vstats["nd"]
     if n == 0:
         return RankResult(verts.select("id", F.lit(None).cast("double").alias("rank")), [])
-    n_dangling = verts.filter(~F.col("has_out")).count()
 
     # Uniform start; x is kept as (id, has_out, raw) with x = raw * scale.
     x = (verts.select("id", "has_out", F.lit(1.0 / n).alias("raw"))
