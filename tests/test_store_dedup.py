@@ -98,3 +98,23 @@ def test_save_clear_and_upsert(spark):
         "id", "url", "n_urls", "out_links", "language", "importance", "title", "content_hash"]
     again = nodestore.save(spark, path, first, clear=True)
     assert again.count() == 2
+
+
+def test_page_sources(spark):
+    import os
+    import tempfile
+
+    from siftweb.sources import pages as P
+    from tests.conftest import SF001
+    src = spark.read.parquet(f"{SF001}/pages.parquet")
+    d = tempfile.mkdtemp(prefix="siftweb-pages-")
+    src.write.json(f"{d}/json")
+    back = P.read_pages(spark, f"{d}/json", "json")
+    assert back.count() == src.count()
+    os.makedirs(f"{d}/html")
+    for r in src.limit(3).collect():
+        with open(f"{d}/html/p{r.page_id}.html", "w", encoding="utf-8") as fh:
+            fh.write(r.html)
+    files = P.read_html_files(spark, f"{d}/html/*.html")
+    nodes = N.parse_pages(files).collect()
+    assert len(nodes) == 3 and all(n.title for n in nodes)
