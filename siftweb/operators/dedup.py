@@ -19,7 +19,8 @@ _FIELDS = ["url", "content", "out_links", "language", "importance", "title"]
 def merge_duplicates(page_nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(nodes, aliases).
 
-    ``page_nodes`` is the page-level node table (id = page_id).  Nodes get
+    ``page_nodes`` is the page-level node table (id = page_id), best a
+    written table (or a checkpoint): it is read by both branches.  Nodes get
     the id and fields of the first page with that content; ``n_urls`` counts
     all its pages.  ``aliases(url, node_id, page_id)`` lists every page URL
     with the node it merged into.

@@ -65,7 +65,11 @@ def page_nodes(spark, sf):
 
 
 def merged(spark, sf):
-    return D.merge_duplicates(page_nodes(spark, sf))
+    """D1 over the pages.  The parsed page nodes feed two branches (nodes
+    and aliases), so they are written once to the shared checkpoint folder
+    instead of being parsed twice."""
+    checkpoint_dir(spark)
+    return D.merge_duplicates(page_nodes(spark, sf).checkpoint())
 
 
 def doc_nodes(spark, sf, docs: DataFrame | None = None) -> DataFrame:
@@ -476,7 +480,8 @@ def r11(spark, sf):
 
 @query("d1_merge_duplicates")
 def d1(spark, sf):
-    nodes, aliases = D.merge_duplicates(doc_nodes(spark, sf))
+    checkpoint_dir(spark)
+    nodes, aliases = D.merge_duplicates(doc_nodes(spark, sf).checkpoint())
     first_last = aliases.groupBy("node_id").agg(F.min("url").alias("min_url"), F.max("url").alias("max_url"))
     return (nodes.join(first_last, nodes["id"] == first_last["node_id"])
             .select("id", "url", "n_urls", "min_url", "max_url", "content_hash", "title"))
@@ -652,6 +657,7 @@ def q23(spark, sf):
     # The node table is read twice (matching, then fields of the shown
     # rows): write it once to the shared checkpoint folder, as a store.
     nodes = merged(spark, sf)[0].checkpoint()
+
     res = S.batch_search(nodes, title_queries(spark, sf))
     return res.select("query_id", F.col("position").cast("bigint").alias("position"), "id",
                       F.col("title_hits").cast("bigint").alias("title_hits"),
