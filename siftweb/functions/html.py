@@ -11,6 +11,9 @@ tag closing) are listed in the README.
 
 from __future__ import annotations
 
+import html as _html
+from html import entities as _entities
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -33,6 +36,15 @@ ENTITIES = [
     ("&laquo;", "\u00ab"),
     ("&raquo;", "\u00bb"),
     ("&euro;", "\u20ac"),
+    ("&lsquo;", "\u2018"),
+    ("&rsquo;", "\u2019"),
+    ("&ldquo;", "\u201c"),
+    ("&rdquo;", "\u201d"),
+    ("&bull;", "\u2022"),
+    ("&eacute;", "\u00e9"),
+    ("&egrave;", "\u00e8"),
+    ("&agrave;", "\u00e0"),
+    ("&ccedil;", "\u00e7"),
     ("&auml;", "\u00e4"),
     ("&ouml;", "\u00f6"),
     ("&uuml;", "\u00fc"),
@@ -71,15 +83,94 @@ SCRIPT_LINK_RE = "<a(?:.[^<>]+)href\\s*=\\s*['\"](.[^'\"]+)['\"](?:.[^<>]*)>"
 SCRIPT_LINK_LENIENT_RE = "<a\\s[^<>]*?href\\s*=\\s*['\"]([^'\"]*)['\"][^<>]*>"
 
 
-def decode_entities(c: Column) -> Column:
-    """P10: decode the named character references in ENTITIES (text
-    without '&' skips the replace chain)."""
+# An '&' that does not start one of the ENTITIES.
+_OTHER_AMP_RE = "&(?!(?:" + "|".join(e[1:] for e, _ in ENTITIES) + "))"
+
+
+def decode_common_entities(c: Column) -> Column:
+    """Decode only the named references in ENTITIES (a replace chain)."""
     out = c
     for ent, ch in ENTITIES:
         out = F.replace(out, F.lit(ent), F.lit(ch))
     return F.when(c.contains("&"), out).otherwise(c)
 
 
+# Character references as HTML defines them (the rule ``html.unescape``
+# follows): named references from the HTML5 table, with or without ';'
+# (longest known prefix wins when the ';' is missing), decimal and hex
+# numeric references.  The tables come from Python's standard library.
+CHARREF_RE = "&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\\t\\n\\f <&#;]{1,32};?)"
+CHARREF_SPLIT_RE = "&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\\t\\n\\f <&#;]{1,32};?)"
+
+
+def _literal_map(d: dict) -> Column:
+    keys = list(d)
+    return F.map_from_arrays(F.array(*[F.lit(k) for k in keys]),
+                             F.array(*[F.lit(d[k]) for k in keys]))
+
+
+def _from_code_point(n: Column) -> Column:
+    """The character of code point n (not a surrogate, <= 0x10FFFF)."""
+    bmp = F.decode(F.unhex(F.lpad(F.hex(n), 4, "0")), "UTF-16BE")
+    m = n - F.lit(0x10000)
+    hi = F.lit(0xD800) + F.shiftright(m, 10)
+    lo = F.lit(0xDC00) + F.bitwise_not(F.bitwise_not(m).bitwiseOR(F.lit(-1024)))
+    sup = F.decode(F.unhex(F.concat(F.hex(hi), F.hex(lo))), "UTF-16BE")
+    return F.when(n < 0x10000, bmp).otherwise(sup)
+
+
+def _numeric_ref(ref: Column) -> Column:
+    """'#65;' / '#x41' -> the character, with HTML's replacement rules."""
+    hexa = ref.substr(2, 1).isin("x", "X")
+    digits = F.regexp_replace(F.regexp_replace(ref, ";$", ""), "^#[xX]?", "")
+    digits = F.regexp_replace(digits, "^0+(?=.)", "")
+    too_long = F.length(digits) > F.when(hexa, F.lit(6)).otherwise(F.lit(7))
+    num = F.when(too_long, F.lit(0x110000)).otherwise(
+        F.when(hexa, F.conv(digits, 16, 10)).otherwise(digits).cast("int"))
+    invalid = _literal_map({k: v for k, v in _html._invalid_charrefs.items()})
+    dropped = F.array(*[F.lit(x) for x in sorted(_html._invalid_codepoints)])
+    return (
+        F.when(F.map_contains_key(invalid, num), F.try_element_at(invalid, num))
+        .when(((num >= 0xD800) & (num <= 0xDFFF)) | (num > 0x10FFFF), F.lit("\uFFFD"))
+        .when(F.array_contains(dropped, num), F.lit(""))
+        .otherwise(_from_code_point(num))
+    )
+
+
+def _named_ref(ref: Column, table: Column) -> Column:
+    """'amp;' -> '&'; 'ampx' -> '&x' (longest known prefix); else kept."""
+    exact = F.try_element_at(table, ref)
+    lens = F.sequence(F.length(ref) - 1, F.lit(2), F.lit(-1))
+    hits = F.filter(F.transform(lens, lambda k: F.struct(
+        k.alias("k"), F.try_element_at(table, F.substring(ref, 1, k)).alias("v"))),
+        lambda h: h["v"].isNotNull())
+    first = F.element_at(hits, 1)
+    prefix = F.when(F.length(ref) > 2, F.when(F.size(hits) > 0, F.concat(
+        first["v"], F.substring(ref, first["k"] + 1, 1 << 20))))
+    return F.coalesce(exact, prefix, F.concat(F.lit("&"), ref))
+
+
+def decode_entities(c: Column) -> Column:
+    """P10: decode every character reference (text without '&' is returned
+    as is; the general path splits around the references, replaces each,
+    and joins the pieces back)."""
+    table = _literal_map(_entities.html5)
+    pieces = F.split(c, CHARREF_SPLIT_RE, -1)
+    refs = F.regexp_extract_all(c, F.lit(CHARREF_RE), 1)
+    repl = F.transform(refs, lambda r: F.when(r.startswith("#"), _numeric_ref(r))
+                       .otherwise(_named_ref(r, table)))
+    joined = F.aggregate(
+        F.sequence(F.lit(1), F.greatest(F.size(refs), F.lit(1))), F.element_at(pieces, 1),
+        lambda acc, i: F.when(i <= F.size(refs), F.concat(acc, F.element_at(repl, i),
+                                                        F.element_at(pieces, i + 1)))
+        .otherwise(acc))
+    common_only = ~c.rlike(_OTHER_AMP_RE)
+    return (F.when(~c.contains("&"), c)
+            .when(common_only, decode_common_entities(c))
+            .when(F.size(refs) > 0, joined)
+            .otherwise(c))
+
+
 def strip_ws(c: Column) -> Column:
     """Cut Unicode whitespace at both ends (``trim`` cuts only spaces)."""
     return F.regexp_replace(c, f"^{WS_CLASS}+|{WS_CLASS}+\\z", "")
