@@ -12,6 +12,7 @@ tag closing) are listed in the README.
 from __future__ import annotations
 
 import html as _html
+import json as _json
 from html import entities as _entities
 
 from pyspark.sql import Column
@@ -63,15 +64,17 @@ WS_CLASS = (
 )
 
 # A tag as the HTML tokenizer sees it: '<' followed by a letter, '/', '!'
-# or '?'.  A bare '<' followed by a space is text.
-TAG_RE = "<[!/?a-zA-Z][^>]*>"
+# or '?', up to the first '>' outside a quoted attribute value.  A bare '<'
+# followed by a space is text.  The outer loop is possessive ('*+'), so an
+# unclosed tag fails in linear time (no backtracking into the runs).
+TAG_RE = "<[!/?a-zA-Z](?:[^>\"']+|\"[^\"]*\"|'[^']*')*+>"
 COMMENT_RE = "(?s)<!--.*?(?:-->|\\z)"
 STYLE_RE = "(?is)<style\\b[^>]*>.*?(?:</style\\s*>|\\z)"
 SCRIPT_RE = "(?is)<script\\b[^>]*>.*?(?:</script\\s*>|\\z)"
 SCRIPT_BODY_RE = "(?is)<script\\b[^>]*>(.*?)(?:</script\\s*>|\\z)"
 TITLE_RE = "(?is)<title\\b[^>]*>(.*?)</title\\s*>"
 LANG_RE = "(?is)<[a-z][^\\s>]*\\s(?:[^>]*\\s)?lang\\s*=\\s*[\"']?([^\"'\\s>]*)"
-A_TAG_RE = "(?is)<a\\s[^>]*>"
+A_TAG_RE = "(?is)<a\\s(?:[^>\"']+|\"[^\"]*\"|'[^']*')*+>"
 HREF_RE = "(?is)\\shref\\s*=\\s*(\"[^\"]*|'[^']*|[^\\s>]*)"
 HREF_PRESENT_RE = "(?is)\\shref\\s*=\\s*"
 
@@ -150,11 +153,17 @@ def _named_ref(ref: Column, table: Column) -> Column:
     return F.coalesce(exact, prefix, F.concat(F.lit("&"), ref))
 
 
+def _entity_table() -> Column:
+    """The HTML5 name table as one map constant (a JSON literal the
+    optimizer folds once), not thousands of literal expressions."""
+    return F.from_json(F.lit(_json.dumps(_entities.html5)), "map<string,string>")
+
+
 def decode_entities(c: Column) -> Column:
     """P10: decode every character reference (text without '&' is returned
     as is; the general path splits around the references, replaces each,
     and joins the pieces back)."""
-    table = _literal_map(_entities.html5)
+    table = _entity_table()
     pieces = F.split(c, CHARREF_SPLIT_RE, -1)
     refs = F.regexp_extract_all(c, F.lit(CHARREF_RE), 1)
     repl = F.transform(refs, lambda r: F.when(r.startswith("#"), _numeric_ref(r))
