@@ -130,10 +130,12 @@ def _numeric_ref(ref: Column) -> Column:
     too_long = F.length(digits) > F.when(hexa, F.lit(6)).otherwise(F.lit(7))
     num = F.when(too_long, F.lit(0x110000)).otherwise(
         F.when(hexa, F.conv(digits, 16, 10)).otherwise(digits).cast("int"))
-    invalid = _literal_map({k: v for k, v in _html._invalid_charrefs.items()})
-    dropped = F.array(*[F.lit(x) for x in sorted(_html._invalid_codepoints)])
+    invalid = F.from_json(F.lit(_json.dumps({str(k): v for k, v in _html._invalid_charrefs.items()})),
+                          "map<string,string>")
+    dropped = F.from_json(F.lit(_json.dumps(sorted(_html._invalid_codepoints))), "array<int>")
     return (
-        F.when(F.map_contains_key(invalid, num), F.try_element_at(invalid, num))
+        F.when(F.map_contains_key(invalid, num.cast("string")),
+               F.try_element_at(invalid, num.cast("string")))
         .when(((num >= 0xD800) & (num <= 0xDFFF)) | (num > 0x10FFFF), F.lit("\uFFFD"))
         .when(F.array_contains(dropped, num), F.lit(""))
         .otherwise(_from_code_point(num))
