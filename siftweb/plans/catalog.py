@@ -64,12 +64,16 @@ def page_nodes(spark, sf):
     return N.parse_pages(pages(spark, sf))
 
 
-def merged(spark, sf):
-    """D1 over the pages.  The parsed page nodes feed two branches (nodes
-    and aliases), so they are written once to the shared checkpoint folder
-    instead of being parsed twice."""
-    checkpoint_dir(spark)
-    return D.merge_duplicates(page_nodes(spark, sf).checkpoint())
+def merged(spark, sf, both_branches: bool = False):
+    """D1 over the pages.  When a query uses both branches (nodes and
+    aliases) the parsed page nodes are written once to the shared
+    checkpoint folder instead of being parsed twice; otherwise the alias
+    branch is never evaluated and nothing is written."""
+    parsed = page_nodes(spark, sf)
+    if both_branches:
+        checkpoint_dir(spark)
+        parsed = parsed.checkpoint()
+    return D.merge_duplicates(parsed)
 
 
 def doc_nodes(spark, sf, docs: DataFrame | None = None) -> DataFrame:
@@ -500,7 +504,7 @@ def d3(spark, sf):
 
 @query("d4_crawl_counts")
 def d4(spark, sf):
-    nodes, aliases = merged(spark, sf)
+    nodes, aliases = merged(spark, sf, both_branches=True)
     return D.crawl_counts(nodes, aliases)
 
 
@@ -539,7 +543,7 @@ def q1(spark, sf):
 
 @query("q2_site_filter")
 def q2(spark, sf):
-    nodes, aliases = merged(spark, sf)
+    nodes, aliases = merged(spark, sf, both_branches=True)
     return S.site_filter(nodes, "blog.", aliases).select("id")
 
 
