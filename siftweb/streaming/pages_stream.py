@@ -67,38 +67,57 @@ def run_to_table(df: DataFrame, out: str, ckpt: str, mode: str = "append") -> No
     q.awaitTermination()
 
 
+STORE_BUCKETS = 256
+
+
+def hash_bucket(col: str = "content_hash", buckets: int = STORE_BUCKETS):
+    return F.pmod(F.xxhash64(col), F.lit(buckets)).cast("int")
+
+
 class StoreMerger:
     """T4: foreachBatch sink merging each micro-batch into the node store.
 
-    Layout: ``{store}/nodes/batch=R-N`` and ``{store}/aliases/batch=R-N``
-    where R names the job (its checkpoint) and N is the micro-batch id.  A
+    Layout: ``{store}/nodes/batch=R-N/bucket=B`` and
+    ``{store}/aliases/batch=R-N``, where R names the job (its checkpoint),
+    N is the micro-batch id and B a hash bucket of the content hash.  A
     batch adds nodes only for content the store does not hold yet (the
     first page wins, as in batch D1); every page URL goes to the aliases,
-    pointing at the stored or the new node.  A replayed micro-batch
-    overwrites its own folder and ignores it when looking up stored content.
+    pointing at the stored or the new node.  The lookup of stored content
+    reads only the buckets the batch's pages fall into (directory pruning),
+    so a small micro-batch does not scan the whole store.  A replayed
+    micro-batch overwrites its own folders and ignores them when looking up
+    stored content.
     """
 
-    def __init__(self, store: str, run: str):
+    def __init__(self, store: str, run: str, buckets: int = STORE_BUCKETS):
         self.store = store.rstrip("/")
         self.run = run
+        self.buckets = buckets
 
-    def _stored(self, spark: SparkSession, skip: str) -> DataFrame | None:
+    def _stored(self, spark: SparkSession, skip: str, buckets: list[int]) -> DataFrame | None:
         try:
             df = spark.read.parquet(f"{self.store}/nodes")
         except Exception:  # nothing stored yet
             return None
-        return df.filter(F.col("batch") != skip).select("content_hash", F.col("id").alias("node_id"))
+        return (df.filter((F.col("batch") != skip) & F.col("bucket").isin(buckets))
+                .select("content_hash", F.col("id").alias("node_id")))
 
     def __call__(self, batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         tag = f"{self.run}-{epoch:010d}"
-        page_nodes = N.parse_pages(batch).persist()
-        stored = self._stored(spark, tag)
-        fresh = page_nodes
+        page_nodes = (N.parse_pages(batch)
+                      .withColumn("bucket", hash_bucket(buckets=self.buckets)).persist())
+        buckets = [r["bucket"] for r in page_nodes.select("bucket").distinct().collect()]
+        if not buckets:
+            page_nodes.unpersist()
+            return
+        stored = self._stored(spark, tag, buckets)
+        fresh = page_nodes.drop("bucket")
         if stored is not None:
-            fresh = page_nodes.join(stored.select("content_hash"), "content_hash", "left_anti")
+            fresh = fresh.join(stored.select("content_hash"), "content_hash", "left_anti")
         nodes, _ = D.merge_duplicates(fresh)
-        nodes.write.mode("overwrite").parquet(f"{self.store}/nodes/batch={tag}")
+        (nodes.withColumn("bucket", hash_bucket(buckets=self.buckets))
+         .write.mode("overwrite").partitionBy("bucket").parquet(f"{self.store}/nodes/batch={tag}"))
         known = spark.read.parquet(f"{self.store}/nodes/batch={tag}").select(
             "content_hash", F.col("id").alias("node_id"))
         if stored is not None:
@@ -125,6 +144,6 @@ def merge_stream(spark: SparkSession, pages: DataFrame, store: str, ckpt: str,
 
 
 def read_store(spark: SparkSession, store: str) -> tuple[DataFrame, DataFrame]:
-    nodes = spark.read.parquet(f"{store.rstrip('/')}/nodes").drop("batch")
+    nodes = spark.read.parquet(f"{store.rstrip('/')}/nodes").drop("batch", "bucket")
     aliases = spark.read.parquet(f"{store.rstrip('/')}/aliases").drop("batch")
     return nodes, aliases

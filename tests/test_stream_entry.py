@@ -38,3 +38,18 @@ def test_entry_and_contract(spark):
     q, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(q)
     assert len(q) >= 60
+
+
+def test_store_lookup_prunes_buckets(spark):
+    pages = spark.read.parquet(f"{SF001}/pages.parquet")
+    src = tempfile.mkdtemp(prefix="siftweb-src-")
+    pages.coalesce(1).write.parquet(f"{src}/f0")
+    store, ck = ST.scratch(spark, "prune-store"), ST.scratch(spark, "prune-ckpt")
+    ST.merge_stream(spark, ST.read_pages_stream(spark, f"{src}/f*/*.parquet"), store, ck)
+    merger = ST.StoreMerger(store, "x")
+    df = merger._stored(spark, "none", [3, 7])
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "bucket" in plan
+    rows = df.collect()
+    n3_7 = spark.read.parquet(f"{store}/nodes").filter(F.col("bucket").isin(3, 7)).count()
+    assert len(rows) == n3_7
