@@ -106,12 +106,6 @@ CHARREF_RE = "&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\\t\\n\\f <&#;]{1,32};?)"
 CHARREF_SPLIT_RE = "&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\\t\\n\\f <&#;]{1,32};?)"
 
 
-def _literal_map(d: dict) -> Column:
-    keys = list(d)
-    return F.map_from_arrays(F.array(*[F.lit(k) for k in keys]),
-                             F.array(*[F.lit(d[k]) for k in keys]))
-
-
 def _from_code_point(n: Column) -> Column:
     """The character of code point n (not a surrogate, <= 0x10FFFF)."""
     bmp = F.decode(F.unhex(F.lpad(F.hex(n), 4, "0")), "UTF-16BE")

@@ -3,8 +3,9 @@
 The store is a Parquet dataset with the node layout of
 ``operators.nodes``; lists are real arrays.  ``pack``/``unpack`` convert
 to and from the separator-joined text layout of the original store.
-Upserts are a join plus union written as a new table version, so a failed
-write never leaves a half-updated store.
+Upserts are a join plus a union.  ``save`` first writes the whole new
+table to a sibling folder, so a failure while it is being computed leaves
+the store untouched; only the final copy replaces the store.
 """
 
 from __future__ import annotations
@@ -56,7 +57,6 @@ def assign_ids(df: DataFrame, order_cols: list[str], start: int | DataFrame = 0,
     numbered inside each partition, and shifted by the row count of all
     earlier partitions (a table with one row per partition).
     """
-    spark = df.sparkSession
     sorted_df = df.repartitionByRange(*order_cols).withColumn("_pid", F.spark_partition_id())
     w = Window.partitionBy("_pid").orderBy(*order_cols)
     numbered = sorted_df.withColumn("_rn", F.row_number().over(w))
@@ -69,7 +69,6 @@ def assign_ids(df: DataFrame, order_cols: list[str], start: int | DataFrame = 0,
         base = start.first()[0] or 0
     else:
         base = start
-    _ = spark
     return (numbered.join(F.broadcast(offsets), "_pid")
             .withColumn(id_col, (F.lit(base) + F.coalesce(F.col("_off"), F.lit(0)) + F.col("_rn")).cast("bigint"))
             .drop("_pid", "_rn", "_off"))
