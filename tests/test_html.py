@@ -51,3 +51,14 @@ def test_page_node_links(spark):
                            "http://h.example.com/js/link"]
     assert n.title == "T & U" and n.language == "de"
     assert n.importance == -1.0
+
+
+def test_long_inputs_do_not_overflow(spark):
+    """Regex evaluation stays iterative on huge tags and links (a repeated
+    alternation group would recurse per character in the JVM)."""
+    page = ("<html><body>" + "<a " + 'z="1" ' * 100000 + 'href="/x">t</a>'
+            + '<a href="/' + "b" * 300000 + '">u</a></body></html>')
+    df = spark.createDataFrame([(1, "http://h/p", page)], "page_id long, url string, html string")
+    n = N.parse_pages(df).first()
+    assert n.content == ["t", "u"]
+    assert [len(x) for x in n.out_links] == [10, 300009]
