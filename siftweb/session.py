@@ -40,6 +40,34 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     return spark
 
 
+# Settings for a large cluster (hundreds of TB, ~1000 executors).  Shuffle
+# partitions start high and AQE coalesces them to ~256 MB; text-heavy page
+# files are split at 64 MB so a regex-heavy task stays short; skewed joins
+# are split by AQE; broadcasts are size-checked by the planner (10 MB) and,
+# in this code, by explicit row bounds.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.files.maxPartitionBytes": "64m",
+    "spark.sql.autoBroadcastJoinThreshold": "10m",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
+
+def apply_cluster_conf(spark: SparkSession, overrides: dict | None = None) -> None:
+    """Set CLUSTER_CONF (plus overrides) on a cluster session.  The
+    checkpoint folder is not set here: it comes from the cluster."""
+    for k, v in {**CLUSTER_CONF, **(overrides or {})}.items():
+        try:
+            spark.conf.set(k, v)
+        except Exception:  # static conf already fixed at start-up
+            pass
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
