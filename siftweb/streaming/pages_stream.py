@@ -67,7 +67,7 @@ def run_to_table(df: DataFrame, out: str, ckpt: str, mode: str = "append") -> No
     q.awaitTermination()
 
 
-STORE_BUCKETS = 256
+STORE_BUCKETS = 64
 
 
 def hash_bucket(col: str = "content_hash", buckets: int = STORE_BUCKETS):
@@ -116,7 +116,9 @@ class StoreMerger:
         if stored is not None:
             fresh = fresh.join(stored.select("content_hash"), "content_hash", "left_anti")
         nodes, _ = D.merge_duplicates(fresh)
+        # One file per bucket folder: rows are clustered by bucket first.
         (nodes.withColumn("bucket", hash_bucket(buckets=self.buckets))
+         .repartition("bucket")
          .write.mode("overwrite").partitionBy("bucket").parquet(f"{self.store}/nodes/batch={tag}"))
         known = spark.read.parquet(f"{self.store}/nodes/batch={tag}").select(
             "content_hash", F.col("id").alias("node_id"))
