@@ -185,20 +185,21 @@ def without_comments(html: Column) -> Column:
     return F.regexp_replace(html, COMMENT_RE, "<!>")
 
 
-def clean_html(html: Column) -> Column:
+def clean_html(html: Column, no_comments: Column | None = None) -> Column:
     """Drop comments, <style> and <script> elements.
 
     Each removed element leaves an empty tag marker so that the text runs
-    on either side stay separate segments.
+    on either side stay separate segments.  ``no_comments`` may pass the
+    comment-free html when the caller already computed it.
     """
-    h = without_comments(html)
+    h = no_comments if no_comments is not None else without_comments(html)
     h = F.regexp_replace(h, STYLE_RE, "<!>")
     return F.regexp_replace(h, SCRIPT_RE, "<!>")
 
 
-def is_valid_html(html: Column) -> Column:
+def is_valid_html(html: Column, no_comments: Column | None = None) -> Column:
     """The page has an <html> element and a <body>."""
-    h = without_comments(html)
+    h = no_comments if no_comments is not None else without_comments(html)
     return (
         html.isNotNull()
         & h.rlike("(?i)<html[\\s>/]")
@@ -245,18 +246,20 @@ def anchor_hrefs(clean: Column) -> Column:
     return F.filter(hrefs, lambda h: h.isNotNull())
 
 
-def script_hrefs(html: Column, strict: bool = True) -> Column:
+def script_hrefs(html: Column, strict: bool = True, no_comments: Column | None = None) -> Column:
     """Links found in the text of <script> elements, in order."""
-    bodies = F.regexp_extract_all(without_comments(html), F.lit(SCRIPT_BODY_RE), 1)
+    h = no_comments if no_comments is not None else without_comments(html)
+    bodies = F.regexp_extract_all(h, F.lit(SCRIPT_BODY_RE), 1)
     pat = SCRIPT_LINK_RE if strict else SCRIPT_LINK_LENIENT_RE
     return F.flatten(
         F.transform(bodies, lambda b: F.regexp_extract_all(b, F.lit(pat), 1))
     )
 
 
-def raw_links(html: Column, clean: Column, strict_script_links: bool = True) -> Column:
+def raw_links(html: Column, clean: Column, strict_script_links: bool = True,
+              no_comments: Column | None = None) -> Column:
     """P7 then P8: anchor links followed by the links inside scripts."""
-    return F.concat(anchor_hrefs(clean), script_hrefs(html, strict_script_links))
+    return F.concat(anchor_hrefs(clean), script_hrefs(html, strict_script_links, no_comments))
 
 
 def content_hash(content: Column) -> Column:
