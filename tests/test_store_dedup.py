@@ -70,9 +70,10 @@ def test_fetch_outcomes(spark):
 
 def test_language_guess(spark):
     df = spark.createDataFrame([
-        ("Hallo ehrlich esel eigentlich. Wie geht es dir das ist eine Testnachricht. "
-         "Du bist immer dann am besten, jedes Mal. Dein Spiegelbild ist anderen egal",),
-        ("Hello whats up, this is my test message, I'm here",), ("Straße",), ("",)], "t string")
+        ("Gestern haben wir im Garten gearbeitet und danach einen langen Spaziergang "
+         "durch den Wald gemacht, bevor es am Abend zu regnen begann.",),
+        ("Yesterday we worked in the garden and then took a long walk through the "
+         "woods before it started to rain in the evening.",), ("Straße",), ("",)], "t string")
     got = [r.g for r in df.select(T.guess_language(F.col("t")).alias("g")).collect()]
     assert got == ["de", "en", "de", None]
     shares = df.select(*T.letter_shares(F.col("t"))).collect()
