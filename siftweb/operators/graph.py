@@ -139,8 +139,10 @@ def reachability(spark: SparkSession, edges: DataFrame, start: DataFrame,
     checkpoint_dir(spark)
     # Distinct adjacency written once, hash-partitioned on src for the
     # per-level join (not recomputed at every level).
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    adj = edges.select("src", "dst").distinct().repartition(parts, "src").checkpoint()
+    adj = edges.select("src", "dst").distinct().checkpoint()
+    parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                       max(spark.sparkContext.defaultParallelism, -(-adj.count() // 2_000_000))))
+    adj = adj.repartition(parts, "src").checkpoint()
     visited = start.select("id").distinct().withColumn("depth", F.lit(0)).checkpoint()
     current = visited
     depth = 0

@@ -37,8 +37,17 @@ class RankResult:
         return spark.createDataFrame(self.history, "step int, l1 double, diff double")
 
 
-def _partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+ROWS_PER_PARTITION = 2_000_000
+
+
+def partitions_for(spark: SparkSession, rows: int) -> int:
+    """Partitions for a table of ``rows`` rows: about 2M rows each, at
+    least the cluster's parallelism, at most the configured shuffle
+    partitions (so a small graph does not run hundreds of tiny tasks per
+    step)."""
+    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    floor = spark.sparkContext.defaultParallelism
+    return max(1, min(cap, max(floor, -(-rows // ROWS_PER_PARTITION))))
 
 
 def rank(spark: SparkSession, vertices: DataFrame, resolved: DataFrame,
@@ -52,7 +61,6 @@ def rank(spark: SparkSession, vertices: DataFrame, resolved: DataFrame,
     the L2 change falls below ``eps``, or after ``max_iter`` steps.
     """
     p = min(1.0, max(0.0, float(teleport)))
-    parts = _partitions(spark)
     checkpoint_dir(spark)
     # Inputs are written to the checkpoint folder once, so the loop's plans
     # start from files, not from whatever produced the graph.  Edges are
@@ -62,6 +70,7 @@ def rank(spark: SparkSession, vertices: DataFrame, resolved: DataFrame,
     deg = weighted.groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
     dstats = deg.agg(F.sum("deg").alias("m"), F.max("deg").alias("top")).first()
     n_edges, top = dstats["m"] or 0, dstats["top"] or 0
+    parts = partitions_for(spark, n_edges)
     # Hub sources are split into sub-buckets by target so that no single
     # task joins a third of all edges; only hub rows of the rank vector are
     # replicated (one per bucket).  The hub table is bounded: a source is a
