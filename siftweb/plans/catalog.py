@@ -20,7 +20,7 @@ from siftweb.operators import graph as G
 from siftweb.operators import nodes as N
 from siftweb.operators import rank as R
 from siftweb.operators import search as S
-from siftweb.session import checkpoint_dir, read_table
+from siftweb.session import checkpoint_dir, read_table, scratch_path
 from siftweb.sources import fetchlog, nodestore
 from siftweb.streaming import pages_stream as ST
 
@@ -135,16 +135,24 @@ def node_summary(df: DataFrame, with_content: bool = True) -> DataFrame:
     return df.select(*cols)
 
 
+def stored_nodes(spark, sf) -> str:
+    """Write the merged nodes as a node store; return its path."""
+    path = scratch_path(spark, "store")
+    nodes, _ = merged(spark, sf)
+    nodes.write.parquet(path)
+    return path
+
+
 @query("s3_scan_nodes")
 def s3(spark, sf):
-    nodes, _ = merged(spark, sf)
-    return node_summary(nodes)
+    return node_summary(nodestore.scan(spark, stored_nodes(spark, sf), with_content=True))
 
 
 @query("s4_scan_without_content")
 def s4(spark, sf):
-    nodes, _ = merged(spark, sf)
-    return node_summary(nodes.drop("content"), with_content=False)
+    """The content column is not read (Parquet column pruning)."""
+    return node_summary(nodestore.scan(spark, stored_nodes(spark, sf), with_content=False),
+                        with_content=False)
 
 
 @query("s5_decode_packed")

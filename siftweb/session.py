@@ -84,6 +84,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return conf
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared checkpoint folder."""
+    import uuid
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Round-robin a scan that yields fewer tasks than the cluster has
     cores (a small file with one row group is read by one task).  A large

@@ -12,21 +12,20 @@ overwrites its own output instead of adding rows twice.
 from __future__ import annotations
 
 import hashlib
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftweb.operators import dedup as D
 from siftweb.operators import nodes as N
-from siftweb.session import checkpoint_dir
+from siftweb.session import scratch_path
 
 PAGES_SCHEMA = "page_id BIGINT, url STRING, html STRING"
 
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    return scratch_path(spark, name)
 
 
 def read_pages_stream(spark: SparkSession, path: str, schema: str = PAGES_SCHEMA,
