@@ -96,9 +96,12 @@ def spread(df: DataFrame) -> DataFrame:
     input already splits into many tasks and is left alone, so this never
     adds a shuffle at scale.  Column pruning and filters still reach the
     scan below the repartition."""
-    sc = df.sparkSession.sparkContext
-    want = sc.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. a Spark Connect session)
+        return df
+    if have < want:
         return df.repartition(want)
     return df
 
