@@ -53,3 +53,21 @@ def test_store_lookup_prunes_buckets(spark):
     rows = df.collect()
     n3_7 = spark.read.parquet(f"{store}/nodes").filter(F.col("bucket").isin(3, 7)).count()
     assert len(rows) == n3_7
+
+
+def test_dedup_within_watermark(spark):
+    from siftweb.plans import catalog as C
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    src = tempfile.mkdtemp(prefix="siftweb-docs-")
+    docs.coalesce(1).write.parquet(f"{src}/d0")
+    stream = spark.readStream.schema(docs.schema).parquet(f"{src}/d*/*.parquet")
+    nodes = C.doc_nodes(spark, SF001, stream).withColumn(
+        "ts", F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") * 60))  # a document a minute
+    out, ck = ST.scratch(spark, "wm-out"), ST.scratch(spark, "wm-ckpt")
+    ST.run_to_table(ST.dedup_content(nodes, event_time="ts", delay="1 hour")
+                    .select("content_hash", "id"), out, ck)
+    got = spark.read.parquet(out)
+    distinct = C.doc_nodes(spark, SF001).select("content_hash").distinct().count()
+    # copies more than an hour apart may both be kept; never fewer than distinct
+    assert got.select("content_hash").distinct().count() == distinct
+    assert distinct <= got.count() <= docs.count()
