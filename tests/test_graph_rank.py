@@ -1,6 +1,5 @@
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from siftweb.operators import graph as G
 from siftweb.operators import rank as R
