@@ -103,10 +103,10 @@ def page_graph(nodes: DataFrame, keep_unfetched: bool = False):
     if keep_unfetched:
         vertices = (nodes.select(F.col("url").alias("id"))
                     .union(links.select(F.col("link").alias("id"))).distinct())
-        resolved = (nodes.select(F.col("id").alias("src_id"), F.col("url").alias("src_url"))
-                    .join(links, F.col("src_id") == F.col("src"))
-                    .select(F.col("src_url").alias("src"), "pos", "link",
-                            F.col("link").alias("dst")))
+        # The source URL is on the same row as its links: no join needed.
+        resolved = (nodes.select(F.col("url").alias("src"),
+                                 F.posexplode("out_links").alias("pos", "link"))
+                    .withColumn("dst", F.col("link")))
         return vertices, resolved
     index = url_index(node_aliases(nodes))
     return nodes.select("id"), resolve_links(links, index)
