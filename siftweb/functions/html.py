@@ -231,19 +231,35 @@ def segments(clean: Column) -> Column:
     return F.when(F.size(parts) == 0, F.array(F.lit(""))).otherwise(parts)
 
 
+# One attribute: name, then optionally '=' and a quoted or bare value.
+# Scanning a tag with this left to right consumes quoted values whole.
+ATTR_RE = "\\s([^\\s\"'>/=]+)(?:\\s*=\\s*(\"[^\"]*\"|'[^']*'|[^\\s>]+))?"
+
+
+def _unquote(v: Column) -> Column:
+    q = F.substring(v, 1, 1)
+    return F.when(q.isin('"', "'") & (F.length(v) >= 2),
+                  F.substring(v, F.lit(2), F.length(v) - 2)).otherwise(v)
+
+
 def anchor_hrefs(clean: Column) -> Column:
-    """Href of every <a> tag in document order; missing href dropped."""
+    """Href of every <a> tag in document order.
+
+    Attributes are read left to right; a repeated href keeps the last value,
+    a bare ``href`` gives '', a tag without href is dropped.  Values are
+    entity-decoded.
+    """
     tags = F.regexp_extract_all(clean, F.lit(A_TAG_RE), 0)
-    hrefs = F.transform(
-        tags,
-        lambda t: F.when(
-            t.rlike(HREF_PRESENT_RE),
-            decode_entities(
-                F.regexp_replace(F.regexp_extract(t, HREF_RE, 1), "^[\"']", "")
-            ),
-        ),
-    )
-    return F.filter(hrefs, lambda h: h.isNotNull())
+
+    def href_of(t: Column) -> Column:
+        body = F.substring(t, F.lit(3), F.length(t) - 3)          # inside "<a" ... ">"
+        names = F.regexp_extract_all(body, F.lit(ATTR_RE), 1)
+        values = F.regexp_extract_all(body, F.lit(ATTR_RE), 2)
+        pairs = F.filter(F.arrays_zip(names.alias("n"), values.alias("v")),
+                         lambda a: F.lower(a["n"]) == "href")
+        return F.when(F.size(pairs) > 0, decode_entities(_unquote(F.element_at(pairs, -1)["v"])))
+
+    return F.filter(F.transform(tags, href_of), lambda h: h.isNotNull())
 
 
 def script_hrefs(html: Column, strict: bool = True, no_comments: Column | None = None) -> Column:

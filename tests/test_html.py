@@ -62,3 +62,11 @@ def test_long_inputs_do_not_overflow(spark):
     n = N.parse_pages(df).first()
     assert n.content == ["t", "u"]
     assert [len(x) for x in n.out_links] == [10, 300009]
+
+
+def test_anchor_attribute_rules(spark):
+    html = ('<a title="see href=/no" href="/yes">1</a><a href="/1" HREF=\'/2\'>2</a>'
+            '<a href>3</a><a name=x>4</a><a href=/bare?a=1&amp;b=2 >5</a>')
+    df = spark.createDataFrame([(html,)], "h string")
+    got = df.select(H.anchor_hrefs(F.col("h")).alias("a")).first().a
+    assert got == ["/yes", "/2", "", "/bare?a=1&b=2"]
