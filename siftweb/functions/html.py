@@ -212,9 +212,26 @@ def title(clean: Column) -> Column:
     return decode_entities(F.regexp_extract(clean, TITLE_RE, 1))
 
 
+START_TAG_RE = "<[a-zA-Z](?:[^>\"']+|\"[^\"]*\"|'[^']*')*+>"
+
+
+def _attribute(tag: Column, name: str) -> Column:
+    """Last value of attribute ``name`` in one start tag ('' when bare),
+    null when the tag has no such attribute."""
+    body = F.regexp_replace(tag, "^<[^\\s>/]*|/?>$", "")
+    pairs = F.filter(F.arrays_zip(F.regexp_extract_all(body, F.lit(ATTR_RE), 1).alias("n"),
+                                  F.regexp_extract_all(body, F.lit(ATTR_RE), 2).alias("v")),
+                     lambda a: F.lower(a["n"]) == name)
+    return F.when(F.size(pairs) > 0, decode_entities(_unquote(F.element_at(pairs, -1)["v"])))
+
+
 def language(clean: Column) -> Column:
-    """Value of the first ``lang`` attribute of any tag, '' if none."""
-    return F.regexp_extract(clean, LANG_RE, 1)
+    """Value of the ``lang`` attribute of the first tag that has one,
+    '' if none.  Only tags whose text mentions 'lang' are tokenized."""
+    tags = F.filter(F.regexp_extract_all(clean, F.lit(START_TAG_RE), 0),
+                    lambda t: F.lower(t).contains("lang"))
+    vals = F.filter(F.transform(tags, lambda t: _attribute(t, "lang")), lambda v: v.isNotNull())
+    return F.when(F.size(vals) > 0, F.element_at(vals, 1)).otherwise(F.lit(""))
 
 
 def segments(clean: Column) -> Column:

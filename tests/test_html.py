@@ -70,3 +70,11 @@ def test_anchor_attribute_rules(spark):
     df = spark.createDataFrame([(html,)], "h string")
     got = df.select(H.anchor_hrefs(F.col("h")).alias("a")).first().a
     assert got == ["/yes", "/2", "", "/bare?a=1&b=2"]
+
+
+def test_language_attribute(spark):
+    rows = [('<html><head><meta content="x lang=en"></head><body lang="de-AT"></body></html>',),
+            ("<html LANG=fr><body></body></html>",), ("<html><body>lang</body></html>",)]
+    df = spark.createDataFrame(rows, "h string")
+    got = [r.l for r in df.select(H.language(F.col("h")).alias("l")).collect()]
+    assert got == ["de-AT", "fr", ""]
