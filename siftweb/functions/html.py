@@ -217,12 +217,14 @@ START_TAG_RE = "<[a-zA-Z](?:[^>\"']+|\"[^\"]*\"|'[^']*')*+>"
 
 def _attribute(tag: Column, name: str) -> Column:
     """Last value of attribute ``name`` in one start tag ('' when bare),
-    null when the tag has no such attribute."""
+    null when the tag has no such attribute.  Values are decoded with the
+    common named references only (a language code holds no others; this
+    keeps the plan small)."""
     body = F.regexp_replace(tag, "^<[^\\s>/]*|/?>$", "")
     pairs = F.filter(F.arrays_zip(F.regexp_extract_all(body, F.lit(ATTR_RE), 1).alias("n"),
                                   F.regexp_extract_all(body, F.lit(ATTR_RE), 2).alias("v")),
                      lambda a: F.lower(a["n"]) == name)
-    return F.when(F.size(pairs) > 0, decode_entities(_unquote(F.element_at(pairs, -1)["v"])))
+    return F.when(F.size(pairs) > 0, decode_common_entities(_unquote(F.element_at(pairs, -1)["v"])))
 
 
 def language(clean: Column) -> Column:
