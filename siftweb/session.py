@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,6 +36,8 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    if not spark.conf.get("spark.checkpoint.dir", None):  # tests and local runs
+        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoint")
     return spark
 
 
@@ -71,17 +72,17 @@ def apply_cluster_conf(spark: SparkSession, overrides: dict | None = None) -> No
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting is read from the session.  Only when it is
-    unset (local tests) a scratch folder is created and registered.
+    The setting is read from the session, never invented here: a folder of
+    the driver's own disk would be out of the executors' sight.
     """
-    conf = spark.conf.get("spark.checkpoint.dir", None)
-    if not conf:
-        conf = tempfile.mkdtemp(prefix="siftweb-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", conf)
     sc = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not path:
+        raise RuntimeError("spark.checkpoint.dir is not set; name a folder that the driver "
+                           "and all executors share when the session is built")
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(conf)
-    return conf
+        sc.setCheckpointDir(path)
+    return path
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
