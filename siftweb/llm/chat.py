@@ -64,10 +64,10 @@ def unescape(c: Column) -> Column:
 
 def _header(role: Column, t: Template) -> Column:
     other = F.concat(F.lit("### ["), F.replace(escape(role, t), F.lit("]"), F.lit("\\]")), F.lit("]: "))
-    out = None
+    out = other
     for name, header, _ in t.headers:
-        out = (out or F).when(role == name, F.lit(header))
-    return out.otherwise(other)
+        out = F.when(role == name, F.lit(header)).otherwise(out)
+    return out
 
 
 def _accepts(roles: Column, t: Template) -> Column:
@@ -105,14 +105,13 @@ def parse_chat(formatted: Column, template: Template = DEFAULT) -> Column:
     parts = F.split(formatted, "\\Q" + t.footer + "\\E", -1)
 
     def turn(part):
-        role = text = None
+        mark = r"(?s)^### \[((?:[^\\\]]++|\\.)*+)\]: "
+        role = unescape(F.regexp_extract(part, mark, 1))
+        text = F.regexp_replace(part, mark, "")
         for name, header, _ in t.headers:
             hit = part.startswith(header)
-            role = (role or F).when(hit, F.lit(name))
-            text = (text or F).when(hit, F.substr(part, F.lit(len(header) + 1)))
-        mark = r"(?s)^### \[((?:[^\\\]]++|\\.)*+)\]: "
-        role = role.otherwise(unescape(F.regexp_extract(part, mark, 1)))
-        text = text.otherwise(F.regexp_replace(part, mark, ""))
+            role = F.when(hit, F.lit(name)).otherwise(role)
+            text = F.when(hit, F.substr(part, F.lit(len(header) + 1))).otherwise(text)
         return F.struct(role.alias("role"), unescape(text).alias("text"))
 
     return F.transform(F.slice(parts, F.lit(1), F.size(parts) - 1), turn)
