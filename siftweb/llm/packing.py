@@ -170,7 +170,7 @@ def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int = 1)
     """One row per piece of a document (see PIECES)."""
     spark = docs.sparkSession
     path = scratch_path(spark, "pack")
-    itemsize = 2
+    itemsize = tokens.load("byte", tokenizer).dtype.itemsize  # as the tasks see it
     docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text") \
         .mapInArrow(_encode(tokenizer, end_id), "doc_id long, hilbert long, ids binary").write.parquet(path)
     rows = spark.read.parquet(path).withColumn("_h", F.xxhash64("ids"))

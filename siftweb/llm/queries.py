@@ -11,7 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftweb.llm import chat, topk
+import public_tokenizers
+
+from siftweb.llm import chat, packing, topk, wavelet
+from siftweb.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -26,6 +29,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# ---------------------------------------------------------- 3: token-id shards
+
+@query
+def op3_token_shards(spark, sf_dir):
+    path = scratch_path(spark, "shards")
+    wavelet.write_shards(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), path)
+    return wavelet.read_documents(spark, path)
+
+
 # ------------------------------------------------------------- 4: exact top-k
 
 @query
@@ -96,3 +108,10 @@ SELECT conv_id, count(*) AS n_turns,
     AND bool_or(back = 1 AND role IN ('user', 'assistant')) AS valid
 FROM sized GROUP BY conv_id
 """
+
+
+# --------------------------------------------------------------- 8: packing
+
+@query
+def op8_hilbert_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
