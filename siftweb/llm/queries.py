@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from siftweb.llm import chat, packing, topk, wavelet
+from siftweb.llm import chat, packing, pieces, topk, wavelet
 from siftweb.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,3 +115,10 @@ FROM sized GROUP BY conv_id
 @query
 def op8_hilbert_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+# ---------------------------------------------------------- 9: SentencePiece
+
+@query
+def op9_sentencepiece(spark, sf_dir):
+    return pieces.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
