@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from siftweb.llm import chat, packing, pieces, quality, topk, toxicity, wavelet
+from siftweb.llm import chat, chosenpath, packing, pieces, quality, topk, toxicity, wavelet
 from siftweb.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,13 @@ def op1_quality(spark, sf_dir):
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+# ------------------------------------------------------ 2: near duplicates
+
+@query
+def op2_chosen_path(spark, sf_dir):
+    return chosenpath.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 # ---------------------------------------------------------- 3: token-id shards
 
 @query
