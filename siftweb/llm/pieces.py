@@ -17,8 +17,9 @@ left to right:
 The ids are then read backwards from the whole chunk's last token.  All
 unknown chunks of a slice fill their tables together, one position at a time
 (arrays over chunks).  The worker remembers pair tests (``2**PAIR_BITS``
-slots) and space-separated parts of the texts (at most ``KEEP``, then the
-memory starts over).
+slots) and space-separated parts of the texts, in two generations of about
+``KEEP``: when the younger is full it becomes the older, and parts still in
+use move up again.
 
 The model has to be BPE with an identity normalizer, a leading marker, byte
 fallback and no piece with a marker inside; ``Model`` checks that.  Runs of
@@ -45,7 +46,7 @@ from pyspark.sql import functions as F
 
 from siftweb.llm import vec
 
-KEEP, PAIR_BITS = 400_000, 21
+KEEP, PAIR_BITS = 150_000, 21
 MARK = "▁"
 NEVER = np.int64(1) << 40
 SCHEMA = "doc_id long, n_tokens long, ids string, decoded string"
@@ -79,6 +80,7 @@ class Model:
         self.inner = inner
         self._vocabulary([w for w in words if len(w[1]) == 1 or set(w[1]) <= inner])
         self.known: dict[str, tuple[str, list[int]]] = {}
+        self.older: dict[str, tuple[str, list[int]]] = {}
         self.pairs = np.full(1 << PAIR_BITS, -1, np.int64)
         self.good = np.zeros(1 << PAIR_BITS, bool)
         self.boundary = re.compile(f"([^{re.escape(''.join(sorted(inner)))}])")
@@ -258,10 +260,12 @@ class Model:
         """(ids joined by commas, ids) of each text."""
         cut = [t.replace(MARK, " ").split(" ") if t else [] for t in texts]
         want = set().union(*cut)
+        if len(self.known) > KEEP:
+            self.known, self.older = {}, self.known
         new = want - self.known.keys()
-        if len(self.known) + len(new) > KEEP:
-            self.known.clear()
-            new = want
+        again = new & self.older.keys()
+        self.known |= {p: self.older[p] for p in again}
+        new -= again
         self._know(new)
         done, get = [], self.known.__getitem__
         for c in cut:
