@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from siftweb.llm import chat, chosenpath, packing, pieces, quality, topk, toxicity, wavelet
+from siftweb.llm import chat, chosenpath, lempelziv, packing, pieces, quality, topk, toxicity, wavelet
 from siftweb.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,6 +79,14 @@ SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM ranked WHERE r <
 """
 
 
+# ----------------------------------------------------- 5: substring dedup
+
+@query
+def op5_lempel_ziv(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lempelziv.remove_repeats(docs, keep_text=False).drop("text")
+
+
 # ------------------------------------------------------------ 6: toxicity
 
 @query
