@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from siftweb.llm import chat, chosenpath, lempelziv, packing, pieces, quality, topk, toxicity, wavelet
+from siftweb.llm import bloomlookup, chat, chosenpath, lempelziv, packing, pieces, quality, topk, toxicity, wavelet
 from siftweb.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -157,3 +157,10 @@ def op8_hilbert_packing(spark, sf_dir):
 @query
 def op9_sentencepiece(spark, sf_dir):
     return pieces.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+# ----------------------------------------------------------- 10: fingerprints
+
+@query
+def op10_bloom_lookup(spark, sf_dir):
+    return bloomlookup.versions(table(spark, sf_dir, "documents"))
