@@ -47,12 +47,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftweb.llm import vec
+from siftweb.llm.bloom import Bloom
 from siftweb.session import scratch_path
 
 SHINGLE, PART, WHOLE = 5, 75, 100
 TREES, BRANCH, COORDS = 6, 2, 72
 ROOT = TREES * BRANCH
-LEAF, CHUNK, AGREE = 512, 2000, 38
+LEAF, CHUNK, AGREE, FEW = 512, 2000, 38, 1_000_000
 SETS = "doc_id long, n_shingles long, s1 long, s2 long, sig array<int>, low binary"
 
 _U = np.uint64
@@ -96,12 +97,15 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["doc_id", "n_shingles", "s1", "s2", "sig", "low"])
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows, data, off in vec.slices(batches):
-        h, soff = shingle_sets(data, off)
-        yield pa.RecordBatch.from_arrays(
-            [rows.column("rid"), pa.array([h[a:b].tobytes() for a, b in zip(soff[:-1], soff[1:])], pa.binary())],
-            names=["rid", "elements"])
+def _sets(wanted: Bloom):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        some = (b.filter(pa.array(wanted.may_hold(b.column("doc_id").to_numpy()))) for b in batches)
+        for rows, data, off in vec.slices(some):
+            h, soff = shingle_sets(data, off)
+            yield pa.RecordBatch.from_arrays(
+                [rows.column("doc_id"), pa.array([h[a:b].tobytes() for a, b in zip(soff[:-1], soff[1:])], pa.binary())],
+                names=["rid", "elements"])
+    return run
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -133,7 +137,9 @@ def _near(low: np.ndarray, i: int) -> np.ndarray:
 
 
 def _estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows with a promising partner in another component."""
+    """Rows with a promising partner in another component.  Groups that come
+    down to the same rows get the same name, so the nodes where the same
+    documents meet count once."""
     held, n = [], 0
     for t in _groups(batches):
         rid, comp, focus, low = _columns(t)
@@ -144,7 +150,10 @@ def _estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 keep |= hit
                 keep[i] = True
         if keep.any():
-            held.append(t.filter(pa.array(keep)))
+            name = vec.mix(vec.mix(rid[keep].view(_U) ^ (focus[keep].astype(_U) << _U(63))).sum(keepdims=True)).view(np.int64)
+            t = t.set_column(t.schema.get_field_index("g"), "g", pa.array(np.repeat(name, len(rid))))
+            t = t.set_column(t.schema.get_field_index("part"), "part", pa.array(np.zeros(len(rid), np.int32)))
+            held.append(t.filter(pa.array(keep)).combine_chunks())
             n += int(keep.sum())
         if n > 5000:
             yield from pa.concat_tables(held).to_batches()
@@ -189,6 +198,26 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
+def _unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Union-find over a bounded number of edges (hi, lo)."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for batch in batches:
+        for a, b in zip(batch.column("hi").to_pylist(), batch.column("lo").to_pylist()):
+            a, b = root(a), root(b)
+            parent[max(a, b)] = min(a, b)
+    if parent:
+        ids = list(parent)
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([root(x) for x in ids], pa.int64())],
+                                         names=["id", "comp"])
+
+
 class _Join:
     """Tables of one run, written under the shared scratch folder."""
 
@@ -213,21 +242,23 @@ class _Join:
         rows = rows.select("g", "part", "rid", "comp", "focus", "low")
         kind = "g long, part int, rid long, comp long, focus boolean, low binary"
         some = self.write(rows.repartition("g", "part").sortWithinPartitions("g", "part", "rid")
-                          .mapInArrow(_estimate, kind), "promising")
+                          .mapInArrow(_estimate, kind).dropDuplicates(["g", "rid", "focus"]), "promising")
         if some.isEmpty():
             return None
-        wanted = some.select("rid").distinct()
-        sets = self.write(self.docs.withColumnRenamed("doc_id", "rid").join(wanted, "rid", "left_semi")
-                          .mapInArrow(_sets, "rid long, elements binary"), "sets").dropDuplicates(["rid", "elements"])
+        sets = self.docs.mapInArrow(_sets(Bloom(some, "rid")), "rid long, elements binary") \
+            .join(some.select("rid").distinct(), "rid", "left_semi").dropDuplicates(["rid"])
         full = some.join(sets, "rid").repartition("g", "part").sortWithinPartitions("g", "part", "rid")
         return self.write(full.mapInArrow(_verify, "a long, b long"), "links")
 
     def components(self, edges: DataFrame) -> DataFrame:
         """(id, comp): the smallest id reachable, by alternating large and
-        small stars until the edges are stars around the smallest ids."""
+        small stars until the edges are stars around the smallest ids.  At
+        most ``FEW`` edges (16 MB) are united in one task instead."""
         e = self.write(edges.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo"))
                        .filter("hi <> lo").distinct(), "edges")
         seen = None
+        if e.count() <= FEW:
+            return e.coalesce(1).mapInArrow(_unite, "id long, comp long")
         while True:
             both = e.unionByName(e.select(F.col("lo").alias("hi"), F.col("hi").alias("lo")))
             least = both.groupBy("hi").agg(F.min("lo").alias("m")).select("hi", F.least("hi", "m").alias("m"))
@@ -333,8 +364,25 @@ def keep_one(docs: DataFrame) -> DataFrame:
     several equal doc_ids), columns as they were."""
     from pyspark.sql import Window
 
-    kept = near_duplicates(docs).filter("kept and doc_id is not null").select("doc_id").distinct()
-    named = docs.join(kept, docs["doc_id"].cast("long") == kept["doc_id"], "left_semi")
+    spark = docs.sparkSession
+    path = scratch_path(spark, "keepone")
+    near_duplicates(docs).write.parquet(path)
+    found = spark.read.parquet(path).filter("doc_id is not null").groupBy("doc_id").agg(
+        F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    odd = found.filter("not kept or n > 1")  # dropped, or several rows
+    bloom = Bloom(odd, "doc_id")
+
+    def side(inside: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                ids = b.column("doc_id").cast(pa.int64())
+                hit = bloom.may_hold(ids.fill_null(0).to_numpy()) & ids.is_valid().to_numpy(zero_copy_only=False)
+                yield b.filter(pa.array(hit == inside))
+        return run
+
+    # Only documents that may have to go are shuffled.
+    doubt = docs.mapInArrow(side(True), docs.schema).join(
+        odd.filter("not kept").select(F.col("doc_id").alias("_gone")), F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
     first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    one = named.withColumn("_first", F.row_number().over(first)).filter("_first = 1").drop("_first")
-    return one.unionByName(docs.filter("doc_id is null"))
+    one = doubt.withColumn("_first", F.row_number().over(first)).filter("_first = 1").drop("_first")
+    return docs.mapInArrow(side(False), docs.schema).unionByName(one)
