@@ -1,18 +1,16 @@
-"""Whole-text tokenization with the tokenizers library, memoised by piece.
-
-Both tokenizer files cut a text into pre-tokens that never span certain
-boundaries, so a text's ids are the joined ids of the parts between them:
-
-* ``word_bpe_49k``: white space is dropped before the merges, so every run
-  of ASCII white space is a boundary.
-* ``byte_bpe_50k``: a pre-token takes at most one leading space, so a single
-  space between two characters that are not white space starts a new part.
-
-Each worker keeps the ids of the parts that it has seen (at most ``KEEP``).
-A new part is split further where the pre-tokenizer splits for certain (a
-newline, or Latin letter or digit before closing punctuation), and only
-words that the worker does not remember (at most ``KEEP_WORDS``) go through
-the library.  A full memory starts over.
+"""Whole-text tokenization with the tokenizers library, memoised by pre-token.
+
+Both tokenizer files cut a text into pre-tokens, which are merged one by one,
+so a text's ids are the joined ids of its pre-tokens.  The cut is made here
+with the files' own patterns: in texts of ASCII and Latin letters by plain
+character classes, in others by Unicode classes (``byte_bpe_50k``) or by the
+library itself (``word_bpe_49k``, which also normalizes).  Texts that hold the
+string of an added token are encoded whole.
+
+Each worker keeps the ids of the pre-tokens that it has seen, in two
+generations of about ``KEEP``: when the younger is full it becomes the older,
+and pre-tokens that are still in use move up again.  New ones go through the
+library, thousands in one call between ``mark``s.
 """
 
 from __future__ import annotations
@@ -21,24 +19,25 @@ import os
 import re
 
 import numpy as np
-
-KEEP, KEEP_WORDS, LONGEST = 150_000, 700_000, 200
-_CLOSING = b".,!?;:"
-_CONTROL = bytes(x for x in range(33) if x != 10)
-_SINGLE = re.compile(r"(?<=\S) (?=\S)")
-#: White space beside a space, control characters and any white space beyond ASCII.
-_ODD = (b"  ", b" \n", b"\n ", b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80")
+import regex
+
+KEEP, LONGEST, JOIN = 300_000, 200, 2000
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0132-\u024f"
+_SPACE = " \t\n\x0b\x0c\r"
+_PLAIN = re.compile(f"[\x00-\x7f{_LETTERS}]*")
+# The two tokenizers' own patterns, first in plain classes.
+_BYTE_LATIN = re.compile(f" ?[{_LETTERS}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[0-9]+| ?[^{_SPACE}{_LETTERS}0-9]+"
+                         f"|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+_BYTE = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
+_WORD_LATIN = re.compile(f"[{_LETTERS}]+|'s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^{_SPACE}{_LETTERS}0-9]+")
 _LOADED: dict[tuple[str, str], Pieces] = {}
 
 
-def _word_end(core: bytes) -> bool:
-    """The text ends in a Latin letter or a digit."""
-    last = core[-4:].decode(errors="replace")[-1:]
-    return last < "\u0250" and last.isalnum() and (last < "\x80" or last.isalpha())
-
-
 class Pieces:
-    """Ids of parts as little-endian 16- or 32-bit strings."""
+    """Ids of pre-tokens as little-endian 16- or 32-bit strings."""
+
+    #: Stands between words in one call; no token but its own holds it.
+    mark: str
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
@@ -46,44 +45,52 @@ class Pieces:
 
         self.library = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2") if self.library.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-        self.known: dict[bytes, bytes] = {}
-        self.words: dict[bytes, bytes] = {}
+        self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        alone = self.library.encode(self.mark.strip(" ") or self.mark, add_special_tokens=False).ids
+        self.mark_id = alone[0] if len(alone) == 1 else None
 
-    def ids(self, text: bytes) -> bytes:
-        return np.array(self.library.encode(text.decode(), add_special_tokens=False).ids, self.dtype).tobytes()
+    def ids(self, text: str) -> bytes:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
-    def parts(self, raw: bytes, plain: bool) -> list[bytes] | None:
-        """The text's parts; None if it has to be encoded whole."""
+    def joins(self, word: str) -> bool:
+        """The word may stand between two marks without changing its ids."""
         raise NotImplementedError
 
-    def words_of(self, part: bytes) -> list[bytes]:
-        """Texts whose ids, joined, are the part's."""
+    def ids_of(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of many words by few library calls."""
+        out = {}
+        fit = [w for w in words if self.joins(w)] if self.mark_id is not None else []
+        for a in range(0, len(fit), JOIN):
+            part = fit[a: a + JOIN]
+            raw = self.ids(self.mark.join(part))
+            found = np.frombuffer(raw, self.dtype)
+            size = self.dtype.itemsize
+            cut = np.flatnonzero(found == self.mark_id) * size
+            if len(cut) == len(part) - 1:
+                starts = [0, *(cut + size).tolist()]
+                out |= {w: raw[i:j] for w, i, j in zip(part, starts, [*cut.tolist(), len(raw)])}
+        for w in words:
+            if w not in out:
+                out[w] = self.ids(w)
+        return out
+
+    def parts(self, text: str) -> list[str] | None:
+        """The text's pre-tokens; None if it has to be encoded whole."""
         raise NotImplementedError
 
-    def _learn(self, new: set[bytes], known: dict[bytes, bytes]) -> None:
-        words, keep = self.words, len(self.words) < KEEP_WORDS
-        if not keep:
-            words.clear()
-        for part in new:
-            found = []
-            for w in self.words_of(part):
-                x = words.get(w)
-                if x is None:
-                    x = self.ids(w)
-                    if len(w) <= LONGEST:
-                        words[w] = x
-                found.append(x)
-            known[part] = found[0] if len(found) == 1 else b"".join(found)
-
-    def encode(self, texts: list[bytes], plain: bool) -> list[bytes]:
-        """Ids of each text; ``plain``: no control characters but newline in any."""
-        cut = [self.parts(t, plain) for t in texts]
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text."""
+        cut = [None if any(x in t for x in self.added) else self.parts(t) for t in texts]
         want = set().union(*(c for c in cut if c is not None))
+        if len(self.known) > KEEP:
+            self.known, self.older = {}, self.known
         new = want - self.known.keys()
-        if len(self.known) + len(new) > KEEP:
-            self.known.clear()
-            new = want
-        self._learn(new, self.known)
+        again = new & self.older.keys()
+        self.known |= {p: self.older[p] for p in again}
+        new -= again
+        self.known |= self.ids_of(list(new))
         get = self.known.__getitem__
         out = [self.ids(t) if c is None else b"".join(map(get, c)) for t, c in zip(texts, cut)]
         for p in new:
@@ -93,46 +100,24 @@ class Pieces:
 
 
 class WordPieces(Pieces):
-    def parts(self, raw, plain):
-        return raw.split()
+    mark = " | "
+
+    def joins(self, word):
+        return "|" not in word
 
-    def words_of(self, part):
-        if part.isascii():
-            part = part.lower()
-        core = part.rstrip(_CLOSING)
-        return [core, part[len(core):]] if core and len(core) < len(part) and _word_end(core) else [part]
+    def parts(self, text):
+        return _WORD_LATIN.findall(text.lower()) if _PLAIN.fullmatch(text) else None
 
 
 class BytePieces(Pieces):
-    """A part without a leading NUL stands for a space and the part; the
-    text's first part has the NUL and no space."""
-
-    def parts(self, raw, plain):
-        if not raw:
-            return []
-        if b"\0" in raw:
-            return None
-        if plain and raw[:1] != b" " and raw[-1:] != b" " and not any(x in raw for x in _ODD):
-            cut = raw.split(b" ")
-        else:
-            cut = [s.encode() for s in _SINGLE.split(raw.decode())]
-        cut[0] = b"\0" + cut[0]
-        return cut
-
-    def words_of(self, part):
-        text = part[1:] if part[:1] == b"\0" else b" " + part
-        body = text[1:] if text[:1] == b" " else text
-        lines = body.split(b"\n")
-        if not all(lines) or len(body.translate(None, _CONTROL)) < len(body) or any(x in text for x in _ODD):
-            return [text]
-        lines[0] = text[:len(text) - len(body)] + lines[0]
-        out = []
-        for i, line in enumerate(lines):
-            if i:
-                out.append(b"\n")
-            core = line.rstrip(_CLOSING)
-            out += [core, line[len(core):]] if len(core) < len(line) and core and _word_end(core) else [line]
-        return out
+    mark = "\n"
+
+    def joins(self, word):
+        body = word[1:] if word[0] == " " else word
+        return bool(body) and not body[0].isspace()
+
+    def parts(self, text):
+        return (_BYTE_LATIN if _PLAIN.fullmatch(text) else _BYTE).findall(text)
 
 
 def load(kind: str, path: str) -> Pieces:
@@ -145,7 +130,6 @@ def load(kind: str, path: str) -> Pieces:
 def encode_slice(pieces: Pieces, data: np.ndarray, off: np.ndarray, end_id: int) -> list[np.ndarray]:
     """Ids of each document of a slice (see ``vec.slices``), the end id appended."""
     raw = data.tobytes()
-    plain = not bool(((data < 32) & (data != 10)).any())
-    texts = [raw[a:b] for a, b in zip(off[:-1].tolist(), off[1:].tolist())]
+    texts = [raw[a:b].decode() for a, b in zip(off[:-1].tolist(), off[1:].tolist())]
     tail = np.array([end_id], pieces.dtype).tobytes()
-    return [np.frombuffer(x + tail, pieces.dtype) for x in pieces.encode(texts, plain)]
+    return [np.frombuffer(x + tail, pieces.dtype) for x in pieces.encode(texts)]
