@@ -4,9 +4,11 @@ HTML is handled with regular expressions that stay inside the JVM and
 whole-stage codegen; no per-row parser runs in Python.  The expressions
 follow what a lenient HTML parser reports for ordinary pages: comments,
 the doctype, ``<style>`` and ``<script>`` elements carry no text, every
-other text run between tags is one segment.  Known gaps of a regex reading
-(``>`` inside a quoted attribute, numeric character references, implicit
-tag closing) are listed in the README.
+other text run between tags is one segment.  Comments and these elements are
+found in one pass from left to right, so whichever opens first decides: a
+``<!--`` inside a script is script text, a ``<script>`` inside a comment is
+comment.  Known gaps of a regex reading (implicit tag closing, CDATA
+sections) are listed in the README.
 """
 
 from __future__ import annotations
@@ -68,11 +70,12 @@ WS_CLASS = (
 # followed by a space is text.  The outer loop is possessive ('*+'), so an
 # unclosed tag fails in linear time (no backtracking into the runs).
 TAG_RE = "<[!/?a-zA-Z](?:[^>\"']+|\"[^\"]*\"|'[^']*')*+>"
-COMMENT_RE = "(?s)<!--.*?(?:-->|\\z)"
-STYLE_RE = "(?is)<style\\b[^>]*>.*?(?:</style\\s*>|\\z)"
-SCRIPT_RE = "(?is)<script\\b[^>]*>.*?(?:</script\\s*>|\\z)"
-SCRIPT_BODY_RE = "(?is)<script\\b[^>]*>(.*?)(?:</script\\s*>|\\z)"
-TITLE_RE = "(?is)<title\\b[^>]*>(.*?)</title\\s*>"
+_COMMENT = "<!--.*?(?:-->|\\z)"
+_STYLE = "<style(?=[\\s>/])[^>]*>.*?(?:</style\\s*>|\\z)"
+_SCRIPT = "<script(?=[\\s>/])[^>]*>(.*?)(?:</script\\s*>|\\z)"
+#: What carries no text; group 1 is the text of a script.
+DROPPED_RE = f"(?is){_SCRIPT}|{_STYLE}|{_COMMENT}"
+TITLE_RE = "(?is)<title(?=[\\s>/])[^>]*>(.*?)</title\\s*>"
 LANG_RE = "(?is)<[a-z][^\\s>]*\\s(?:[^>]*\\s)?lang\\s*=\\s*[\"']?([^\"'\\s>]*)"
 A_TAG_RE = "(?is)<a\\s(?:[^>\"']+|\"[^\"]*\"|'[^']*')*+>"
 HREF_RE = "(?is)\\shref\\s*=\\s*(\"[^\"]*|'[^']*|[^\\s>]*)"
@@ -116,6 +119,14 @@ def _from_code_point(n: Column) -> Column:
     return F.when(n < 0x10000, bmp).otherwise(sup)
 
 
+# What ``html.unescape`` makes of the numbers that do not stand for their own
+# character: replaced (0, 0x80-0x9F and a few more) or dropped.
+_NUMBERS = [n for n in [*range(0xA0), *range(0xFDD0, 0xFDF0),
+                        *(p << 16 | e for p in range(17) for e in (0xFFFE, 0xFFFF))]]
+_REPLACED = {str(n): c for n in _NUMBERS if (c := _html.unescape(f"&#{n};")) not in ("", chr(n))}
+_DROPPED = [n for n in _NUMBERS if not _html.unescape(f"&#{n};")]
+
+
 def _numeric_ref(ref: Column) -> Column:
     """'#65;' / '#x41' -> the character, with HTML's replacement rules."""
     hexa = ref.substr(2, 1).isin("x", "X")
@@ -124,9 +135,8 @@ def _numeric_ref(ref: Column) -> Column:
     too_long = F.length(digits) > F.when(hexa, F.lit(6)).otherwise(F.lit(7))
     num = F.when(too_long, F.lit(0x110000)).otherwise(
         F.when(hexa, F.conv(digits, 16, 10)).otherwise(digits).cast("int"))
-    invalid = F.from_json(F.lit(_json.dumps({str(k): v for k, v in _html._invalid_charrefs.items()})),
-                          "map<string,string>")
-    dropped = F.from_json(F.lit(_json.dumps(sorted(_html._invalid_codepoints))), "array<int>")
+    invalid = F.from_json(F.lit(_json.dumps(_REPLACED)), "map<string,string>")
+    dropped = F.from_json(F.lit(_json.dumps(_DROPPED)), "array<int>")
     return (
         F.when(F.map_contains_key(invalid, num.cast("string")),
                F.try_element_at(invalid, num.cast("string")))
@@ -164,11 +174,9 @@ def decode_entities(c: Column) -> Column:
     refs = F.regexp_extract_all(c, F.lit(CHARREF_RE), 1)
     repl = F.transform(refs, lambda r: F.when(r.startswith("#"), _numeric_ref(r))
                        .otherwise(_named_ref(r, table)))
-    joined = F.aggregate(
-        F.sequence(F.lit(1), F.greatest(F.size(refs), F.lit(1))), F.element_at(pieces, 1),
-        lambda acc, i: F.when(i <= F.size(refs), F.concat(acc, F.element_at(repl, i),
-                                                        F.element_at(pieces, i + 1)))
-        .otherwise(acc))
+    joined = F.array_join(F.flatten(F.transform(
+        F.arrays_zip(pieces.alias("p"), repl.alias("r")),
+        lambda x: F.array(x["p"], F.coalesce(x["r"], F.lit(""))))), "")
     common_only = ~c.rlike(_OTHER_AMP_RE)
     return (F.when(~c.contains("&"), c)
             .when(common_only, decode_common_entities(c))
@@ -181,30 +189,18 @@ def strip_ws(c: Column) -> Column:
     return F.regexp_replace(c, f"^{WS_CLASS}+|{WS_CLASS}+\\z", "")
 
 
-def without_comments(html: Column) -> Column:
-    return F.regexp_replace(html, COMMENT_RE, "<!>")
-
-
-def clean_html(html: Column, no_comments: Column | None = None) -> Column:
+def clean_html(html: Column) -> Column:
     """Drop comments, <style> and <script> elements.
 
     Each removed element leaves an empty tag marker so that the text runs
-    on either side stay separate segments.  ``no_comments`` may pass the
-    comment-free html when the caller already computed it.
+    on either side stay separate segments.
     """
-    h = no_comments if no_comments is not None else without_comments(html)
-    h = F.regexp_replace(h, STYLE_RE, "<!>")
-    return F.regexp_replace(h, SCRIPT_RE, "<!>")
+    return F.regexp_replace(html, DROPPED_RE, "<!>")
 
 
-def is_valid_html(html: Column, no_comments: Column | None = None) -> Column:
-    """The page has an <html> element and a <body>."""
-    h = no_comments if no_comments is not None else without_comments(html)
-    return (
-        html.isNotNull()
-        & h.rlike("(?i)<html[\\s>/]")
-        & h.rlike("(?i)<body[\\s>/]")
-    )
+def is_valid_html(clean: Column) -> Column:
+    """The cleaned page has an <html> element and a <body>."""
+    return clean.isNotNull() & clean.rlike("(?i)<html[\\s>/]") & clean.rlike("(?i)<body[\\s>/]")
 
 
 def title(clean: Column) -> Column:
@@ -281,20 +277,16 @@ def anchor_hrefs(clean: Column) -> Column:
     return F.filter(F.transform(tags, href_of), lambda h: h.isNotNull())
 
 
-def script_hrefs(html: Column, strict: bool = True, no_comments: Column | None = None) -> Column:
+def script_hrefs(html: Column, strict: bool = True) -> Column:
     """Links found in the text of <script> elements, in order."""
-    h = no_comments if no_comments is not None else without_comments(html)
-    bodies = F.regexp_extract_all(h, F.lit(SCRIPT_BODY_RE), 1)
+    bodies = F.regexp_extract_all(html, F.lit(DROPPED_RE), 1)
     pat = SCRIPT_LINK_RE if strict else SCRIPT_LINK_LENIENT_RE
-    return F.flatten(
-        F.transform(bodies, lambda b: F.regexp_extract_all(b, F.lit(pat), 1))
-    )
+    return F.flatten(F.transform(bodies, lambda b: F.regexp_extract_all(b, F.lit(pat), 1)))
 
 
-def raw_links(html: Column, clean: Column, strict_script_links: bool = True,
-              no_comments: Column | None = None) -> Column:
+def raw_links(html: Column, clean: Column, strict_script_links: bool = True) -> Column:
     """P7 then P8: anchor links followed by the links inside scripts."""
-    return F.concat(anchor_hrefs(clean), script_hrefs(html, strict_script_links, no_comments))
+    return F.concat(anchor_hrefs(clean), script_hrefs(html, strict_script_links))
 
 
 def content_hash(content: Column) -> Column:

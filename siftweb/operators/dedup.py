@@ -3,7 +3,7 @@
 Pages with equal content become one node.  The node keeps the fields of
 its first page (smallest page_id) and every URL goes to the alias table,
 so a content hash shared by a third of all pages is still a partial
-aggregation (min_by, count) plus a skew-split join, never one huge row.
+aggregation (min, count) plus a skew-split join, never one huge row.
 """
 
 from __future__ import annotations
@@ -13,30 +13,24 @@ from pyspark.sql import functions as F
 
 from siftweb.operators.nodes import NODE_COLUMNS
 
-_FIELDS = ["url", "content", "out_links", "language", "importance", "title"]
-
 
 def merge_duplicates(page_nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(nodes, aliases).
 
     ``page_nodes`` is the page-level node table (id = page_id), best a
-    written table (or a checkpoint): it is read by both branches.  Nodes get
+    written table: it is read once for the hashes and once for the fields.
+    Page ids are unique.  Nodes get
     the id and fields of the first page with that content; ``n_urls`` counts
     all its pages.  ``aliases(url, node_id, page_id)`` lists every page URL
     with the node it merged into.
     """
-    first = page_nodes.groupBy("content_hash").agg(
-        F.min_by(F.struct("id", *_FIELDS), F.col("id")).alias("f"),
-        F.count(F.lit(1)).alias("n_urls"),
-    )
-    nodes = first.select(
-        F.col("f.id").alias("id"), "f.url", "n_urls", "f.content", "f.out_links",
-        "f.language", "f.importance", "f.title", "content_hash",
-    ).select(*NODE_COLUMNS)
-    canon = first.select("content_hash", F.col("f.id").alias("node_id"))
+    first = page_nodes.groupBy("content_hash").agg(F.min("id").alias("node_id"), F.count(F.lit(1)).alias("n_urls"))
+    # Only ids and counts are aggregated; the fields come with the first page.
+    canon = first.select("content_hash", "node_id", "n_urls")
+    nodes = (page_nodes.drop("n_urls").join(canon.select(F.col("node_id").alias("id"), "n_urls"), "id")
+             .select(*NODE_COLUMNS))
     aliases = (page_nodes.select("url", F.col("id").alias("page_id"), "content_hash")
-               .join(canon, "content_hash")
-               .select("url", "node_id", "page_id"))
+               .join(canon, "content_hash").select("url", "node_id", "page_id"))
     return nodes, aliases
 
 
@@ -68,8 +62,3 @@ def crawl_counts(nodes: DataFrame, aliases: DataFrame) -> DataFrame:
     node_stats = nodes.agg(F.count(F.lit(1)).alias("net_size"),
                            F.sum("n_urls").alias("sites_processed"))
     return node_stats.crossJoin(link_stats)
-
-
-def bucket_by_matches(scored: DataFrame, col: str) -> DataFrame:
-    """Number of rows per keyword-match count."""
-    return scored.groupBy(F.col(col).alias("match_count")).agg(F.count(F.lit(1)).alias("n"))

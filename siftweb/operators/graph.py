@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftweb.session import checkpoint_dir
+from siftweb.functions.urls import LinkConstraint
+from siftweb.session import scratch_path
 
 
 def explode_links(nodes: DataFrame, id_col: str = "id") -> DataFrame:
@@ -77,12 +78,13 @@ def frontier(nodes: DataFrame, aliases: DataFrame) -> DataFrame:
 
 
 def shared_url_groups(aliases: DataFrame) -> DataFrame:
-    """Nodes that share a URL, as (node_id, same_as) where same_as is the
-    smallest node id sharing any URL with it.  Linear in the aliases: no
-    pairs are enumerated inside a URL group."""
-    first = aliases.groupBy("url").agg(F.min("node_id").alias("same_as"))
-    linked = aliases.join(first, "url").filter(F.col("same_as") != F.col("node_id"))
-    return linked.groupBy("node_id").agg(F.min("same_as").alias("same_as"))
+    """Nodes that share a URL, as (url, node_id, same_as): one row per URL
+    and node, same_as the URL's smallest node, for URLs of several nodes.
+    Linear in the aliases and lossless: two nodes share a URL if and only if
+    they have rows of that URL."""
+    first = aliases.groupBy("url").agg(F.min("node_id").alias("same_as"), F.max("node_id").alias("last")) \
+        .filter("same_as < last").drop("last")
+    return aliases.select("url", "node_id").distinct().join(first, "url")
 
 
 def with_ids(nodes: DataFrame) -> DataFrame:
@@ -112,57 +114,64 @@ def page_graph(nodes: DataFrame, keep_unfetched: bool = False):
     return nodes.select("id"), resolve_links(links, index)
 
 
-def supplier_part_graph(lineitem: DataFrame, returnflag: str = "R"):
+def supplier_part_graph(lineitem: DataFrame):
     """A graph with cycles and duplicate edges from lineitem: supplier <->
-    part for every line with the given return flag, both directions.
+    part for every line, both directions from one scan.
     Returns (vertices(id), resolved links(src, dst)) with string ids."""
-    li = lineitem.filter(F.col("l_returnflag") == returnflag)
     s = F.concat(F.lit("S"), F.col("l_suppkey").cast("string"))
     p = F.concat(F.lit("P"), F.col("l_partkey").cast("string"))
-    resolved = li.select(s.alias("src"), p.alias("dst")).unionByName(
-        li.select(p.alias("src"), s.alias("dst")))
+    ends = F.array(F.struct(s.alias("src"), p.alias("dst")), F.struct(p.alias("src"), s.alias("dst")))
+    resolved = lineitem.select(F.explode(ends).alias("e")).select("e.src", "e.dst")
     vertices = resolved.select(F.col("src").alias("id")).distinct()
     return vertices, resolved
 
 
 def reachability(spark: SparkSession, edges: DataFrame, start: DataFrame,
-                 max_depth: int | None = None, max_sites: int = 0) -> DataFrame:
+                 max_depth: int | None = None, max_sites: int = 0,
+                 constraint: LinkConstraint | None = None) -> DataFrame:
     """Breadth-first reach from ``start(id)`` over ``edges(src, dst)``.
 
     Each vertex is reported once with its smallest depth.  One level per
-    driver iteration: frontier join edges, minus everything visited.  The
-    visited set is checkpointed to the shared checkpoint folder each level,
-    so lineage stays short and a lost executor recomputes one level only.
-    ``max_sites`` > 0 caps the crawl: the level that crosses the cap keeps
-    its smallest ids only (a top-n on that level, the cap being the feature).
+    driver iteration: frontier join edges, minus everything visited.  Edges
+    and levels are Parquet folders under the shared checkpoint folder, one
+    folder per level, so nothing is written twice, lineage stays short and a
+    lost executor recomputes one level only; both sides of each join are
+    shuffled from files, so the planner can split a hub's edges.
+    ``constraint`` normalizes URL ids at the start and drops those that it
+    does not accept (the start rules of a crawl).  ``max_sites`` > 0 caps the
+    crawl: the level that crosses the cap keeps its smallest ids only (a top-n
+    on that level, the cap being the feature).
     """
-    checkpoint_dir(spark)
-    # Distinct adjacency written once, hash-partitioned on src for the
-    # per-level join (not recomputed at every level).
-    adj = edges.select("src", "dst").distinct().checkpoint()
-    parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                       max(spark.sparkContext.defaultParallelism, -(-adj.count() // 2_000_000))))
-    adj = adj.repartition(parts, "src").checkpoint()
-    visited = start.select("id").distinct().withColumn("depth", F.lit(0)).checkpoint()
-    current = visited
+    path = scratch_path(spark, "reach")
+    edges.select("src", "dst").distinct().write.parquet(f"{path}/edges")
+    adj = spark.read.parquet(f"{path}/edges")
+    first = start.select("id").distinct()
+    if constraint is not None:
+        first = constraint_start(first, constraint)
+    first.withColumn("depth", F.lit(0)).write.parquet(f"{path}/levels/level=0")
     depth = 0
     while max_depth is None or depth < max_depth:
+        visited = spark.read.parquet(f"{path}/levels")
+        current = visited.filter(F.col("level") == depth)
         depth += 1
         nxt = (current.select(F.col("id").alias("src"))
                .join(adj, "src")
                .select(F.col("dst").alias("id")).distinct()
-               .join(visited.select("id"), "id", "left_anti")
-               .withColumn("depth", F.lit(depth))
-               .checkpoint())
-        if nxt.isEmpty():
-            break
+               .join(visited.select("id"), "id", "left_anti"))
         if max_sites > 0:
             room = max_sites - visited.count()
             if room <= 0:
                 break
-            nxt = nxt.orderBy("id").limit(room).checkpoint()
-        visited = visited.unionByName(nxt).checkpoint()
-        current = nxt
-    if max_sites > 0:
-        visited = visited.orderBy("depth", "id").limit(max_sites)
-    return visited
+            nxt = nxt.orderBy("id").limit(room)
+        level = f"{path}/levels/level={depth}"
+        nxt.withColumn("depth", F.lit(depth)).write.parquet(level)
+        if spark.read.parquet(level).isEmpty():
+            break
+    visited = spark.read.parquet(f"{path}/levels").select("id", "depth")
+    return visited.orderBy("depth", "id").limit(max_sites) if max_sites > 0 else visited
+
+
+def constraint_start(start: DataFrame, constraint: LinkConstraint) -> DataFrame:
+    """Start URLs as the crawl takes them up: accepted, normalized, distinct."""
+    return start.filter(constraint.accepts(F.col("id"))).select(constraint.normalize(F.col("id")).alias("id")) \
+        .filter("id is not null").distinct()

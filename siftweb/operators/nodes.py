@@ -27,7 +27,7 @@ NODE_COLUMNS = ["id", "url", "n_urls", "content", "out_links", "language",
 
 def valid_pages(pages: DataFrame) -> DataFrame:
     """Keep pages that are HTML documents with a body."""
-    return pages.filter(H.is_valid_html(F.col("html")))
+    return pages.filter(H.is_valid_html(H.clean_html(F.col("html"))))
 
 
 def parse_pages(pages: DataFrame, constraint: LinkConstraint | None = None,
@@ -38,13 +38,10 @@ def parse_pages(pages: DataFrame, constraint: LinkConstraint | None = None,
     scan runs and streams unchanged (T1).
     """
     constraint = constraint or LinkConstraint()
-    # Comments are stripped once; validity, cleaning and script links all
-    # read that column.
-    nc = pages.select("page_id", "url", "html", H.without_comments(F.col("html")).alias("_nc"))
-    staged = (nc.filter(H.is_valid_html(F.col("html"), F.col("_nc")))
-              .select("page_id", "url", "html", "_nc",
-                      H.clean_html(F.col("html"), F.col("_nc")).alias("_clean")))
-    links = H.raw_links(F.col("html"), F.col("_clean"), strict_script_links, F.col("_nc"))
+    # Cleaned once; validity, segments, title and anchors read that column.
+    staged = (pages.select("page_id", "url", "html", H.clean_html(F.col("html")).alias("_clean"))
+              .filter(H.is_valid_html(F.col("_clean"))))
+    links = H.raw_links(F.col("html"), F.col("_clean"), strict_script_links)
     nodes = staged.select(
         F.col("page_id").alias("id"),
         constraint.normalize(F.col("url")).alias("url"),

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftweb.operators import graph as G
-from siftweb.session import checkpoint_dir
+from siftweb.session import checkpoint_dir, scratch_path
 
 # Defaults of the rank loop.
 DEFAULT_EPS = 1e-8
@@ -41,13 +41,10 @@ ROWS_PER_PARTITION = 2_000_000
 
 
 def partitions_for(spark: SparkSession, rows: int) -> int:
-    """Partitions for a table of ``rows`` rows: about 2M rows each, at
-    least the cluster's parallelism, at most the configured shuffle
-    partitions (so a small graph does not run hundreds of tiny tasks per
-    step)."""
-    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    floor = spark.sparkContext.defaultParallelism
-    return max(1, min(cap, max(floor, -(-rows // ROWS_PER_PARTITION))))
+    """Partitions for a table of ``rows`` rows: about 2M rows each, at least
+    the cluster's parallelism (so a small graph does not run hundreds of tiny
+    tasks per step)."""
+    return max(1, spark.sparkContext.defaultParallelism, -(-rows // ROWS_PER_PARTITION))
 
 
 def rank(spark: SparkSession, vertices: DataFrame, resolved: DataFrame,
@@ -66,7 +63,9 @@ def rank(spark: SparkSession, vertices: DataFrame, resolved: DataFrame,
     # start from files, not from whatever produced the graph.  Edges are
     # then hash-partitioned on src and cached: the per-step join to the rank
     # vector reads them in place.
-    weighted = G.weighted_edges(resolved).checkpoint()
+    path = scratch_path(spark, "rank")
+    G.weighted_edges(resolved).write.parquet(f"{path}/edges")
+    weighted = spark.read.parquet(f"{path}/edges")
     deg = weighted.groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
     dstats = deg.agg(F.sum("deg").alias("m"), F.max("deg").alias("top")).first()
     n_edges, top = dstats["m"] or 0, dstats["top"] or 0
@@ -138,6 +137,9 @@ def rank(spark: SparkSession, vertices: DataFrame, resolved: DataFrame,
             both.unpersist()
             break
         diff2 = st["xx"] - 2.0 * st["xy"] / l1 + st["yy"] / (l1 * l1)   # R6
+        if diff2 < 1e-10 * st["xx"]:      # too close for the expanded square
+            step_by = F.col("y") / F.lit(l1) - F.col("x")
+            diff2 = both.agg(F.sum(step_by * step_by)).first()[0] or 0.0
         diff = math.sqrt(max(diff2, 0.0))
         history.append((step, float(l1), float(diff)))
         prev.unpersist()
@@ -147,8 +149,11 @@ def rank(spark: SparkSession, vertices: DataFrame, resolved: DataFrame,
         dangling_mass = (st["dy"] or 0.0) / l1   # R3
         if diff < eps:
             break
-    ranks = x.select("id", (F.col("raw") * F.lit(scale)).alias("rank"))
-    return RankResult(ranks, history)
+    x.select("id", (F.col("raw") * F.lit(scale)).alias("rank")).write.parquet(f"{path}/ranks")
+    x.unpersist()
+    prev.unpersist()
+    edges.unpersist()
+    return RankResult(spark.read.parquet(f"{path}/ranks"), history)
 
 
 def apply_importance(nodes: DataFrame, ranks: DataFrame, id_col: str = "id") -> DataFrame:

@@ -44,8 +44,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 # Settings for a large cluster (hundreds of TB, ~1000 executors).  Shuffle
 # partitions start high and AQE coalesces them to ~256 MB; text-heavy page
 # files are split at 64 MB so a regex-heavy task stays short; skewed joins
-# are split by AQE; broadcasts are size-checked by the planner (10 MB) and,
-# in this code, by explicit row bounds.
+# are split by AQE; broadcasts are size-checked by the planner (10 MB).
 CLUSTER_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -63,10 +62,9 @@ def apply_cluster_conf(spark: SparkSession, overrides: dict | None = None) -> No
     """Set CLUSTER_CONF (plus overrides) on a cluster session.  The
     checkpoint folder is not set here: it comes from the cluster."""
     for k, v in {**CLUSTER_CONF, **(overrides or {})}.items():
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # static conf already fixed at start-up
-            pass
+        if not spark.conf.isModifiable(k):
+            raise ValueError(f"{k} is fixed when the session starts; set it there")
+        spark.conf.set(k, v)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -91,22 +89,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer tasks than the cluster has
-    cores (a small file with one row group is read by one task).  A large
-    input already splits into many tasks and is left alone, so this never
-    adds a shuffle at scale.  Column pruning and filters still reach the
-    scan below the repartition."""
-    try:
-        want = df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # no RDD access (e.g. a Spark Connect session)
-        return df
-    if have < want:
-        return df.repartition(want)
-    return df
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one driver table (already-fetched pages and friends)."""
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

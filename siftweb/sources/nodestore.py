@@ -14,11 +14,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siftweb.operators.nodes import NODE_COLUMNS
+from siftweb.session import scratch_path
 
 # Fixed value: the separator joining list items in the packed layout.
 SEPARATOR = "<=_|_=>"
 _SEP_RE = "\\Q" + SEPARATOR + "\\E"
 
+# Spark numbers the rows of a partition below this many bits.
+_PLACE_BITS = 33
+
 PACKED_LIST_COLUMNS = ("content", "out_links")
 
 
@@ -53,33 +57,46 @@ def assign_ids(df: DataFrame, order_cols: list[str], start: int | DataFrame = 0,
                id_col: str = "id") -> DataFrame:
     """Dense ids start+1, start+2, ... in ``order_cols`` order.
 
-    No one-partition window: rows are range-partitioned by the sort key,
-    numbered inside each partition, and shifted by the row count of all
-    earlier partitions (a table with one row per partition).
+    No one-partition window: the rows are range-partitioned by the sort key,
+    sorted, and written once with their place (partition, row in it) to the
+    shared scratch folder.  The partitions' row counts come from that very
+    file, so rows and counts cannot belong to different shuffles; the shift
+    by all earlier partitions is a table with one row per partition.
     """
-    sorted_df = df.repartitionByRange(*order_cols).withColumn("_pid", F.spark_partition_id())
-    w = Window.partitionBy("_pid").orderBy(*order_cols)
-    numbered = sorted_df.withColumn("_rn", F.row_number().over(w))
-    counts = numbered.groupBy("_pid").agg(F.max("_rn").alias("_n"))
-    offsets = counts.select(
-        "_pid",
-        (F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)))
-        .alias("_off"))
-    if isinstance(start, DataFrame):
-        base = start.first()[0] or 0
-    else:
-        base = start
-    return (numbered.join(F.broadcast(offsets), "_pid")
-            .withColumn(id_col, (F.lit(base) + F.coalesce(F.col("_off"), F.lit(0)) + F.col("_rn")).cast("bigint"))
-            .drop("_pid", "_rn", "_off"))
-
-
-def upsert(store: DataFrame, batch: DataFrame) -> DataFrame:
+    spark = df.sparkSession
+    path = scratch_path(spark, "ids")
+    placed = df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols) \
+        .withColumn("_place", F.monotonically_increasing_id())
+    placed.write.parquet(path)
+    placed = spark.read.schema(placed.schema).parquet(path).withColumn("_part", F.shiftright("_place", _PLACE_BITS))
+    counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = counts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
+    base = (start.first()[0] or 0) if isinstance(start, DataFrame) else start
+    return (placed.join(before, "_part")
+            .withColumn(id_col, F.lit(base) + F.col("_before") + F.col("_place")
+                        - F.shiftleft("_part", _PLACE_BITS) + 1)
+            .drop("_part", "_place", "_before"))
+
+
+def last_updates(updates: DataFrame, order_by: str | None = None) -> DataFrame:
+    """One update per id: the fields of the last row by ``order_by`` (by
+    content hash and URL if there is no such column) and the last content
+    that is not null."""
+    order = F.struct(*([order_by] if order_by else []), "content_hash", "url")
+    fields = [c for c in NODE_COLUMNS if c not in ("id", "content")]
+    last = updates.groupBy("id").agg(
+        F.max_by(F.struct(*fields), order).alias("_f"),
+        F.max_by("content", F.when(F.col("content").isNotNull(), order)).alias("content"))
+    return last.select("id", "content", "_f.*").select(*NODE_COLUMNS)
+
+
+def upsert(store: DataFrame, batch: DataFrame, order_by: str | None = None) -> DataFrame:
     """S7 (+S8): rows with an id update that node, taking every field from
-    the batch (even nulls) except content, which a null keeps; rows without
-    an id are inserted with fresh ids after the largest stored id."""
+    the batch (even nulls) except content, which a null keeps; an id that the
+    batch names several times takes the last of its rows; rows without an id
+    are inserted with fresh ids after the largest stored id."""
     cols = NODE_COLUMNS
-    updates = batch.filter(F.col("id").isNotNull())
+    updates = last_updates(batch.filter(F.col("id").isNotNull()), order_by)
     inserts = batch.filter(F.col("id").isNull())
     old = store.select(*cols)
     upd = updates.select(*[F.col(c).alias("n_" + c) for c in cols])
@@ -93,20 +110,26 @@ def upsert(store: DataFrame, batch: DataFrame) -> DataFrame:
     return kept.unionByName(new_rows)
 
 
-def save(spark: SparkSession, path: str, batch: DataFrame, clear: bool = False) -> DataFrame:
-    """Clear (overwrite with the batch, ids from 1) or upsert into the
-    existing store.  The result is written to ``path`` and read back."""
-    exists = True
-    try:
-        current = spark.read.parquet(path)
-    except Exception:  # no store yet
-        exists = False
-    if clear or not exists:
+def exists(spark: SparkSession, path: str) -> bool:
+    """The path is there, in whatever file system it names."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
+def save(spark: SparkSession, path: str, batch: DataFrame, clear: bool = False,
+         order_by: str | None = None) -> DataFrame:
+    """Clear (the batch alone, rows without an id numbered after the
+    largest id it holds) or upsert into the existing store.  The result is
+    written to ``path`` and read back.  A store that is there but cannot be
+    read raises; only a missing path counts as no store yet."""
+    if clear or not exists(spark, path):
+        keep = last_updates(batch.filter(F.col("id").isNotNull()), order_by)
         inserts = batch.filter(F.col("id").isNull()).drop("id")
-        keep = batch.filter(F.col("id").isNotNull()).select(*NODE_COLUMNS)
-        result = keep.unionByName(assign_ids(inserts, ["content_hash", "url"], 0).select(*NODE_COLUMNS))
+        fresh = assign_ids(inserts, ["content_hash", "url"], batch.agg(F.max("id")))
+        result = keep.unionByName(fresh.select(*NODE_COLUMNS))
     else:
-        result = upsert(current, batch)
+        result = upsert(spark.read.parquet(path), batch, order_by)
     tmp = path.rstrip("/") + ".next"
     result.write.mode("overwrite").parquet(tmp)
     written = spark.read.parquet(tmp)

@@ -10,8 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftweb.session import spread
-
 PAGE_COLUMNS = ["page_id", "url", "html"]
 
 
@@ -20,7 +18,7 @@ def read_pages(spark: SparkSession, path: str, fmt: str = "parquet", **options)
     reader = spark.read.format(fmt).options(**options)
     if fmt == "json":
         reader = reader.schema("page_id BIGINT, url STRING, html STRING")
-    return spread(reader.load(path).select(*PAGE_COLUMNS))
+    return reader.load(path).select(*PAGE_COLUMNS)
 
 
 def read_html_files(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
@@ -31,7 +29,7 @@ def read_html_files(spark: SparkSession, path: str, encoding: str = "UTF-8") ->
     runs, no global numbering); url is the file path.
     """
     files = spark.read.format("binaryFile").load(path)
-    return spread(files.select(
+    return files.select(
         F.xxhash64("path").alias("page_id"),
         F.col("path").alias("url"),
-        F.decode(F.col("content"), encoding).alias("html")))
+        F.decode(F.col("content"), encoding).alias("html"))

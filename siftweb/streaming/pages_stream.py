@@ -16,9 +16,11 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siftweb.functions.urls import normalize
 from siftweb.operators import dedup as D
 from siftweb.operators import nodes as N
 from siftweb.session import scratch_path
+from siftweb.sources.nodestore import exists
 
 PAGES_SCHEMA = "page_id BIGINT, url STRING, html STRING"
 
@@ -66,7 +68,10 @@ def run_to_table(df: DataFrame, out: str, ckpt: str, mode: str = "append") -> No
     q.awaitTermination()
 
 
-STORE_BUCKETS = 64
+#: Defaults of the store's layout.  Choose the buckets so that one of them
+#: (store size / buckets) is a task's worth of hashes, and the writers so that
+#: buckets * writers tasks write a micro-batch.
+STORE_BUCKETS, BUCKET_WRITERS = 64, 1
 
 
 def hash_bucket(col: str = "content_hash", buckets: int = STORE_BUCKETS):
@@ -88,16 +93,15 @@ class StoreMerger:
     stored content.
     """
 
-    def __init__(self, store: str, run: str, buckets: int = STORE_BUCKETS):
+    def __init__(self, store: str, run: str, buckets: int = STORE_BUCKETS, writers: int = BUCKET_WRITERS):
         self.store = store.rstrip("/")
         self.run = run
-        self.buckets = buckets
+        self.buckets, self.writers = buckets, writers
 
     def _stored(self, spark: SparkSession, skip: str, buckets: list[int]) -> DataFrame | None:
-        try:
-            df = spark.read.parquet(f"{self.store}/nodes")
-        except Exception:  # nothing stored yet
+        if not exists(spark, f"{self.store}/nodes"):
             return None
+        df = spark.read.parquet(f"{self.store}/nodes")
         return (df.filter((F.col("batch") != skip) & F.col("bucket").isin(buckets))
                 .select("content_hash", F.col("id").alias("node_id")))
 
@@ -115,9 +119,9 @@ class StoreMerger:
         if stored is not None:
             fresh = fresh.join(stored.select("content_hash"), "content_hash", "left_anti")
         nodes, _ = D.merge_duplicates(fresh)
-        # One file per bucket folder: rows are clustered by bucket first.
+        # ``writers`` files per bucket folder: rows are clustered by bucket and salt first.
         (nodes.withColumn("bucket", hash_bucket(buckets=self.buckets))
-         .repartition("bucket")
+         .repartition("bucket", F.pmod(F.xxhash64("id"), F.lit(self.writers)))
          .write.mode("overwrite").partitionBy("bucket").parquet(f"{self.store}/nodes/batch={tag}"))
         known = spark.read.parquet(f"{self.store}/nodes/batch={tag}").select(
             "content_hash", F.col("id").alias("node_id"))
@@ -130,21 +134,47 @@ class StoreMerger:
 
 
 def merge_stream(spark: SparkSession, pages: DataFrame, store: str, ckpt: str,
-                 known_urls: DataFrame | None = None) -> None:
+                 known_urls: DataFrame | None = None, buckets: int = STORE_BUCKETS,
+                 writers: int = BUCKET_WRITERS) -> None:
     """T4/T5: run the store merge over everything available.
 
-    ``known_urls`` (from a store being resumed) removes pages already
-    processed before they are parsed (stream-static anti join)."""
+    ``known_urls`` (the aliases of a store being resumed) removes pages
+    already processed before they are parsed (stream-static anti join); both
+    sides are normalized here, as nodes' URLs are."""
     if known_urls is not None:
-        pages = pages.join(known_urls.select(F.col("url").alias("_known")),
-                           F.col("url") == F.col("_known"), "left_anti")
+        known = known_urls.select(normalize(F.col("url")).alias("_known")).distinct()
+        pages = pages.join(known, normalize(F.col("url")) == F.col("_known"), "left_anti")
     run = hashlib.sha1(ckpt.encode()).hexdigest()[:10]
-    q = (pages.writeStream.foreachBatch(StoreMerger(store, run))
+    q = (pages.writeStream.foreachBatch(StoreMerger(store, run, buckets, writers))
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
 
 
 def read_store(spark: SparkSession, store: str) -> tuple[DataFrame, DataFrame]:
-    nodes = spark.read.parquet(f"{store.rstrip('/')}/nodes").drop("batch", "bucket")
+    """(nodes, aliases).  ``n_urls`` is counted from the aliases, for a later
+    micro-batch may add URLs to a node that an earlier one wrote."""
     aliases = spark.read.parquet(f"{store.rstrip('/')}/aliases").drop("batch")
-    return nodes, aliases
+    counts = aliases.groupBy(F.col("node_id").alias("id")).agg(F.count(F.lit(1)).alias("n_urls"))
+    nodes = spark.read.parquet(f"{store.rstrip('/')}/nodes").drop("batch", "bucket", "n_urls").join(counts, "id")
+    return nodes.select(*N.NODE_COLUMNS), aliases
+
+
+def compact(spark: SparkSession, store: str, files_per_bucket: int = BUCKET_WRITERS) -> None:
+    """Put all micro-batches of a store into one folder.  Run it while no
+    stream writes.  The new folder is complete before the old ones go; a crash
+    in between leaves rows twice, which running it again mends (rows are
+    distinct by id and by alias)."""
+    root = store.rstrip("/")
+    for table, key in (("nodes", ["id"]), ("aliases", ["page_id"])):
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/{table}")
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        old = [f.getPath() for f in fs.listStatus(path) if f.getPath().getName().startswith("batch=")]
+        rows = spark.read.parquet(f"{root}/{table}").drop("batch").dropDuplicates(key)
+        tag = f"compact-{scratch_path(spark, 'x').rsplit('-', 1)[1]}"
+        if table == "nodes":
+            rows = rows.repartition("bucket", F.pmod(F.xxhash64("id"), F.lit(files_per_bucket)))
+            rows.write.partitionBy("bucket").parquet(f"{root}/{table}/batch={tag}")
+        else:
+            rows.write.parquet(f"{root}/{table}/batch={tag}")
+        for p in old:
+            fs.delete(p, True)

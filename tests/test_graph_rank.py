@@ -1,58 +1,44 @@
-import numpy as np
 import pytest
 
 from siftweb.operators import graph as G
 from siftweb.operators import rank as R
 
 
-def brute_rank(n_ids, links, teleport, steps, eps=0.0):
-    """Dense power method as stated: duplicates count in out_count, one
-    entry per distinct target, dangling rows teleport, L1 renorm."""
-    idx = {v: i for i, v in enumerate(n_ids)}
-    n = len(n_ids)
-    M = np.zeros((n, n))
-    out = {}
-    for s, d in links:
-        out[s] = out.get(s, 0) + 1
-    for s, d in links:
-        M[idx[s], idx[d]] = 1.0
-    for s, c in out.items():
-        M[idx[s], :] /= c
-    for v in n_ids:
-        if v not in out:
-            M[idx[v], :] = 1.0 / n
-    M = M.T
-    x = np.ones(n) / n
-    for _ in range(steps):
-        y = (1 - teleport) * M.dot(x) + teleport / n
-        norm = np.abs(y).sum()
-        if norm < eps:
-            break
-        y /= norm
-        diff = np.linalg.norm(x - y)
-        x = y
-        if diff < eps:
-            break
-    return {v: x[idx[v]] for v in n_ids}
-
-
+# Small graphs: ids, links, and one step without teleport written out by hand.
 GRAPHS = {
-    "cycle": ([1, 2, 3], [(1, 2), (2, 3), (3, 1)]),
-    "star": ([0, 1, 2, 3], [(1, 0), (2, 0), (3, 0), (0, 1)]),
-    "dangling": ([1, 2, 3], [(1, 2), (2, 3)]),
-    "duplicate_and_self": ([1, 2, 3], [(1, 2), (1, 2), (1, 3), (2, 2), (2, 1), (3, 1)]),
+    "cycle": ([1, 2, 3], [(1, 2), (2, 3), (3, 1)],
+              lambda x: {1: x[3], 2: x[1], 3: x[2]}),
+    "star": ([0, 1, 2, 3], [(1, 0), (2, 0), (3, 0), (0, 1)],
+             lambda x: {0: x[1] + x[2] + x[3], 1: x[0], 2: 0, 3: 0}),
+    "dangling": ([1, 2, 3], [(1, 2), (2, 3)],
+                 lambda x: {1: x[3] / 3, 2: x[1] + x[3] / 3, 3: x[2] + x[3] / 3}),
+    # 1 has three links but two targets, so a third of its rank is lost.
+    "duplicate_and_self": ([1, 2, 3], [(1, 2), (1, 2), (1, 3), (2, 2), (2, 1), (3, 1)],
+                           lambda x: {1: x[2] / 2 + x[3], 2: x[1] / 3 + x[2] / 2, 3: x[1] / 3}),
+    "hub": (list(range(40)), [(0, d) for d in range(1, 40)] + [(d, 0) for d in range(1, 40)] + [(5, 6), (5, 6)],
+            lambda x: {0: sum(x[d] for d in range(1, 40)) - x[5] * 2 / 3, 6: x[0] / 39 + x[5] / 3}
+            | {d: x[0] / 39 for d in range(1, 40) if d != 6}),
 }
 
 
+def by_hand(name, teleport, steps):
+    ids, _, step = GRAPHS[name]
+    x = dict.fromkeys(ids, 1 / len(ids))
+    for _ in range(steps):
+        y = {k: (1 - teleport) * v + teleport / len(ids) for k, v in step(x).items()}
+        x = {k: v / sum(y.values()) for k, v in y.items()}
+    return x
+
+
 @pytest.mark.parametrize("name", sorted(GRAPHS))
 @pytest.mark.parametrize("teleport", [0.0, 0.1])
 def test_rank_matches_dense(spark, name, teleport):
-    ids, links = GRAPHS[name]
+    ids, links, _ = GRAPHS[name]
     v = spark.createDataFrame([(i,) for i in ids], "id long")
     e = spark.createDataFrame(links, "src long, dst long")
     res = R.rank(spark, v, e, teleport=teleport, eps=0.0, max_iter=7)
     got = {r.id: r.rank for r in res.ranks.collect()}
-    exp = brute_rank(ids, links, teleport, 7)
+    exp = by_hand(name, teleport, 7)
     for k in ids:
         assert got[k] == pytest.approx(exp[k], abs=1e-12)
     assert sum(got.values()) == pytest.approx(1.0)
@@ -61,7 +47,7 @@ def test_rank_matches_dense(spark, name, teleport):
 
 
 def test_rank_converges_and_history(spark):
-    ids, links = GRAPHS["cycle"]
+    ids, links, _ = GRAPHS["cycle"]
     v = spark.createDataFrame([(i,) for i in ids], "id long")
     e = spark.createDataFrame(links, "src long, dst long")
     res = R.rank(spark, v, e, teleport=0.0)
@@ -99,8 +85,11 @@ def test_url_index_later_wins_and_shared(spark):
                                "url string, node_id long")
     idx = {r.url: r.node_id for r in G.url_index(al).collect()}
     assert idx == {"u1": 5, "u2": 2, "u3": 7}
-    same = {r.node_id: r.same_as for r in G.shared_url_groups(al).collect()}
-    assert same == {5: 1, 7: 5}
+    same = {(r.url, r.node_id): r.same_as for r in G.shared_url_groups(al).collect()}
+    assert same == {("u1", 1): 1, ("u1", 5): 1, ("u3", 5): 5, ("u3", 7): 5}
+    twice = spark.createDataFrame([("u1", 1), ("u1", 5), ("u2", 2), ("u2", 5), ("u4", 9), ("u4", 9)], "url string, node_id long")
+    assert {(r.url, r.node_id, r.same_as) for r in G.shared_url_groups(twice).collect()} == {
+        ("u1", 1, 1), ("u1", 5, 1), ("u2", 2, 2), ("u2", 5, 2)}
 
 
 def test_reachability(spark):
@@ -112,13 +101,12 @@ def test_reachability(spark):
 
 
 def test_hub_salting_keeps_result(spark):
-    ids = list(range(40))
-    links = [(0, d) for d in range(1, 40)] + [(d, 0) for d in range(1, 40)] + [(5, 6), (5, 6)]
+    ids, links, _ = GRAPHS["hub"]
     v = spark.createDataFrame([(i,) for i in ids], "id long")
     e = spark.createDataFrame(links, "src long, dst long")
     res = R.rank(spark, v, e, teleport=0.1, eps=0.0, max_iter=5, salt_min_edges=3)
     got = {r.id: r.rank for r in res.ranks.collect()}
-    exp = brute_rank(ids, links, 0.1, 5)
+    exp = by_hand("hub", 0.1, 5)
     for k in ids:
         assert got[k] == pytest.approx(exp[k], abs=1e-12)
 

@@ -78,3 +78,21 @@ def test_language_attribute(spark):
     df = spark.createDataFrame(rows, "h string")
     got = [r.l for r in df.select(H.language(F.col("h")).alias("l")).collect()]
     assert got == ["de-AT", "fr", ""]
+
+
+def test_scripts_styles_and_comments_in_order(spark):
+    """Whatever opens first decides (expected values written by hand)."""
+    head = "<html><body>"
+    cases = [
+        ('<script>var s="<!--";</script><p>kept text</p>', ["kept text"], []),
+        ('<script><!--\n<a class="x" href="/in" >y</a>\n//--></script><p>a</p>', ["a"], ["/in"]),
+        ("<!-- <script> --><p>b</p><!-- </script> -->", ["b"], []),
+        ("<style-x>shown</style-x><script-y>too</script-y>", ["shown", "too"], []),
+        ("<style>p{}<!-- </style><p>c</p>", ["c"], []),
+        ("<p>d</p><script>never closed <p>e</p>", ["d"], []),
+    ]
+    for body, texts, links in cases:
+        df = spark.createDataFrame([(1, "http://h/", head + body)], "page_id long, url string, html string")
+        row = df.select(H.segments(H.clean_html(F.col("html"))).alias("s"), H.script_hrefs(F.col("html")).alias("j")).first()
+        assert (row.s, row.j) == (texts, links), body
+        assert N.parse_pages(df).first().content == texts

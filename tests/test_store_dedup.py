@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from siftweb.functions import text as T
@@ -119,3 +120,41 @@ def test_page_sources(spark):
     files = P.read_html_files(spark, f"{d}/html/*.html")
     nodes = N.parse_pages(files).collect()
     assert len(nodes) == 3 and all(n.title for n in nodes)
+
+
+def test_ids_are_dense_on_wide_rows(spark):
+    """Rows and partition counts come from one shuffle, AQE on or off."""
+    wide = spark.range(300_000).select(F.xxhash64("id").alias("k"), F.repeat(F.sha2(F.col("id").cast("string"), 256), 8).alias("pad"))
+    try:
+        for aqe in ("true", "false"):
+            spark.conf.set("spark.sql.adaptive.enabled", aqe)
+            got = nodestore.assign_ids(wide, ["k"], 5)
+            s = got.agg(F.count_distinct("id").alias("n"), F.min("id").alias("lo"), F.max("id").alias("hi")).first()
+            assert (s.n, s.lo, s.hi) == (300_000, 6, 300_005)
+        first = got.orderBy("id").select("k").limit(3).collect()
+        assert first == wide.orderBy("k").select("k").limit(3).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_save_mixed_and_repeated_ids(spark):
+    from siftweb.session import scratch_path
+    path = scratch_path(spark, "test-save") + "/nodes"
+    batch = spark.createDataFrame([
+        (1, "a", 1, ["x"], [], "de", -1.0, "t", "h1"), (7, "b", 1, ["y"], [], "de", -1.0, "t", "h2"),
+        (None, "c", 1, ["z"], [], "de", -1.0, "t", "h3")], COLS)
+    assert sorted(r.id for r in nodestore.save(spark, path, batch, clear=True).collect()) == [1, 7, 8]
+    twice = spark.createDataFrame([
+        (7, "b1", 1, ["new"], [], "en", 0.1, "t1", "h4", 1), (7, "b2", 1, None, [], "en", 0.2, "t2", "h2", 2)], COLS + ", seq int")
+    rows = [r for r in nodestore.save(spark, path, twice, order_by="seq").collect() if r.id == 7]
+    assert [(r.url, r.content, r.importance) for r in rows] == [("b2", ["new"], 0.2)]
+
+
+def test_unreadable_store_raises(spark):
+    from siftweb.session import scratch_path
+    path = scratch_path(spark, "test-broken") + "/nodes"
+    spark.createDataFrame([("not a node",)], "x string").write.text(path)
+    batch = spark.createDataFrame([(None, "u1", 1, ["a"], [], "de", -1.0, "t1", "h1")], COLS)
+    with pytest.raises(Exception):
+        nodestore.save(spark, path, batch)
+    assert spark.read.text(path).count() == 1

@@ -55,6 +55,27 @@ def test_store_lookup_prunes_buckets(spark):
     assert len(rows) == n3_7
 
 
+def test_store_counts_urls_across_batches_and_compacts(spark):
+    html = "<html><body><p>%s</p></body></html>"
+    rows = [(1, "http://h/a", html % "same"), (2, "http://h/b/", html % "same"), (3, "http://h/c", html % "other")]
+    pages = spark.createDataFrame(rows, ST.PAGES_SCHEMA)
+    folder = ST.scratch(spark, "urls-in")
+    for r in rows:
+        pages.filter(F.col("page_id") == r[0]).coalesce(1).write.mode("append").parquet(folder)
+    store = ST.scratch(spark, "urls-store")
+    ST.merge_stream(spark, ST.read_pages_stream(spark, folder, max_files_per_trigger=1), store,
+                    ST.scratch(spark, "urls-ck"), buckets=4, writers=2)
+    before = {r.url: r.n_urls for r in ST.read_store(spark, store)[0].collect()}
+    assert sorted(before.values()) == [1, 2]
+    ST.compact(spark, store)
+    nodes, aliases = ST.read_store(spark, store)
+    assert {r.url: r.n_urls for r in nodes.collect()} == before and aliases.count() == 3
+    # known URLs are compared in normalized form
+    ST.merge_stream(spark, ST.read_pages_stream(spark, folder), store, ST.scratch(spark, "urls-ck2"),
+                    known_urls=spark.createDataFrame([(r[1],) for r in rows], "url string"), buckets=4)
+    assert ST.read_store(spark, store)[1].count() == 3
+
+
 def test_dedup_within_watermark(spark):
     from siftweb.plans import catalog as C
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
