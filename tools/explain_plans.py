@@ -35,9 +35,7 @@ def main():
            "",
            f"Generated by `tools/explain_plans.py` at `{sf}` (local[8], AQE on; the",
            "initial plan is shown, AQE may still coalesce or switch joins at run",
-           "time).  The `Exchange` right above a scan is the round-robin spread of",
-           "a one-task input file (see `session.spread`); it is absent when the",
-           "input already splits into enough tasks.", ""]
+           "time).", ""]
     for name in QUERIES:
         text = plan_text(catalog.REGISTRY[name](spark, sf))
         tree = text.split("\n\n")[0].replace("== Physical Plan ==\n", "")
