@@ -1,20 +1,20 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraphs.
 
 A text's paragraphs are its lines, cut further after words whose hash is
-divisible by a power of two, ``step``, that follows from the text's length
-(1 up to ``FINE`` characters, doubling with it), and after ``LONGEST * step``
-words at the latest, so that a text has some hundred paragraphs whatever its
-length and an edit changes only those that it touches.  The distinct digests
-go into a table of cells: every digest adds one to the count and is xored,
-with a check value, into one cell of each of three parts of the table.
+divisible by ``STEP``, a power of two, and after ``LONGEST * STEP`` words at
+the latest.  The rule is the same at every length, so an edit changes only
+the few words' paragraphs that it touches, and texts of any lengths compare.
+The distinct digests go into a table of cells: every digest adds one to the
+count and is xored, with a check value, into one cell of each of three parts
+of the table.
 
 Two tables of equal shape subtract cell by cell; digests that both hold
 cancel.  Peeling then takes digests from cells that hold a single one until
 the table is empty, which recovers the digests that differ.  If cells remain,
-both texts are sketched anew with four times the cells, until it succeeds.
-The likeness of two texts is the share of common digests among all of theirs
-(two texts without words: 1).  Texts of different lengths are compared at the
-larger ``step``.
+both texts are sketched anew with four times the cells, until it succeeds, so
+the cells grow with the difference, not with the texts.  The likeness of two
+texts is the share of common digests among all of theirs (two texts without
+words: 1).
 
 A fingerprint is the string ``step:digests:cells`` with the ``CELLS`` cells
 in base64.
@@ -44,14 +44,14 @@ from pyspark.sql import functions as F
 
 from siftweb.llm import vec
 
-CELLS, GROW, FINE, LONGEST, SPLIT = 24, 4, 512, 4, 4
+CELLS, GROW, STEP, LONGEST, SPLIT = 24, 4, 4, 4, 4
 _U = np.uint64
 _SEEDS = [_U(0x51ED270B35D5A1F3), _U(0x8CB92BA72F3D8DD7), _U(0xC2B2AE3D27D4EB4F)]
 
 
 def steps(n_chars: np.ndarray) -> np.ndarray:
-    ratio = np.maximum(np.asarray(n_chars, float) / FINE, 1)
-    return np.left_shift(1, np.ceil(np.log2(ratio)).astype(np.int64))
+    """The step of each text: ``STEP``, whatever its length."""
+    return np.full(np.shape(n_chars), STEP, np.int64)
 
 
 class Words:
@@ -180,20 +180,46 @@ def _sketch(words: Words, which: np.ndarray, step: np.ndarray, cells: int) -> tu
     return t, np.bincount(owner, minlength=len(which))
 
 
-def likeness(words: Words, a: np.ndarray, b: np.ndarray, step: np.ndarray) -> np.ndarray:
-    """Shares of common digests of the texts a[i] and b[i], by subtracting and
-    peeling; pairs that fail try again with GROW times the cells."""
-    out = np.zeros(len(a))
+class Digests:
+    """Distinct digests of some texts, for sketches of any size."""
+
+    def __init__(self, words: Words):
+        n = len(words.size)
+        owner, self.d = words.digests(np.arange(n), steps(np.zeros(n)))
+        self.size = np.bincount(owner, minlength=n)
+        self.off = np.concatenate([[0], np.cumsum(self.size)])
+
+    def tables(self, which: np.ndarray, cells: int) -> Tables:
+        n = self.size[which]
+        at = np.repeat(self.off[which] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        t = Tables(len(which), cells)
+        t.add(np.repeat(np.arange(len(which)), n), self.d[at])
+        return t
+
+
+def recover(texts: Digests, a: np.ndarray, b: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(pairs, place among them, digest, sign) that subtracting and peeling gives
+    for the texts a[i] and b[i], sign 1 for a's; pairs that fail try again with
+    GROW times the cells, so each pair comes once."""
     left, cells = np.arange(len(a)), CELLS
+    # The sizes alone tell that so many digests differ: no table holds more than its cells.
+    least = np.abs(texts.size[a] - texts.size[b])
     while len(left):
-        x, nx = _sketch(words, a[left], step[left], cells)
-        y, ny = _sketch(words, b[left], step[left], cells)
-        done, owner, _, sign = x.minus(y).peel()
-        common = nx - np.bincount(owner[sign > 0], minlength=len(left))
-        union = nx + ny - common
-        share = np.where(union > 0, common / np.maximum(union, 1), 1.0)
-        out[left[done]] = share[done]
-        left, cells = left[~done], cells * GROW
+        now = left[least[left] <= cells]
+        done, owner, d, sign = texts.tables(a[now], cells).minus(texts.tables(b[now], cells)).peel()
+        keep = done[owner]
+        yield now[done], (np.cumsum(done) - 1)[owner[keep]], d[keep], sign[keep]
+        left = np.setdiff1d(left, now[done], assume_unique=True)
+        cells *= GROW
+
+
+def likeness(texts: Digests, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Shares of common digests of the texts a[i] and b[i]."""
+    out = np.zeros(len(a))
+    for pairs, at, _, sign in recover(texts, a, b):
+        common = texts.size[a[pairs]] - np.bincount(at[sign > 0], minlength=len(pairs))
+        union = texts.size[a[pairs]] + texts.size[b[pairs]] - common
+        out[pairs] = np.where(union > 0, common / np.maximum(union, 1), 1.0)
     return out
 
 
@@ -203,7 +229,7 @@ def fingerprints(docs: DataFrame, cells: int = CELLS) -> DataFrame:
         for rows, data, off in vec.slices(batches):
             raw = data.tobytes()
             texts = [raw[a:b] for a, b in zip(off[:-1].tolist(), off[1:].tolist())]
-            step = steps(np.array([len(t.decode()) for t in texts]))
+            step = steps(np.zeros(len(texts)))
             t, size = _sketch(Words(texts), np.arange(len(texts)), step, cells)
             yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(t.strings(step, size))],
                                              names=["doc_id", "fingerprint"])
@@ -240,20 +266,16 @@ VERSIONS = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string
 def _versions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for ids, texts in _runs(batches):
         m = len(ids)
-        n = np.array([len(t) for t in texts])
+        n = np.array([len(t) for t in texts[:m]])
         edited = [t[: len(t) - len(t) // 3] + nxt[: len(t) // 3] for t, nxt in zip(texts[:m], texts[1:])]
         raw = [t.encode() for t in edited]
-        words = Words([t.encode() for t in texts] + raw)
-        step, step_e = steps(n), steps(np.array([len(t) for t in edited]))
+        every = Digests(Words([t.encode() for t in texts] + raw))
         own, late = np.arange(m), np.arange(m) + len(texts)
-        fp, size = _sketch(words, own, step[:m], CELLS)
-        fe, size_e = _sketch(words, late, step_e, CELLS)
-        near = likeness(words, np.concatenate([own, own]), np.concatenate([late, own + 1]),
-                        np.concatenate([np.maximum(step[:m], step_e), np.maximum(step[:m], step[1: m + 1])]))
+        fp, fe = (every.tables(which, CELLS).strings(steps(which), every.size[which]) for which in (own, late))
+        near = likeness(every, np.concatenate([own, own]), np.concatenate([late, own + 1]))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(n[:m], pa.int64()), pa.array([hashlib.sha256(r).hexdigest() for r in raw]),
-             pa.array(fp.strings(step[:m], size)), pa.array(fe.strings(step_e, size_e)),
-             pa.array(near[:m]), pa.array(near[m:])],
+            [pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array([hashlib.sha256(r).hexdigest() for r in raw]),
+             pa.array(fp), pa.array(fe), pa.array(near[:m]), pa.array(near[m:])],
             names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
 
 

@@ -470,6 +470,23 @@ def test_versions_of_few(spark, none):
     assert bloomlookup.fingerprints(frame(spark, ODD)).count() == len(ODD)
 
 
+def near_copy(rng, words):
+    return [f"x{i}" if rng.random() < 0.01 else w for i, w in enumerate(words)]
+
+
+def test_near_copies_are_alike_at_every_length(spark):
+    rng, rows, length = random.Random(8), [], {}
+    for n in [80] * 40 + [800] * 10 + [20000, 160000]:
+        old = prose(rng, n, 20000)
+        rows += [(2 * len(length) + 1, " ".join(old)), (2 * len(length), " ".join(near_copy(rng, old)))]
+        length[rows[-2][0]] = n
+    near = {n: [] for n in length.values()}
+    for r in bloomlookup.versions(frame(spark, rows)).collect():
+        if r["doc_id"] in length:
+            near[length[r["doc_id"]]].append(r["near_next"])
+    assert all(0.8 < np.mean(x) < 0.98 for x in near.values()), near
+
+
 # ----------------------------------------------------------------- pipeline
 
 def test_pipeline_stages(spark):
