@@ -17,7 +17,9 @@ texts is the share of common digests among all of theirs (two texts without
 words: 1).
 
 A fingerprint is the string ``step:digests:cells`` with the ``CELLS`` cells
-in base64.
+in base64 (counts and check values of 32 bits, digests of 64).  Two of them
+give back small differences only (``difference``); ``changes`` has both texts
+and gives back any.
 
 ``versions`` puts each document beside its edited text and the next document
 by descending doc_id.  The documents are dealt to ranges of doc_id, whose
@@ -147,7 +149,7 @@ class Tables:
         return ~rest.reshape(self.n, self.cells).any(1), np.concatenate(owners), np.concatenate(found), np.concatenate(signs)
 
     def strings(self, step: np.ndarray, size: np.ndarray) -> list[str]:
-        raw = np.concatenate([self.count.astype("<i2").reshape(self.n, -1).view(np.uint8),
+        raw = np.concatenate([self.count.astype("<i4").reshape(self.n, -1).view(np.uint8),
                               self.key.astype("<u8").reshape(self.n, -1).view(np.uint8),
                               self.check.astype("<u4").reshape(self.n, -1).view(np.uint8)], 1)
         return [f"{s}:{m}:{base64.b64encode(r.tobytes()).decode()}" for s, m, r in zip(step.tolist(), size.tolist(), raw)]
@@ -156,16 +158,16 @@ class Tables:
     def parse(cls, fingerprint: str) -> tuple[int, int, Tables]:
         step, size, cells = fingerprint.split(":")
         raw = base64.b64decode(cells)
-        t = cls(1, len(raw) // 14)
-        t.count = np.frombuffer(raw, "<i2", t.cells).astype(np.int32)
-        t.key = np.frombuffer(raw, "<u8", t.cells, 2 * t.cells).astype(_U)
-        t.check = np.frombuffer(raw, "<u4", t.cells, 10 * t.cells).astype(np.uint32)
+        t = cls(1, len(raw) // 16)
+        t.count = np.frombuffer(raw, "<i4", t.cells).astype(np.int32)
+        t.key = np.frombuffer(raw, "<u8", t.cells, 4 * t.cells).astype(_U)
+        t.check = np.frombuffer(raw, "<u4", t.cells, 12 * t.cells).astype(np.uint32)
         return int(step), int(size), t
 
 
 def difference(a: str, b: str) -> tuple[list[int], list[int]] | None:
     """Digests only in a, and only in b, from two fingerprints; None if their
-    steps differ or the cells do not suffice."""
+    steps or cell counts differ or the cells do not suffice (see ``changes``)."""
     (s, _, t), (r, _, u) = Tables.parse(a), Tables.parse(b)
     if s != r or t.cells != u.cells:
         return None
@@ -236,6 +238,53 @@ def fingerprints(docs: DataFrame, cells: int = CELLS) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fingerprint string")
 
 
+CHANGES = "doc_id long, n_common long, only_text array<long>, only_other array<long>"
+
+
+def _pairs(batches: Iterator[pa.RecordBatch], limit: int = 1 << 20) -> Iterator[tuple[list, list[bytes], list[bytes]]]:
+    """(doc_ids, texts, other texts) of about ``limit`` bytes at a time."""
+    for batch in batches:
+        ids, texts, others, held = [], [], [], 0
+        for i in range(batch.num_rows):
+            text, other = ((batch.column(c)[i].as_py() or "").encode() for c in ("text", "other"))
+            if ids and held + len(text) + len(other) > limit:
+                yield ids, texts, others
+                ids, texts, others, held = [], [], [], 0
+            ids.append(batch.column("doc_id")[i].as_py())
+            texts.append(text)
+            others.append(other)
+            held += len(text) + len(other)
+        if ids:
+            yield ids, texts, others
+
+
+def _changes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def lists(at: np.ndarray, d: np.ndarray, n: int) -> pa.Array:
+        order = np.lexsort((d, at))
+        off = np.concatenate([[0], np.cumsum(np.bincount(at, minlength=n))])
+        return pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(d[order].view(np.int64)))
+
+    for ids, texts, others in _pairs(batches):
+        m = len(ids)
+        every = Digests(Words(texts + others))
+        found = [(pairs[at], d, sign) for pairs, at, d, sign in recover(every, np.arange(m), np.arange(m) + m)]
+        at, d, sign = (np.concatenate(c) for c in zip(*found))
+        n_common = every.size[:m] - np.bincount(at[sign > 0], minlength=m)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(ids, pa.int64()), pa.array(n_common, pa.int64()),
+             lists(at[sign > 0], d[sign > 0], m), lists(at[sign < 0], d[sign < 0], m)],
+            names=["doc_id", "n_common", "only_text", "only_other"])
+
+
+def changes(pairs: DataFrame) -> DataFrame:
+    """The paragraph digests that two versions differ in, for every row
+    (doc_id, text, other), in one narrow pass: how many digests both hold, and
+    those only in ``text`` and only in ``other`` (64 bits as signed numbers,
+    ascending as unsigned ones), whatever their number: pairs whose cells do
+    not peel try again with GROW times the cells."""
+    return pairs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "other").mapInArrow(_changes, CHANGES)
+
+
 def _runs(batches: Iterator[pa.RecordBatch], limit: int = 1 << 20) -> Iterator[tuple[list, list[str]]]:
     """(doc_ids, their texts and the one after the last): consecutive rows of
     one range, about ``limit`` characters at a time."""

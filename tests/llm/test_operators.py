@@ -487,6 +487,33 @@ def test_near_copies_are_alike_at_every_length(spark):
     assert all(0.8 < np.mean(x) < 0.98 for x in near.values()), near
 
 
+def test_changes_gives_back_every_difference(spark):
+    rng, pairs = random.Random(9), [(1, None, ""), (2, "a b\nc", None), (None, LONG, LONG)]
+    for n in (100, 2000, 50000):  # a third edited: far more digests than a stored fingerprint gives back
+        old = prose(rng, n, 20000)
+        pairs.append((n, " ".join(old), " ".join(old[: n - n // 3] + prose(rng, n // 3, 20000) + ["more"] * (n // 9))))
+    got = {r["doc_id"]: r for r in bloomlookup.changes(spark.createDataFrame(pairs, "doc_id long, text string, other string")).collect()}
+    assert len(got) == len(pairs)
+    for i, a, b in pairs:
+        w = bloomlookup.Words([(a or "").encode(), (b or "").encode()])
+        x, y = (set(w.digests(np.array([k]), bloomlookup.steps(np.zeros(1)))[1].tolist()) for k in (0, 1))
+        r = got[i]
+        assert r["n_common"] == len(x & y)
+        assert [v % 2 ** 64 for v in r["only_text"]] == sorted(x - y)
+        assert [v % 2 ** 64 for v in r["only_other"]] == sorted(y - x)
+
+
+def test_fingerprints_of_other_lengths_and_many_digests(spark):
+    words = prose(random.Random(10), 300, 20000)
+    text = (" ".join(words) + " " * 1024)[:1024]  # the length where the step once changed
+    a, b = (r["fingerprint"] for r in bloomlookup.fingerprints(frame(spark, [(1, text), (2, text + " z")])).orderBy("doc_id").collect())
+    gone, came = bloomlookup.difference(a, b)
+    assert 1 <= len(gone) + len(came) <= 3
+    t = bloomlookup.Tables(1, 24)
+    t.count[:] = 40_000
+    assert bloomlookup.Tables.parse(t.strings(np.array([4]), np.array([300_000]))[0])[2].count.tolist() == [40_000] * 24
+
+
 # ----------------------------------------------------------------- pipeline
 
 def test_pipeline_stages(spark):
