@@ -8,10 +8,14 @@ hash under one of as many functions).
 ``TREES`` independent trees branch the representatives.  A node is a list of
 (coordinate, minwise token) choices, and holds the sets that agree on them:
 the root branches on ``BRANCH`` coordinates of its own per tree, every other
-node on ``BRANCH`` coordinates picked by a hash of the node.  At similarity
-0.75 a pair stays together in some child with 1 - 0.25**BRANCH, so a tree
-keeps it down to any depth with 0.89 or more, and six trees lose less than
-one pair in 500,000.
+node on ``BRANCH`` coordinates picked by a hash of the node from the others,
+which all trees share.  A pair that agrees on few of the shared ones is lost
+in every tree at once, so the loss is an average over their number m of
+``SHARED``: with p = m / SHARED a tree below the root ends with probability
+((1 - p) / p)**2 (1 up to p = 0.5).  At a similarity of exactly 0.75 that
+loses one pair in 650,000 in nodes that branch without end; nodes of one
+component or few members end earlier and lose less, and pairs that other
+links join lose nothing.
 
 Each level of all trees is one round of Spark jobs:
 
@@ -27,7 +31,7 @@ Each level of all trees is one round of Spark jobs:
 
 A comparison looks at the minwise tokens first: at least ``AGREE`` of
 ``COORDS`` low bytes must be equal (at similarity 0.75 a pair misses this
-with a chance of about 1e-5).  Then the full sets decide, in integers.  Work
+with a chance of less than 1e-8).  Then the full sets decide, in integers.  Work
 goes to groups of at most ``CHUNK + LEAF`` sets, however large a node is.
 
 Defined cases: texts without words (null, empty, white space) have n_shingles
@@ -51,14 +55,15 @@ from siftweb.llm.bloom import Bloom
 from siftweb.session import scratch_path
 
 SHINGLE, PART, WHOLE = 5, 75, 100
-TREES, BRANCH, COORDS = 6, 2, 72
+TREES, BRANCH, SHARED = 7, 2, 120
 ROOT = TREES * BRANCH
-LEAF, CHUNK, AGREE, FEW = 512, 2000, 38, 1_000_000
+COORDS = ROOT + SHARED
+LEAF, CHUNK, AGREE, FEW = 512, 2000, 70, 1_000_000
 SETS = "doc_id long, n_shingles long, s1 long, s2 long, sig array<int>, low binary"
 
 _U = np.uint64
 _XOR, _ODD = vec.mix(np.arange(1, COORDS + 1, dtype=_U) * _U(0x9E3779B97F4A7C15)), \
-    vec.mix(np.arange(101, COORDS + 101, dtype=_U) * _U(0xD1342543DE82EF95)) | _U(1)
+    vec.mix(np.arange(1001, COORDS + 1001, dtype=_U) * _U(0xD1342543DE82EF95)) | _U(1)
 
 
 def shingle_sets(data: np.ndarray, off: np.ndarray, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -344,7 +349,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         if False not in flags:
             break
         wide = rows.join(live.filter("not small").select("node"), "node", "left_semi").join(reps.select("rid", "sig"), "rid")
-        turns = [F.xxhash64("node", F.lit(b), F.element_at("sig", (F.pmod(F.xxhash64("node", F.lit(b)), COORDS - ROOT)
+        turns = [F.xxhash64("node", F.lit(b), F.element_at("sig", (F.pmod(F.xxhash64("node", F.lit(b)), SHARED)
                                                                    + ROOT + 1).cast("int"))) for b in range(BRANCH)]
         level = run.members(wide.select(F.explode(F.array(*turns)).alias("node"), "rid"))
 

@@ -7,6 +7,7 @@ have names that the operators use themselves.
 
 import collections
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -169,6 +170,20 @@ def test_near_duplicates(spark, monkeypatch, leaf, chunk):
     assert got == brute_components(rows)
 
 
+def test_stated_loss_of_pairs():
+    def binomial(n, p):
+        return [math.comb(n, k) * p ** k * (1 - p) ** (n - k) for k in range(n + 1)]
+
+    shared, p, lost = chosenpath.COORDS - chosenpath.ROOT, 0.75, 0.0
+    for m, chance in enumerate(binomial(shared, p)):
+        a, end = m / shared, 0.0
+        for _ in range(2000):  # a node's line ends: none of its coordinates agrees, or all lines of those that do end
+            end = (1 - a + a * end) ** chosenpath.BRANCH
+        lost += chance * (1 - p + p * end) ** chosenpath.ROOT
+    missed = sum(binomial(chosenpath.COORDS, p + (1 - p) / 256)[: chosenpath.AGREE])
+    assert lost < 1 / 650_000 and missed < 1e-8
+
+
 def test_near_duplicates_odd(odd, none):
     got = chosenpath.near_duplicates(odd).collect()
     assert ids_of(got) == collections.Counter(i for i, _ in ODD)
