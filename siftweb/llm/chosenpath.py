@@ -58,7 +58,7 @@ SHINGLE, PART, WHOLE = 5, 75, 100
 TREES, BRANCH, SHARED = 7, 2, 120
 ROOT = TREES * BRANCH
 COORDS = ROOT + SHARED
-LEAF, CHUNK, AGREE, FEW = 512, 2000, 70, 1_000_000
+LEAF, CHUNK, AGREE, FEW = 512, 2000, 70, 100_000
 SETS = "doc_id long, n_shingles long, s1 long, s2 long, sig array<int>, low binary"
 
 _U = np.uint64
@@ -258,7 +258,8 @@ class _Join:
     def components(self, edges: DataFrame) -> DataFrame:
         """(id, comp): the smallest id reachable, by alternating large and
         small stars until the edges are stars around the smallest ids.  At
-        most ``FEW`` edges (16 MB) are united in one task instead."""
+        most ``FEW`` edges (less than 48 MB in Python, with up to two ids
+        each) are united in one task instead."""
         e = self.write(edges.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo"))
                        .filter("hi <> lo").distinct(), "edges")
         seen = None

@@ -10,9 +10,11 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -170,6 +172,29 @@ def test_near_duplicates(spark, monkeypatch, leaf, chunk):
     assert got == brute_components(rows)
 
 
+def test_near_duplicates_by_stars(spark, monkeypatch):
+    monkeypatch.setattr(chosenpath, "FEW", 0)
+    monkeypatch.setattr(chosenpath, "_unite", None)
+    rng = random.Random(6)
+    rows = near_copies(rng, 4, 12, 120, 6) + [(5000 + i, " ".join(prose(rng, 30))) for i in range(10)]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in
+           chosenpath.near_duplicates(frame(spark, rows)).collect()}
+    assert got == brute_components(rows)
+
+
+def test_united_in_one_task_within_its_memory():
+    n = chosenpath.FEW
+    ids = np.random.default_rng(1).permutation(2 * n) << 30
+    edges = (pa.RecordBatch.from_arrays([pa.array(ids[i: i + 10000]), pa.array(ids[n + i: n + i + 10000])], names=["hi", "lo"])
+             for i in range(0, n, 10000))
+    tracemalloc.start()
+    try:
+        assert sum(b.num_rows for b in chosenpath._unite(edges)) == 2 * n
+        assert tracemalloc.get_traced_memory()[1] < 48e6
+    finally:
+        tracemalloc.stop()
+
+
 def test_stated_loss_of_pairs():
     def binomial(n, p):
         return [math.comb(n, k) * p ** k * (1 - p) ** (n - k) for k in range(n + 1)]
