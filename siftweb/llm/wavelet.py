@@ -207,3 +207,26 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     read = shards.mapInArrow(_read, "shard long, doc_id long, at long, n_tokens long, ids_crc32 long")
     return read.join(first, "shard").select(
         "doc_id", (F.col("first") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
+
+
+FOUND = "shard long, n_tokens long, n_found long, occurrence long, id_at long"
+
+
+def look_up(spark: SparkSession, path: str, token: int, k: int = 0, at: int = 0) -> DataFrame:
+    """For each shard, by rank and select in its planes: how often it holds the
+    token, the position of the token's k-th (from 0) occurrence and the id at
+    position ``at``; null where the shard has no such occurrence or position.
+    Positions count from the shard's start."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for row in batch.to_pylist():
+                w = WaveletMatrix.from_row(row)
+                n = w.count(token)
+                rows.append((row["shard"], w.n, n, w.occurrence(token, k) if 0 <= k < n else None,
+                             w.access(at) if 0 <= at < w.n else None))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)],
+                                                 names=["shard", "n_tokens", "n_found", "occurrence", "id_at"])
+    shards = spark.read.schema(SCHEMA).parquet(path).select("shard", "n_tokens", "zeros", "planes", "directory")
+    return shards.mapInArrow(run, FOUND)

@@ -275,6 +275,25 @@ def test_token_shards(spark, odd, none):
         assert all(a + n == b for (a, n), (b, _) in zip(ends, ends[1:]))
 
 
+def test_look_up_in_written_shards(spark):
+    from siftweb.session import scratch_path
+    path, file = scratch_path(spark, "found"), "word_bpe_49k.json"
+    rows = [(i, " ".join(prose(random.Random(i), 30, 9))) for i in range(20)]
+    wavelet.write_shards(frame(spark, rows), public_tokenizers.path(file), path, shard_tokens=200)
+    ids = dict(zip(range(20), library_ids(file, [t for _, t in rows])))
+    shards = {r["shard"]: sum((ids[i] for i in r["doc_ids"]), []) for r in spark.read.parquet(path).collect()}
+    assert len(shards) > 3
+    token = ids[0][3]
+    for k, at in ((0, 0), (5, 150), (40, 10 ** 6), (-1, -1)):
+        for t in (token, 1, 40_000, 10 ** 7):
+            got = {r["shard"]: tuple(r)[1:] for r in wavelet.look_up(spark, path, t, k, at).collect()}
+            want = {}
+            for s, x in shards.items():
+                hits = [i for i, v in enumerate(x) if v == t]
+                want[s] = (len(x), len(hits), hits[k] if 0 <= k < len(hits) else None, x[at] if 0 <= at < len(x) else None)
+            assert got == want
+
+
 @pytest.mark.parametrize("kind,file", [("word", "word_bpe_49k.json"), ("byte", "byte_bpe_50k.json")])
 def test_tokens_as_the_library(kind, file):
     rng = random.Random(4)
