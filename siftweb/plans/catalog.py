@@ -750,19 +750,29 @@ def q23(spark, sf):
 
 # ------------------------------------------------------------ streaming
 
-STREAM_FILES = 4
+STREAM_BATCHES = 4
 
 
-def arriving(spark, df: DataFrame, key: str) -> str:
-    """The table as a folder of several files, for a stream that takes one
-    file per micro-batch."""
-    path = ST.scratch(spark, "arriving")
-    df.repartitionByRange(STREAM_FILES, key).write.parquet(path)
-    return path
+def stream_files(df: DataFrame) -> int:
+    """As many files as the table's scan has splits, and one a micro-batch at least."""
+    return max(STREAM_BATCHES, df.rdd.getNumPartitions())
+
+
+def per_batch(files: int) -> int:
+    """Files a micro-batch takes: a share of them, so that the batches stay as many."""
+    return -(-files // STREAM_BATCHES)
+
+
+def arriving(spark, df: DataFrame, key: str) -> tuple[str, int]:
+    """The table as a folder of files, and how many of them a micro-batch takes."""
+    path, files = ST.scratch(spark, "arriving"), stream_files(df)
+    df.repartitionByRange(files, key).write.parquet(path)
+    return path, per_batch(files)
 
 
-def page_stream(spark, folder: str) -> DataFrame:
-    return ST.read_pages_stream(spark, folder, max_files_per_trigger=1)
+def page_stream(spark, arrived: tuple[str, int]) -> DataFrame:
+    folder, files = arrived
+    return ST.read_pages_stream(spark, folder, max_files_per_trigger=files)
 
 
 @query("t1_stream_parse")
@@ -775,7 +785,8 @@ def t1(spark, sf):
 @query("t2_stream_content_dedup")
 def t2(spark, sf):
     whole = read_table(spark, sf, "documents")
-    docs = spark.readStream.schema(whole.schema).option("maxFilesPerTrigger", 1).parquet(arriving(spark, whole, "doc_id"))
+    folder, files = arriving(spark, whole, "doc_id")
+    docs = spark.readStream.schema(whole.schema).option("maxFilesPerTrigger", files).parquet(folder)
     out, ck = ST.scratch(spark, "t2-out"), ST.scratch(spark, "t2-ckpt")
     ST.run_to_table(ST.dedup_content(doc_nodes(spark, sf, docs)).select("content_hash"), out, ck)
     return spark.read.parquet(out)
@@ -803,12 +814,12 @@ def t4(spark, sf):
 @query("t5_stream_resume")
 def t5(spark, sf):
     store, ck = ST.scratch(spark, "t5-store"), ST.scratch(spark, "t5-a")
-    folder = arriving(spark, pages(spark, sf), "page_id")
-    ST.merge_stream(spark, page_stream(spark, folder), store, ck)
+    arrived = arriving(spark, pages(spark, sf), "page_id")
+    ST.merge_stream(spark, page_stream(spark, arrived), store, ck)
     # Restart on the same checkpoint: nothing is processed twice.
-    ST.merge_stream(spark, page_stream(spark, folder), store, ck)
+    ST.merge_stream(spark, page_stream(spark, arrived), store, ck)
     ST.compact(spark, store)
     _, aliases = ST.read_store(spark, store)
     # Restart with a fresh checkpoint: pages whose URL is stored are skipped.
-    ST.merge_stream(spark, page_stream(spark, folder), store, ST.scratch(spark, "t5-b"), known_urls=aliases)
+    ST.merge_stream(spark, page_stream(spark, arrived), store, ST.scratch(spark, "t5-b"), known_urls=aliases)
     return store_summary(spark, store)

@@ -92,3 +92,14 @@ def test_dedup_within_watermark(spark):
     # copies more than an hour apart may both be kept; never fewer than distinct
     assert got.select("content_hash").distinct().count() == distinct
     assert distinct <= got.count() <= docs.count()
+
+
+def test_arriving_files_follow_the_table(spark):
+    from siftweb.plans import catalog
+    rows = spark.range(0, 4000, 1, 20).withColumnRenamed("id", "page_id")  # 20 splits
+    folder, files = catalog.arriving(spark, rows, "page_id")
+    back = spark.read.parquet(folder)
+    assert back.count() == 4000 and len(back.inputFiles()) == 20 and files == 5
+    small = spark.range(0, 100, 1, 1).withColumnRenamed("id", "page_id")
+    folder, files = catalog.arriving(spark, small, "page_id")
+    assert len(spark.read.parquet(folder).inputFiles()) == 4 and files == 1
