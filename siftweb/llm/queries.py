@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from siftweb.llm import bloomlookup, chat, chosenpath, lempelziv, packing, pieces, quality, topk, toxicity, wavelet
+from siftweb.llm import (bloomlookup, chat, chosenpath, hardnegatives, lempelziv, packing, pieces, quality, topk, toxicity,
+                         urlfilter, wavelet, whitening)
 from siftweb.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -164,3 +165,52 @@ def op9_sentencepiece(spark, sf_dir):
 @query
 def op10_bloom_lookup(spark, sf_dir):
     return bloomlookup.versions(table(spark, sf_dir, "documents"))
+
+
+# ---------------------------------------------------------- 11: hard negatives
+
+@query
+def op11_hard_negatives(spark, sf_dir):
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardnegatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, moved)
+
+
+SQL["op11_hard_negatives"] = """
+WITH sound AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+one AS (SELECT vec_id, min({'label': label, 'v': v}) AS s FROM sound GROUP BY vec_id),
+rows AS (SELECT vec_id, s.label AS label, s.v AS v FROM one),
+scored AS (
+  SELECT a.vec_id AS anchor_id, a.label = c.label AS same, c.vec_id,
+         CAST(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * c.v[i])) AS BIGINT) AS score
+  FROM rows a JOIN rows c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id AND len(a.v) = len(c.v)),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank,
+       n.vec_id AS negative_id, p.positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+  AND 80 * p.positive_score <= 100 * n.score AND n.score <= p.positive_score
+QUALIFY rank <= 5
+"""
+
+
+# ------------------------------------------------------------- 12: URL filter
+
+@query
+def op12_url_filter(spark, sf_dir):
+    model = urlfilter.fit(urlfilter.labelled_urls(spark))
+    return urlfilter.judge(table(spark, sf_dir, "pages"), model)
+
+
+# -------------------------------------------------------------- 13: whitening
+
+@query
+def op13_whitening(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings")
+    return whitening.whiten(rows, whitening.fit(rows))
