@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,7 +37,8 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    if not spark.conf.get("spark.checkpoint.dir", None):  # tests and local runs
+    # Tests and local runs: driver and tasks are one process, so its own disk is shared.
+    if not spark.conf.get("spark.checkpoint.dir", None) and re.match(r"local(\[|$)", spark.sparkContext.master):
         spark.sparkContext.setCheckpointDir(spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoint")
     return spark
 

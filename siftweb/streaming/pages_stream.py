@@ -90,7 +90,7 @@ class StoreMerger:
     reads only the buckets the batch's pages fall into (directory pruning),
     so a small micro-batch does not scan the whole store.  A replayed
     micro-batch overwrites its own folders and ignores them when looking up
-    stored content.
+    stored content; one that ``compact`` has taken in since is skipped.
     """
 
     def __init__(self, store: str, run: str, buckets: int = STORE_BUCKETS, writers: int = BUCKET_WRITERS):
@@ -108,6 +108,8 @@ class StoreMerger:
     def __call__(self, batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         tag = f"{self.run}-{epoch:010d}"
+        if exists(spark, f"{self.store}/done/{tag}"):  # complete, and compacted since
+            return
         page_nodes = (N.parse_pages(batch)
                       .withColumn("bucket", hash_bucket(buckets=self.buckets)).persist())
         buckets = [r["bucket"] for r in page_nodes.select("bucket").distinct().collect()]
@@ -123,7 +125,8 @@ class StoreMerger:
         (nodes.withColumn("bucket", hash_bucket(buckets=self.buckets))
          .repartition("bucket", F.pmod(F.xxhash64("id"), F.lit(self.writers)))
          .write.mode("overwrite").partitionBy("bucket").parquet(f"{self.store}/nodes/batch={tag}"))
-        known = spark.read.parquet(f"{self.store}/nodes/batch={tag}").select(
+        # With its schema: a batch of known content alone adds no node and leaves no file to read one from.
+        known = spark.read.schema(nodes.schema).parquet(f"{self.store}/nodes/batch={tag}").select(
             "content_hash", F.col("id").alias("node_id"))
         if stored is not None:
             known = known.unionByName(stored)
@@ -163,10 +166,12 @@ def compact(spark: SparkSession, store: str, files_per_bucket: int = BUCKET_WRIT
     """Put all micro-batches of a store into one folder.  Run it while no
     stream writes.  The new folder is complete before the old ones go; a crash
     in between leaves rows twice, which running it again mends (rows are
-    distinct by id and by alias)."""
+    distinct by id and by alias).  Complete micro-batches are marked under
+    ``{store}/done``, so that a replay of one adds nothing."""
     root = store.rstrip("/")
+    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     for table, key in (("nodes", ["id"]), ("aliases", ["page_id"])):
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/{table}")
+        path = Path(f"{root}/{table}")
         fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
         old = [f.getPath() for f in fs.listStatus(path) if f.getPath().getName().startswith("batch=")]
         rows = spark.read.parquet(f"{root}/{table}").drop("batch").dropDuplicates(key)
@@ -176,5 +181,8 @@ def compact(spark: SparkSession, store: str, files_per_bucket: int = BUCKET_WRIT
             rows.write.partitionBy("bucket").parquet(f"{root}/{table}/batch={tag}")
         else:
             rows.write.parquet(f"{root}/{table}/batch={tag}")
+        for p in old:
+            if table == "aliases" and fs.exists(Path(p, "_SUCCESS")):  # what a micro-batch writes last
+                fs.create(Path(f"{root}/done/{p.getName().removeprefix('batch=')}"), True).close()
         for p in old:
             fs.delete(p, True)

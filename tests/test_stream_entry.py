@@ -76,6 +76,29 @@ def test_store_counts_urls_across_batches_and_compacts(spark):
     assert ST.read_store(spark, store)[1].count() == 3
 
 
+def test_known_content_and_a_replay_after_compaction(spark):
+    """A micro-batch of known content adds URLs only; a batch replayed after the
+    store was compacted adds nothing."""
+    html = "<html><body><p>%s</p></body></html>"
+    rows = [(1, "http://h/a", html % "same"), (2, "http://h/b", html % "other"), (3, "http://h/c", html % "same"),
+            (4, "http://h/d", html % "other")]
+    pages = spark.createDataFrame(rows, ST.PAGES_SCHEMA)
+    store = ST.scratch(spark, "known-store")
+    merge = ST.StoreMerger(store, "run", buckets=4)
+    merge(pages.filter("page_id <= 2"), 0)
+    merge(pages.filter("page_id > 2"), 1)  # known content alone
+    want = {1: ("http://h/a", 2), 2: ("http://h/b", 2)}
+    assert {r.id: (r.url, r.n_urls) for r in ST.read_store(spark, store)[0].collect()} == want
+    ST.compact(spark, store)
+    for epoch in (1, 0):
+        merge(pages.filter("page_id > 2" if epoch else "page_id <= 2"), epoch)
+    nodes, aliases = ST.read_store(spark, store)
+    assert {r.id: (r.url, r.n_urls) for r in nodes.collect()} == want
+    assert sorted((r.page_id, r.node_id) for r in aliases.collect()) == [(1, 1), (2, 2), (3, 1), (4, 2)]
+    merge(pages.limit(0), 2)  # an empty micro-batch
+    assert ST.read_store(spark, store)[1].count() == 4
+
+
 def test_dedup_within_watermark(spark):
     from siftweb.plans import catalog as C
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
