@@ -1,44 +1,49 @@
 """Near-duplicate documents by a chosen-path set similarity join.
 
 A document's set holds its distinct shingles of ``SHINGLE`` words (A-Z
-lower-cased); documents with equal sets are one from the start, represented
-by the smallest doc_id.  Each set has ``COORDS`` minwise tokens (the smallest
-hash under one of as many functions).
-
-``TREES`` independent trees branch the representatives.  A node is a list of
-(coordinate, minwise token) choices, and holds the sets that agree on them:
-the root branches on ``BRANCH`` coordinates of its own per tree, every other
-node on ``BRANCH`` coordinates picked by a hash of the node from the others,
-which all trees share.  A pair that agrees on few of the shared ones is lost
-in every tree at once, so the loss is an average over their number m of
-``SHARED``: with p = m / SHARED a tree below the root ends with probability
-((1 - p) / p)**2 (1 up to p = 0.5).  At a similarity of exactly 0.75 that
-loses one pair in 650,000 in nodes that branch without end; nodes of one
-component or few members end earlier and lose less, and pairs that other
-links join lose nothing.
+lower-cased); documents with equal sets are one from the start.  Each set has
+``COORDS`` minwise tokens (the smallest hash under one of as many functions).
+
+``TREES`` independent trees branch the sets.  A node is a list of (coordinate,
+minwise token) choices and holds the sets that agree on them.  The root of a
+tree branches on a coordinate of its own.  A node below picks, by its hash, one
+coordinate of its level, and in one case of three a second one: 4/3 on average,
+the inverse of the similarity, so that a pair at 0.75 goes on in one child on
+average and less similar pairs die out: documents that share a passage at 0.58
+leave 0.77 pairs a level.  The levels' coordinates are ``FAN`` of the ``SHARED``
+each, dealt to every tree in an order of its own, none twice on a path.
+
+A pair at exactly 0.75 meets in the first level with all but a chance of 0.25 **
+TREES = 2e-10.  Nodes of one component or few members end there; where they do not,
+a pair goes on by a critical branching and is lost with a chance of 2e-5 in two more
+levels, 2e-3 in five, 3 % in ten (of pairs at 0.8: 1e-6, 2e-4, 3e-3; at 0.9: 1e-6 in
+ten).  Pairs that other links join lose nothing.
 
 Each level of all trees is one round of Spark jobs:
 
 1. Star: the members of a node are compared with its smallest member, and
    links (exact, on the full sets) are merged into components.  So a group of
    thousands of near copies costs a number of comparisons in proportion to
-   its size; nodes of a single component are done.
+   its size; nodes of a single component are done.  Pairs that an earlier level
+   has compared so are left out.
 2. Small nodes are compared exhaustively: a node is small if it has at most
    ``LEAF`` members, or at most ``LEAF`` outside its largest component.
    These meet all members, in chunks of ``CHUNK``; pairs of one component
    are skipped, for they can add nothing.
-3. Nodes that are not small branch into the next level.
+3. Nodes that are not small branch into the next level.  Beyond the last level
+   (``SHARED // FAN`` equal tokens) they are compared exhaustively, chunk by chunk.
 
-A comparison looks at the minwise tokens first: at least ``AGREE`` of
-``COORDS`` low bytes must be equal (at similarity 0.75 a pair misses this
-with a chance of less than 1e-8).  Then the full sets decide, in integers.  Work
-goes to groups of at most ``CHUNK + LEAF`` sets, however large a node is.
+A comparison looks at the set sizes and the minwise tokens first: at least
+``AGREE`` of ``COORDS`` low bytes must be equal (at similarity 0.75 a pair misses
+this with a chance of less than 1e-8).  Then the full sets decide, in integers.
+Work goes to groups of at most ``CHUNK + LEAF`` sets, however large a node is.
 
 Defined cases: texts without words (null, empty, white space) have n_shingles
 0 and are linked with nothing; texts of fewer words have one shingle; a null
 doc_id is linked with nothing (component_id null, kept); repeated rows are one
-document, and rows of one doc_id with different texts may be united; an empty
-table gives no rows; other columns are ignored.
+document; rows of one doc_id with different texts are one document with several
+sets, each of which links it; an empty table gives no rows; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -55,10 +60,10 @@ from siftweb.llm.bloom import Bloom
 from siftweb.session import scratch_path
 
 SHINGLE, PART, WHOLE = 5, 75, 100
-TREES, BRANCH, SHARED = 7, 2, 120
-ROOT = TREES * BRANCH
-COORDS = ROOT + SHARED
-LEAF, CHUNK, AGREE, FEW = 512, 2000, 70, 100_000
+#: SHARED is prime: a tree's order of the coordinates is a multiple of their numbers.
+TREES, SHARED, FAN = 16, 179, 4
+COORDS = TREES + SHARED
+LEAF, CHUNK, AGREE, FEW = 1024, 2000, 110, 100_000
 SETS = "doc_id long, n_shingles long, s1 long, s2 long, sig array<int>, low binary"
 
 _U = np.uint64
@@ -91,8 +96,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = soff[full]
             for c in range(COORDS):
                 sig[full, c] = np.minimum.reduceat(((h ^ _XOR[c]) * _ODD[c]) >> _U(32), at)
-            s1[full] = np.add.reduceat(vec.mix(h + _U(1)), at)
-            s2[full] = np.add.reduceat(vec.mix(h ^ _U(0xABCDEF987654321)), at)
+            s1[full], s2[full] = _identity(h, at)
         flat = pa.array(sig.view(np.int32).ravel())
         step = pa.array(np.arange(len(n) + 1, dtype=np.int32) * COORDS)
         yield pa.RecordBatch.from_arrays(
@@ -102,14 +106,23 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["doc_id", "n_shingles", "s1", "s2", "sig", "low"])
 
 
+def _identity(h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits that name each of the sets that start at ``at``."""
+    return np.add.reduceat(vec.mix(h + _U(1)), at), np.add.reduceat(vec.mix(h ^ _U(0xABCDEF987654321)), at)
+
+
 def _sets(wanted: Bloom):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         some = (b.filter(pa.array(wanted.may_hold(b.column("doc_id").to_numpy()))) for b in batches)
         for rows, data, off in vec.slices(some):
             h, soff = shingle_sets(data, off)
-            yield pa.RecordBatch.from_arrays(
-                [rows.column("doc_id"), pa.array([h[a:b].tobytes() for a, b in zip(soff[:-1], soff[1:])], pa.binary())],
-                names=["rid", "elements"])
+            full = np.flatnonzero(np.diff(soff))
+            if len(full):
+                s1, s2 = _identity(h, soff[full])
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column("doc_id").take(pa.array(full)), pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64)),
+                     pa.array([h[soff[i]:soff[i + 1]].tobytes() for i in full.tolist()], pa.binary())],
+                    names=["doc", "s1", "s2", "elements"])
     return run
 
 
@@ -132,13 +145,19 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _columns(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    low = np.frombuffer(b"".join(t.column("low").to_pylist()), np.uint8).reshape(t.num_rows, COORDS)
-    return t.column("rid").to_numpy(), t.column("comp").to_numpy(), t.column("focus").to_numpy(zero_copy_only=False), low
+class _Group:
+    """The sets of one group."""
 
+    def __init__(self, t: pa.Table):
+        self.rid, self.comp, self.size = (t.column(c).to_numpy() for c in ("rid", "comp", "size"))
+        self.focus = t.column("focus").to_numpy(zero_copy_only=False)
+        self.low = np.frombuffer(b"".join(t.column("low").to_pylist()), np.uint8).reshape(t.num_rows, COORDS)
 
-def _near(low: np.ndarray, i: int) -> np.ndarray:
-    return (low == low[i]).sum(1) >= AGREE
+    def near(self, i: int) -> np.ndarray:
+        """Sets that may be similar to the i-th, by sizes and equal low bytes."""
+        n = self.size
+        fit = (WHOLE * n >= PART * n[i]) & (WHOLE * n[i] >= PART * n)
+        return fit & ((self.low == self.low[i]).sum(1) >= AGREE)
 
 
 def _estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,10 +166,11 @@ def _estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     documents meet count once."""
     held, n = [], 0
     for t in _groups(batches):
-        rid, comp, focus, low = _columns(t)
+        x = _Group(t)
+        rid, comp, focus = x.rid, x.comp, x.focus
         keep = np.zeros(len(rid), bool)
         for i in np.flatnonzero(focus):
-            hit = _near(low, i) & (comp != comp[i])
+            hit = x.near(i) & (comp != comp[i])
             if hit.any():
                 keep |= hit
                 keep[i] = True
@@ -187,12 +207,11 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["a", "b"])
 
     for t in _groups(batches):
-        rid, comp, focus, low = _columns(t)
-        raw = t.column("elements").to_pylist()
-        sets = [np.frombuffer(x, _U) for x in raw]
-        comp = comp.copy()
+        x = _Group(t)
+        rid, comp, focus = x.rid, x.comp.copy(), x.focus
+        sets = [np.frombuffer(e, _U) for e in t.column("elements").to_pylist()]
         for i in np.flatnonzero(focus):
-            for j in np.flatnonzero(_near(low, i) & (comp != comp[i])).tolist():
+            for j in np.flatnonzero(x.near(i) & (comp != comp[i])).tolist():
                 if comp[j] != comp[i] and linked(sets[i], sets[j]):
                     out.append((int(rid[i]), int(rid[j])))
                     comp[comp == comp[j]] = comp[i]
@@ -239,21 +258,23 @@ class _Join:
 
     def compare(self, groups: DataFrame, reps: DataFrame, comps: DataFrame | None) -> DataFrame | None:
         """Links (a, b) among the members of groups (g, part, rid, focus)."""
-        rows = groups.join(reps.select("rid", "low"), "rid")
+        rows = groups.join(reps.select("rid", F.col("n_shingles").alias("size"), "low"), "rid")
         if comps is None:
             rows = rows.withColumn("comp", F.col("rid"))
         else:
             rows = rows.join(comps, "rid", "left").withColumn("comp", F.coalesce("comp", "rid"))
-        rows = rows.select("g", "part", "rid", "comp", "focus", "low")
-        kind = "g long, part int, rid long, comp long, focus boolean, low binary"
+        rows = rows.select("g", "part", "rid", "comp", "focus", "size", "low")
+        kind = "g long, part int, rid long, comp long, focus boolean, size long, low binary"
         some = self.write(rows.repartition("g", "part").sortWithinPartitions("g", "part", "rid")
                           .mapInArrow(_estimate, kind).dropDuplicates(["g", "rid", "focus"]), "promising")
         if some.isEmpty():
             return None
-        sets = self.docs.mapInArrow(_sets(Bloom(some, "rid")), "rid long, elements binary") \
-            .join(some.select("rid").distinct(), "rid", "left_semi").dropDuplicates(["rid"])
+        asked = self.write(some.select("rid").distinct().join(reps.select("rid", "doc", "s1", "s2"), "rid"), "asked")
+        sets = self.docs.mapInArrow(_sets(Bloom(asked, "doc")), "doc long, s1 long, s2 long, elements binary") \
+            .join(asked, ["doc", "s1", "s2"]).select("rid", "elements").dropDuplicates(["rid"])
         full = some.join(sets, "rid").repartition("g", "part").sortWithinPartitions("g", "part", "rid")
-        return self.write(full.mapInArrow(_verify, "a long, b long"), "links")
+        links = self.write(full.mapInArrow(_verify, "a long, b long"), "links")
+        return None if links.isEmpty() else links
 
     def components(self, edges: DataFrame) -> DataFrame:
         """(id, comp): the smallest id reachable, by alternating large and
@@ -309,24 +330,67 @@ def _chunk(rid, n):
     return F.pmod(F.xxhash64(rid), n).cast("int")
 
 
+def _root(tree: int):
+    """The node of a tree's root coordinate; its low bits name the tree."""
+    return F.xxhash64(F.lit(tree), F.element_at("sig", tree + 1)).bitwiseAND(F.lit(-TREES)).bitwiseOR(F.lit(tree))
+
+
+def _children(level: int):
+    """The one or two nodes that a set goes on to from ``node`` at a level >= 0."""
+    tree = F.col("node").bitwiseAND(F.lit(TREES - 1))
+    first = F.pmod(F.xxhash64("node", F.lit("first")), F.lit(FAN))
+    other = F.pmod(first + 1 + F.pmod(F.xxhash64("node", F.lit("other")), F.lit(FAN - 1)), F.lit(FAN))
+
+    def child(turn):
+        at = F.pmod((tree * 11 + 1) * (F.lit(FAN * level) + turn) + tree * 7, F.lit(SHARED)).cast("int")
+        token = F.element_at("sig", at + F.lit(TREES + 1))
+        return F.xxhash64("node", turn, token).bitwiseAND(F.lit(-TREES)).bitwiseOR(tree)
+
+    two = F.pmod(F.xxhash64("node", F.lit("two")), F.lit(3)) == 0
+    return F.when(two, F.array(child(first), child(other))).otherwise(F.array(child(first)))
+
+
+def _all_pairs(rows: DataFrame, live: DataFrame) -> DataFrame:
+    """Groups (g, part, rid, focus) in which all pairs of a node meet, of at most
+    about 2 * CHUNK members each."""
+    k = F.ceil((F.col("m") / CHUNK)).cast("int")
+    each = rows.join(live.select("node", k.alias("_k")), "node").withColumn("_c", _chunk("rid", F.col("_k"))) \
+        .withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)))
+    part = F.least("_c", "_o") * F.col("_k") + F.greatest("_c", "_o")
+    return each.select(F.col("node").alias("g"), part.alias("part"), "rid", (F.col("_c") <= F.col("_o")).alias("focus"))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row."""
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     run = _Join(plain.filter("doc_id is not null"))
     every = run.write(plain.mapInArrow(_sketch, SETS), "sketches")
     sets = every.filter("n_shingles > 0 and doc_id is not null")
+    # Numbered as they are written, once: a set's number is its own, whatever doc_ids repeat.
     reps = run.write(sets.groupBy("n_shingles", "s1", "s2").agg(
-        F.min("doc_id").alias("rid"), F.first("sig").alias("sig"), F.first("low").alias("low")), "reps")
-
-    picks = [F.xxhash64(F.lit(c), F.element_at("sig", c + 1)) for c in range(ROOT)]
-    level = run.members(reps.select(F.explode(F.array(*picks)).alias("node"), "rid"))
-    comps: DataFrame | None = None
-    while True:
+        F.min("doc_id").alias("doc"), F.first("sig").alias("sig"), F.first("low").alias("low"))
+        .withColumn("rid", F.monotonically_increasing_id()), "reps")
+    places = run.write(sets.select("doc_id", "n_shingles", "s1", "s2").join(
+        reps.select("n_shingles", "s1", "s2", "rid"), ["n_shingles", "s1", "s2"]).select("doc_id", "n_shingles", "rid"), "places")
+    # The sets of one doc_id belong together.
+    several = places.groupBy("doc_id").agg(F.min("rid").alias("a"), F.max("rid").alias("b")).filter("a < b") \
+        .join(places, "doc_id").select("a", F.col("rid").alias("b")).filter("a < b").distinct()
+    several = run.write(several, "several")
+    comps = run.merge(None, None if several.isEmpty() else several)
+
+    level = run.members(reps.select(F.explode(F.array(*[_root(t) for t in range(TREES)])).alias("node"), "rid"))
+    compared: DataFrame | None = None
+    for depth in range(SHARED // FAN + 1):
         star = level.filter("rid <> center").select(F.col("center").alias("g"), "rid").distinct()
+        if compared is not None:
+            star = star.join(compared, ["g", "rid"], "left_anti")
+        star = run.write(star, "pairs")
+        compared = star if compared is None else compared.unionByName(star)
         chunks = star.groupBy("g").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("_k"))
-        star = run.write(star.join(chunks, "g").withColumn("part", _chunk("rid", F.col("_k"))), "stars")
-        hubs = star.select("g", "part").distinct().select("g", "part", F.col("g").alias("rid"), F.lit(True).alias("focus"))
-        groups = star.select("g", "part", "rid", F.lit(False).alias("focus")).unionByName(hubs)
+        star = star.join(chunks, "g").select("g", "rid", _chunk("rid", F.col("_k")).alias("part"))
+        hubs = chunks.select("g", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)).alias("part"))
+        groups = star.select("g", "part", "rid", F.lit(False).alias("focus")).unionByName(
+            hubs.select("g", "part", F.col("g").alias("rid"), F.lit(True).alias("focus")))
         comps = run.merge(comps, run.compare(groups, reps, comps))
 
         rows = level.select("node", "rid")
@@ -338,41 +402,45 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         held = rows.groupBy("node", "comp").agg(F.count("*").alias("n")).groupBy("node").agg(
             F.sum("n").alias("m"), F.max(F.struct("n", "comp")).alias("top"))
         live = run.write(held.filter("m > top.n").select(
-            "node", F.col("top.comp").alias("major"),
+            "node", "m", F.col("top.comp").alias("major"),
             ((F.col("m") <= LEAF) | (F.col("m") - F.col("top.n") <= LEAF)).alias("small"),
             F.when(F.col("m") <= LEAF, 1).otherwise(F.ceil(F.col("top.n") / CHUNK)).cast("int").alias("_k")), "live")
         flags = {r["small"] for r in live.select("small").distinct().collect()}
         if True in flags:
-            inner = rows.join(live.filter("small"), "node").withColumn("focus", F.col("comp") != F.col("major"))
+            inner = rows.join(live.filter("small").drop("m"), "node").withColumn("focus", F.col("comp") != F.col("major"))
             part = F.when(F.col("focus"), F.sequence(F.lit(0), F.col("_k") - 1)).otherwise(F.array(_chunk("rid", F.col("_k"))))
             groups = inner.select(F.col("node").alias("g"), F.explode(part).alias("part"), "rid", "focus")
             comps = run.merge(comps, run.compare(groups, reps, comps))
         if False not in flags:
             break
-        wide = rows.join(live.filter("not small").select("node"), "node", "left_semi").join(reps.select("rid", "sig"), "rid")
-        turns = [F.xxhash64("node", F.lit(b), F.element_at("sig", (F.pmod(F.xxhash64("node", F.lit(b)), SHARED)
-                                                                   + ROOT + 1).cast("int"))) for b in range(BRANCH)]
-        level = run.members(wide.select(F.explode(F.array(*turns)).alias("node"), "rid"))
+        wide = live.filter("not small")
+        if depth == SHARED // FAN:
+            comps = run.merge(comps, run.compare(_all_pairs(rows.select("node", "rid"), wide), reps, comps))
+            break
+        wide = rows.join(wide.select("node"), "node", "left_semi").join(reps.select("rid", "sig"), "rid")
+        level = run.members(wide.select(F.explode(_children(depth)).alias("node"), "rid"))
 
-    found = sets.select("doc_id", "n_shingles", "s1", "s2").join(
-        reps.select("n_shingles", "s1", "s2", "rid"), ["n_shingles", "s1", "s2"]).select("doc_id", "n_shingles", "rid")
+    found = places
     if comps is not None:
-        found = found.join(comps, "rid", "left")
+        # A component is named by its smallest doc_id; single sets have no row in comps.
+        named = comps.join(reps.select("rid", "doc"), "rid").groupBy("comp").agg(F.min("doc").alias("name"))
+        found = found.join(comps.join(named, "comp").select("rid", "name"), "rid", "left")
     else:
-        found = found.withColumn("comp", F.lit(None).cast("long"))
-    found = found.select("doc_id", "n_shingles", F.coalesce("comp", "rid").alias("component_id"))
+        found = found.withColumn("name", F.lit(None).cast("long"))
+    found = found.join(reps.select("rid", "doc"), "rid") \
+        .select("doc_id", "n_shingles", F.coalesce("name", "doc").alias("component_id"))
     alone = every.filter("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return found.unionByName(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with the smallest doc_id of each component (one of
-    several equal doc_ids), columns as they were."""
+    several equal doc_ids), columns as they were, whatever their names."""
     from pyspark.sql import Window
 
     spark = docs.sparkSession
     path = scratch_path(spark, "keepone")
-    near_duplicates(docs).write.parquet(path)
+    near_duplicates(docs.select("doc_id", "text")).write.parquet(path)
     found = spark.read.parquet(path).filter("doc_id is not null").groupBy("doc_id").agg(
         F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
     odd = found.filter("not kept or n > 1")  # dropped, or several rows
@@ -386,9 +454,9 @@ def keep_one(docs: DataFrame) -> DataFrame:
                 yield b.filter(pa.array(hit == inside))
         return run
 
-    # Only documents that may have to go are shuffled.
-    doubt = docs.mapInArrow(side(True), docs.schema).join(
-        odd.filter("not kept").select(F.col("doc_id").alias("_gone")), F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    one = doubt.withColumn("_first", F.row_number().over(first)).filter("_first = 1").drop("_first")
-    return docs.mapInArrow(side(False), docs.schema).unionByName(one)
+    # Only documents that may have to go are shuffled, each row as one column.
+    doubt = docs.mapInArrow(side(True), docs.schema).select(
+        F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("h"), F.struct("*").alias("row"))
+    doubt = doubt.join(odd.filter("not kept").select(F.col("doc_id").alias("id")), "id", "left_anti")
+    one = doubt.withColumn("place", F.row_number().over(Window.partitionBy("id").orderBy("h"))).filter("place = 1")
+    return docs.mapInArrow(side(False), docs.schema).unionByName(one.select("row.*"))

@@ -195,18 +195,80 @@ def test_united_in_one_task_within_its_memory():
         tracemalloc.stop()
 
 
-def test_stated_loss_of_pairs():
-    def binomial(n, p):
-        return [math.comb(n, k) * p ** k * (1 - p) ** (n - k) for k in range(n + 1)]
-
-    shared, p, lost = chosenpath.COORDS - chosenpath.ROOT, 0.75, 0.0
-    for m, chance in enumerate(binomial(shared, p)):
-        a, end = m / shared, 0.0
-        for _ in range(2000):  # a node's line ends: none of its coordinates agrees, or all lines of those that do end
-            end = (1 - a + a * end) ** chosenpath.BRANCH
-        lost += chance * (1 - p + p * end) ** chosenpath.ROOT
-    missed = sum(binomial(chosenpath.COORDS, p + (1 - p) / 256)[: chosenpath.AGREE])
-    assert lost < 1 / 650_000 and missed < 1e-8
+def binomial(n, p):
+    return [math.comb(n, k) * p ** k * (1 - p) ** (n - k) for k in range(n + 1)]
+
+
+@pytest.mark.parametrize("p,losses", [(0.75, (3e-10, 2e-5, 2e-3, 3e-2)), (0.8, (1e-11, 1e-6, 2e-4, 3e-3)),
+                                      (0.9, (1e-15, 1e-9, 1e-7, 1e-6))])
+def test_stated_loss_of_pairs(p, losses):
+    shared = chosenpath.SHARED
+    for depth, most in zip((0, 2, 5, 10), losses):
+        lost = 0.0
+        for m, chance in enumerate(binomial(shared, p)):  # a pair's equal coordinates serve all trees
+            a, end = m / shared, 0.0
+            for _ in range(depth):  # one child in two cases of three, else two
+                one = 1 - a + a * end
+                end = (2 * one + one * one) / 3
+            lost += chance * (1 - p + p * end) ** chosenpath.TREES
+        assert lost < most
+    assert sum(binomial(chosenpath.COORDS, 0.75 + 0.25 / 256)[: chosenpath.AGREE]) < 1e-8
+
+
+def test_paths_use_no_coordinate_twice():
+    for tree in range(chosenpath.TREES):
+        at = [((tree * 11 + 1) * (chosenpath.FAN * level + turn) + tree * 7) % chosenpath.SHARED
+              for level in range(chosenpath.SHARED // chosenpath.FAN) for turn in range(chosenpath.FAN)]
+        assert len(set(at)) == len(at)
+
+
+def test_dissimilar_groups_die_out(spark, monkeypatch):
+    """Documents that share a passage, at a similarity of 0.58: nothing to link,
+    and the rows of a level do not grow."""
+    monkeypatch.setattr(chosenpath, "LEAF", 40)
+    rng = random.Random(8)
+    passage = prose(rng, 48, 10 ** 6)
+    rows = [(i, " ".join(passage + prose(rng, 16, 10 ** 6))) for i in range(500)]
+    sizes = []
+    members = chosenpath._Join.members
+
+    def counted(self, df):
+        out = members(self, df)
+        sizes.append(out.count())
+        return out
+    monkeypatch.setattr(chosenpath._Join, "members", counted)
+    got = chosenpath.near_duplicates(frame(spark, rows)).collect()
+    assert all(r["component_id"] == r["doc_id"] for r in got) and len(got) == 500
+    assert len(sizes) > 3 and max(sizes[1:]) <= 1.2 * sizes[0] and sizes[-1] < sizes[0]
+
+
+def test_exhausted_paths_compare_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(chosenpath, "LEAF", 3)
+    monkeypatch.setattr(chosenpath, "CHUNK", 5)
+    monkeypatch.setattr(chosenpath, "SHARED", 3)  # FAN = 4: no level below the roots
+    rng = random.Random(9)
+    passage = prose(rng, 60, 10 ** 6)
+    rows = [(i, " ".join(passage + prose(random.Random(i // 2), 18, 10 ** 6) + prose(rng, 1, 10 ** 6))) for i in range(60)]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in
+           chosenpath.near_duplicates(frame(spark, rows)).collect()}
+    assert got == brute_components(rows)
+
+
+def test_one_doc_id_with_several_texts(spark):
+    rng = random.Random(10)
+    a, b = prose(rng, 60, 10 ** 6), prose(rng, 60, 10 ** 6)
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (2, " ".join([*a, "z"])), (3, " ".join([*b, "z"])), (4, "else " * 9)]
+    got = {(r["doc_id"], r["component_id"]) for r in chosenpath.near_duplicates(frame(spark, rows)).collect()}
+    assert got == {(1, 1), (2, 1), (3, 1), (4, 4)}
+
+
+def test_keep_one_with_clashing_names(spark):
+    names = ["_first", "_gone", "row", "id", "h", "place", "kept", "n", "doc", "rid", "a.b"]
+    rows = [(1, "one two three four five six") + tuple(range(11)), (2, "One two three four five six") + tuple(range(11)), (3, "x") + (None,) * 11]
+    df = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"`{n}` int" for n in names))
+    kept = chosenpath.keep_one(df)
+    assert kept.schema == df.schema
+    assert sorted(kept.collect(), key=lambda r: r[0]) == [r for r in df.collect() if r[0] != 2]
 
 
 def test_near_duplicates_odd(odd, none):
