@@ -43,12 +43,17 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    done = lempelziv.remove_repeats(docs)
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        done = done.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast(kind))
-                               .otherwise(F.col("n_chars")))
-    return done.select(*docs.columns)
+    # The row travels whole beside its text, so the operator's columns replace none of its own.
+    done = lempelziv.remove_repeats(docs.select("doc_id", "text", F.struct("*").alias("row")))
+
+    def column(name: str):
+        old = F.col("row").getField(name)
+        if name == "text":
+            return F.col("text")
+        if name == "n_chars":
+            return F.when(F.col("n_removed") > 0, F.length("text").cast(docs.schema[name].dataType)).otherwise(old)
+        return old
+    return done.select(*[column(c).alias(c) for c in docs.columns])
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

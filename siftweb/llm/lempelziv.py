@@ -245,14 +245,20 @@ def _finish(keep_text: bool):
 
 def remove_repeats(docs: DataFrame, keep_text: bool = True) -> DataFrame:
     """All columns of ``docs``, with the repeats cut out of ``text`` (or text
-    null, if not ``keep_text``), and n_words, n_removed and kept_sha256."""
+    null, if not ``keep_text``), and n_words, n_removed and kept_sha256 (which
+    replace columns of these names)."""
     spark = docs.sparkSession
     path = scratch_path(spark, "lempelziv")
-    docs = docs.drop("n_words", "n_removed", "kept_sha256").withColumn("doc_id", F.col("doc_id").cast("long"))
-    columns = docs.columns
+    names = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept_sha256")]
+    # Other columns travel by number, so that none clashes with a name used here.
+    held = {c: c if c in ("doc_id", "text") else f"o{i}" for i, c in enumerate(names)}
+    columns = list(held.values())
+    docs = docs.select(*[F.col(f"`{c}`").cast("long").alias(h) if c == "doc_id" else F.col(f"`{c}`").alias(h)
+                         for c, h in held.items()])
     shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    points = docs.select("doc_id", "text").filter("doc_id is not null and text is not null") \
-        .mapInArrow(_points, "h long, doc_id long, at long")
+    docs.select("doc_id", "text").filter("doc_id is not null and text is not null") \
+        .mapInArrow(_points, "h long, doc_id long, at long").write.parquet(f"{path}/points")
+    points = spark.read.parquet(f"{path}/points")
     points.groupBy("h").agg(F.min(F.struct("doc_id", "at")).alias("r"), F.max("doc_id").alias("last")) \
         .filter("r.doc_id < last").select("h", F.col("r.doc_id").alias("ref"), F.col("r.at").alias("ref_at")) \
         .write.parquet(f"{path}/blocks")
@@ -272,4 +278,5 @@ def remove_repeats(docs: DataFrame, keep_text: bool = True) -> DataFrame:
         .groupBy("doc_id", "_mark").agg(F.collect_set("pos").alias("_more"))
     open_ = middle.filter("_open").select(*columns, "_mark", "_spans").join(repeats, ["doc_id", "_mark"], "left") \
         .select(*columns, "_spans", "_more").mapInArrow(_finish(keep_text), f"{shape}, {RESULT}")
-    return middle.filter("not _open").select(*columns, "n_words", "n_removed", "kept_sha256").unionByName(open_)
+    done = middle.filter("not _open").select(*columns, "n_words", "n_removed", "kept_sha256").unionByName(open_)
+    return done.select(*[F.col(h).alias(c) for c, h in held.items()], "n_words", "n_removed", "kept_sha256")

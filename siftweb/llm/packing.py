@@ -100,8 +100,8 @@ def hilbert_key(cells: np.ndarray, bits: int = GRID_BITS) -> np.ndarray:
 def _encode(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = tokens.load("byte", path)
-        for rows, data, off in vec.slices(batches):
-            ids = tokens.encode_slice(pieces, data, off, end_id)
+        for rows, data, off in vec.slices(batches, limit=tokens.SLICE):
+            ids = tokens.encode_rows(pieces, rows, end_id)
             yield pa.RecordBatch.from_arrays(
                 [rows.column("doc_id"), pa.array(hilbert_key(project(data, off)), pa.int64()),
                  pa.array([x.astype("<u2" if pieces.dtype.itemsize == 2 else "<u4").tobytes() for x in ids], pa.binary())],

@@ -19,7 +19,8 @@ unknown chunks of a slice fill their tables together, one position at a time
 (arrays over chunks).  The worker remembers pair tests (``2**PAIR_BITS``
 slots) and space-separated parts of the texts, in two generations of about
 ``KEEP``: when the younger is full it becomes the older, and parts still in
-use move up again.
+use move up again.  A part is remembered with its ids as decimals and with what
+the library decodes them to, so a text's results are joins over its parts.
 
 The model has to be BPE with an identity normalizer, a leading marker, byte
 fallback and no piece with a marker inside; ``Model`` checks that.  Runs of
@@ -37,16 +38,18 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siftweb.llm import vec
 
 KEEP, PAIR_BITS = 150_000, 21
+#: Bytes of text that are cut and looked up at once.
+SLICE = 4 << 20
 MARK = "▁"
 NEVER = np.int64(1) << 40
 SCHEMA = "doc_id long, n_tokens long, ids string, decoded string"
@@ -246,20 +249,18 @@ class Model:
         return [x for x in self.boundary.split(MARK + part) if x]
 
     def _know(self, parts: set[str]) -> None:
-        """Remember new parts."""
+        """Remember new parts: their ids as decimals, their ids, their decoded text."""
         cut = {p: [MARK + p] if p.isascii() and p.isalpha() else self._chunks(p) for p in parts}
         whole = set().union(*cut.values())
         odd = {c for c in whole if len(c) == 1 and c not in self.inner}
         ids = {c: [self.single[c]] if c in self.single else [self.bytes[b] for b in c.encode()] for c in odd}
         ids |= self._learn(sorted(whole - odd, key=len))
-        for p, chunks in cut.items():
-            out = ids[chunks[0]] if len(chunks) == 1 else [i for c in chunks for i in ids[c]]
-            self.known[p] = (",".join(map(str, out)), out)
+        found = [ids[c[0]] if len(c) == 1 else [i for x in c for i in ids[x]] for c in cut.values()]
+        for p, out, back in zip(cut, found, self.decode(found) if found else []):
+            self.known[p] = (",".join(map(str, out)), out, back)
 
-    def encode(self, texts: list[str]) -> list[tuple[str, list[int]]]:
-        """(ids joined by commas, ids) of each text."""
-        cut = [t.replace(MARK, " ").split(" ") if t else [] for t in texts]
-        want = set().union(*cut)
+    def look_up(self, parts: list[str]) -> list[tuple[str, list[int], str]]:
+        want = set(parts)
         if len(self.known) > KEEP:
             self.known, self.older = {}, self.known
         new = want - self.known.keys()
@@ -267,24 +268,58 @@ class Model:
         self.known |= {p: self.older[p] for p in again}
         new -= again
         self._know(new)
-        done, get = [], self.known.__getitem__
-        for c in cut:
-            if "" in c:  # several spaces in a row, or at an end
-                done.append(self._with_runs(c))
-                continue
-            found = list(map(get, c))
-            done.append((",".join([x[0] for x in found]), list(chain.from_iterable([x[1] for x in found]))))
+        out = list(map(self.known.__getitem__, parts))
         for x in [p for p in new if len(p) > 200]:
             del self.known[x]
-        return done
-
-    def _with_runs(self, parts: list[str]) -> tuple[str, list[int]]:
+        return out
+
+    def _easy(self, texts: pa.Array) -> tuple[np.ndarray, pa.Array, pa.Array]:
+        """(numbers of ids, ids joined by commas, decoded texts) of texts whose
+        parts stand between single spaces: Arrow finds the distinct parts, and
+        joins what is known of them."""
+        data, off = vec.text_buffers(texts)
+        new = np.zeros(len(data) + 1, bool)
+        new[off] = True
+        new[np.flatnonzero(data == 0x20) + 1] = True
+        start = np.flatnonzero(new[:-1])
+        ends = np.append(start, len(data)).astype(np.int64)
+        coded = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(ends), pa.py_buffer(data)]) \
+            .dictionary_encode()
+        parts = [p.removesuffix(" ") for p in coded.dictionary.cast(pa.large_string()).to_pylist()]
+        found = self.look_up(parts)
+        code = coded.indices
+        n = np.concatenate([[0], np.cumsum(np.array([len(x[1]) for x in found], np.int64)[code.to_numpy()])])
+        place = np.searchsorted(start, off)
+
+        def joined(k: int, sign: str) -> pa.Array:
+            each = pa.array([x[k] for x in found], pa.large_string()).take(code)
+            return pc.binary_join(pa.ListArray.from_arrays(pa.array(place, pa.int32()), each), pa.scalar(sign, pa.large_string()))
+        return n[place[1:]] - n[place[:-1]], joined(0, ","), joined(2, " ")
+
+    def round_trip(self, texts: pa.Array) -> tuple[list[int], list[str], list[str]]:
+        """(numbers of ids, ids joined by commas, decoded texts); null counts as empty."""
+        texts = pc.replace_substring(pc.fill_null(pc.cast(texts, pa.large_string()), ""), MARK, " ")
+        odd = pc.or_(pc.match_substring(texts, "  "), pc.or_(pc.starts_with(texts, " "), pc.ends_with(texts, " ")))
+        odd = odd.to_numpy(zero_copy_only=False)  # several spaces in a row, or at an end
+        rows = np.flatnonzero(~odd).tolist()
+        n, ids, back = [0] * len(texts), [""] * len(texts), [""] * len(texts)
+        for i, a, b, c in zip(rows, *(x.tolist() for x in self._easy(texts.filter(pa.array(~odd))))):
+            n[i], ids[i], back[i] = a, b, c
+        rows = np.flatnonzero(odd).tolist()
+        cut = [texts[i].as_py().split(" ") for i in rows]
+        known = dict(zip(words := list(set().union(*cut)), self.look_up(words)))
+        runs = [self._with_runs(c, known) for c in cut]
+        for i, found, c in zip(rows, runs, self.decode(runs) if runs else []):
+            n[i], ids[i], back[i] = len(found), ",".join(map(str, found)), c
+        return n, ids, back
+
+    def _with_runs(self, parts: list[str], known: dict[str, tuple[str, list[int], str]]) -> list[int]:
         """Lone markers in a row merge among themselves, together with the
         marker that starts the next part where its word leaves it alone."""
         ids: list[int] = []
         lone, mark = 0, self.single[MARK]
         for p in parts:
-            found = self.known[p][1]
+            found = known[p][1]
             if found[0] == mark:
                 lone += 1
                 found = found[1:]
@@ -293,7 +328,12 @@ class Model:
             ids += self._run(lone) + found
             lone = 0
         ids += self._run(lone)
-        return ",".join(map(str, ids)), ids
+        return ids
+
+    def encode(self, texts: list[str]) -> list[tuple[str, list[int]]]:
+        """(ids joined by commas, ids) of each text."""
+        _, found, _ = self.round_trip(pa.array(texts, pa.large_string()))
+        return [(x, list(map(int, x.split(","))) if x else []) for x in found]
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         return self.library.decode(ids, num_threads=1)
@@ -308,12 +348,8 @@ def load(path: str) -> Model:
 def _round_trip(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(path)
-        for rows, data, off in vec.slices(batches):
-            raw = data.tobytes()
-            texts = [raw[a:b].decode() for a, b in zip(off[:-1].tolist(), off[1:].tolist())]
-            found = model.encode(texts)
-            back = model.decode([ids for _, ids in found])
-            yield rows, found, back
+        for rows, _, _ in vec.slices(batches, limit=SLICE):
+            yield rows, *model.round_trip(rows.column("text"))
     return run
 
 
@@ -322,10 +358,9 @@ def encode_decode(docs: DataFrame, model: str) -> DataFrame:
     inner = _round_trip(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, found, back in inner(batches):
+        for rows, n, ids, back in inner(batches):
             yield pa.RecordBatch.from_arrays(
-                [rows.column("doc_id"), pa.array([len(x[1]) for x in found], pa.int64()),
-                 pa.array([x[0] for x in found], pa.string()), pa.array(back, pa.string())],
+                [rows.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(back, pa.string())],
                 names=["doc_id", "n_tokens", "ids", "decoded"])
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SCHEMA)
 
@@ -338,10 +373,10 @@ def digests(docs: DataFrame, model: str) -> DataFrame:
         return hashlib.sha256(x.encode()).hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, found, back in inner(batches):
+        for rows, n, ids, back in inner(batches):
             yield pa.RecordBatch.from_arrays(
-                [rows.column("doc_id"), pa.array([len(x[1]) for x in found], pa.int64()),
-                 pa.array([sha(x[0]) for x in found], pa.string()), pa.array([sha(x) for x in back], pa.string())],
+                [rows.column("doc_id"), pa.array(n, pa.int64()),
+                 pa.array([sha(x) for x in ids], pa.string()), pa.array([sha(x) for x in back], pa.string())],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -1,11 +1,14 @@
-"""Whole-text tokenization with the tokenizers library, memoised by pre-token.
+"""Whole-text tokenization with the tokenizers library, over arrays of pre-tokens.
 
 Both tokenizer files cut a text into pre-tokens, which are merged one by one,
-so a text's ids are the joined ids of its pre-tokens.  The cut is made here
-with the files' own patterns: in texts of ASCII and Latin letters by plain
-character classes, in others by Unicode classes (``byte_bpe_50k``) or by the
-library itself (``word_bpe_49k``, which also normalizes).  Texts that hold the
-string of an added token are encoded whole.
+so a text's ids are the joined ids of its pre-tokens.  A slice of documents is
+cut at once: each byte has the class of its character (letter, digit, space,
+other), and the files' patterns are rules on where classes change.  Arrow finds
+the distinct pre-tokens of the slice, only those are looked up, and the ids are
+gathered by numpy.  Texts of characters whose class is not known to be the
+library's go through the pattern itself (``byte_bpe_50k``) or through the library
+(``word_bpe_49k``, which also normalizes); texts that hold the string of an added
+token are encoded whole.
 
 Each worker keeps the ids of the pre-tokens that it has seen, in two
 generations of about ``KEEP``: when the younger is full it becomes the older,
@@ -16,28 +19,88 @@ library, thousands in one call between ``mark``s.
 from __future__ import annotations
 
 import os
-import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
+from siftweb.llm import vec
+
 KEEP, LONGEST, JOIN = 300_000, 200, 2000
-_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0132-\u024f"
-_SPACE = " \t\n\x0b\x0c\r"
-_PLAIN = re.compile(f"[\x00-\x7f{_LETTERS}]*")
-# The two tokenizers' own patterns, first in plain classes.
-_BYTE_LATIN = re.compile(f" ?[{_LETTERS}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[0-9]+| ?[^{_SPACE}{_LETTERS}0-9]+"
-                         f"|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+#: Bytes of text that are cut and looked up at once.
+SLICE = 4 << 20
+HARD, LETTER, DIGIT, SPACE, OTHER, INSIDE = range(6)
+# The byte tokenizer's pattern, and the endings after an apostrophe.
 _BYTE = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
-_WORD_LATIN = re.compile(f"[{_LETTERS}]+|'s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^{_SPACE}{_LETTERS}0-9]+")
+_ENDINGS = (b"s", b"t", b"m", b"d", b"re", b"ve", b"ll")
+#: Characters whose classes are looked up by code point.
+PLAIN = 0x800
 _LOADED: dict[tuple[str, str], Pieces] = {}
 
 
+def _ascii_classes() -> np.ndarray:
+    c = np.full(PLAIN, HARD, np.uint8)
+    c[:128] = OTHER
+    c[[0x20, 9, 10, 11, 12, 13]] = SPACE
+    c[0x30:0x3A] = DIGIT
+    c[0x41:0x5B] = c[0x61:0x7B] = LETTER
+    return c
+
+
+def word_classes() -> np.ndarray:
+    """Letters that the library's normalizer only lower-cases; other than ASCII
+    characters beside these are hard."""
+    c = _ascii_classes()
+    for a, b in ((0xC0, 0xD6), (0xD8, 0xF6), (0xF8, 0x12F), (0x132, 0x2AF)):
+        c[a:b + 1] = LETTER
+    for x in range(128, PLAIN):  # the lower case has to be one letter of the same range
+        low = chr(x).lower()
+        if c[x] == LETTER and (len(low) != 1 or ord(low) >= PLAIN or c[ord(low)] != LETTER):
+            c[x] = HARD
+    return c
+
+
+def byte_classes() -> np.ndarray:
+    """Letters, numbers and others as the pattern sees them; spaces beyond ASCII are hard."""
+    c = _ascii_classes()
+    for x in range(128, PLAIN):
+        ch = chr(x)
+        c[x] = HARD if regex.match(r"\s", ch) else LETTER if regex.match(r"\p{L}", ch) else \
+            DIGIT if regex.match(r"\p{N}", ch) else OTHER
+    return c
+
+
+def classes_of(data: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Class of each byte's character; INSIDE for all but a character's first byte."""
+    at = data.astype(np.int16)
+    two = np.flatnonzero((data >= 0xC2) & (data <= 0xDF))
+    at[two] = ((at[two] & 31) << 6) | (at[two + 1] & 63)
+    out = table[at]
+    out[data >= 0xE0] = HARD
+    out[(data & 0xC0) == 0x80] = INSIDE
+    return out
+
+
+def _endings(data: np.ndarray, at: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """Length of the ending behind each apostrophe, 0 if there is none."""
+    padded = np.concatenate([data, np.zeros(2, np.uint8)])
+    one, two = padded[at + 1], padded[at + 2]
+    n = np.zeros(len(at), np.int64)
+    for e in _ENDINGS:
+        if len(e) == 1:
+            n[(one == e[0]) & (at + 1 < stop)] = 1
+        else:
+            n[(one == e[0]) & (two == e[1]) & (at + 2 < stop)] = 2
+    return n
+
+
 class Pieces:
     """Ids of pre-tokens as little-endian 16- or 32-bit strings."""
 
     #: Stands between words in one call; no token but its own holds it.
     mark: str
+    table: np.ndarray
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
@@ -58,6 +121,36 @@ class Pieces:
         """The word may stand between two marks without changing its ids."""
         raise NotImplementedError
 
+    def starts(self, data: np.ndarray, kind: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(start of each pre-token or gap, whether it is a gap); the first of
+        each document starts at the document."""
+        raise NotImplementedError
+
+    def _bounds(self, kind: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Per byte: its character's class, that of the byte before, whether a
+        document starts there, whether it is a character's first byte."""
+        first = kind != INSIDE
+        own = np.where(first, kind, np.concatenate([[HARD], kind[:-1]]) if len(kind) else kind)
+        edge = np.zeros(len(kind) + 1, bool)
+        edge[off] = True
+        return own, np.concatenate([[HARD], own[:-1]]) if len(own) else own, edge[:-1], first
+
+    def _take_endings(self, data: np.ndarray, off: np.ndarray, new: np.ndarray) -> None:
+        """An apostrophe that starts its pre-token takes an ending with it."""
+        at = np.flatnonzero((data == 0x27) & new)
+        n = _endings(data, at, off[np.searchsorted(off, at, side="right")])
+        at, n = at[n > 0], n[n > 0]
+        new[at + 1] = False
+        behind = at + 1 + n
+        new[behind[behind < len(data)]] = True
+
+    def hard(self, text: str) -> list[str] | None:
+        """Pre-tokens of a text with hard characters; None if it has to be encoded whole."""
+        return None
+
+    def lowered(self, texts: pa.Array) -> pa.Array:
+        return texts
+
     def ids_of(self, words: list[str]) -> dict[str, bytes]:
         """Ids of many words by few library calls."""
         out = {}
@@ -76,14 +169,9 @@ class Pieces:
                 out[w] = self.ids(w)
         return out
 
-    def parts(self, text: str) -> list[str] | None:
-        """The text's pre-tokens; None if it has to be encoded whole."""
-        raise NotImplementedError
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text."""
-        cut = [None if any(x in t for x in self.added) else self.parts(t) for t in texts]
-        want = set().union(*(c for c in cut if c is not None))
+    def look_up(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct pre-tokens."""
+        want = set(words)
         if len(self.known) > KEEP:
             self.known, self.older = {}, self.known
         new = want - self.known.keys()
@@ -91,33 +179,106 @@ class Pieces:
         self.known |= {p: self.older[p] for p in again}
         new -= again
         self.known |= self.ids_of(list(new))
-        get = self.known.__getitem__
-        out = [self.ids(t) if c is None else b"".join(map(get, c)) for t, c in zip(texts, cut)]
+        out = list(map(self.known.__getitem__, words))
         for p in new:
             if len(p) > LONGEST:
                 del self.known[p]
         return out
 
+    def _plain(self, texts: pa.Array) -> list[bytes]:
+        """Ids of texts without hard characters and added tokens."""
+        texts = self.lowered(texts)
+        data, off = vec.text_buffers(texts)
+        kind = classes_of(data, self.table)
+        start, gap = self.starts(data, kind, off)
+        ends = np.append(start, len(data)).astype(np.int64)
+        cut = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(ends), pa.py_buffer(data)])
+        coded = cut.filter(pa.array(~gap)).dictionary_encode()
+        words = coded.dictionary.cast(pa.large_string()).to_pylist()
+        raw = self.look_up(words)
+        size = self.dtype.itemsize
+        n = np.array([len(x) for x in raw], np.int64) // size
+        flat, first = np.frombuffer(b"".join(raw), self.dtype), np.concatenate([[0], np.cumsum(n)])[:-1]
+        code = coded.indices.to_numpy()
+        count = n[code]
+        end = np.cumsum(count)
+        at = np.arange(end[-1] if len(end) else 0) + np.repeat(first[code] - (end - count), count)
+        ids = flat[at].tobytes()
+        # Each document's first pre-token, counted without gaps.
+        place = np.searchsorted(start[~gap], off)
+        cuts = (np.concatenate([[0], end])[place] * size).tolist()
+        return [ids[i:j] for i, j in zip(cuts[:-1], cuts[1:])]
+
+    def encode_array(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text of an Arrow array; null counts as empty."""
+        texts = pc.fill_null(pc.cast(texts, pa.large_string()), "")
+        data, off = vec.text_buffers(texts)
+        kind = classes_of(data, self.table)
+        bad = np.concatenate([[0], np.cumsum(kind == HARD, dtype=np.int64)])
+        easy = bad[off[1:]] == bad[off[:-1]]
+        whole = np.zeros(len(texts), bool)
+        for x in self.added:
+            whole |= pc.match_substring(texts, x).to_numpy(zero_copy_only=False)
+        easy &= ~whole
+        out: list[bytes] = [b""] * len(texts)
+        rows = np.flatnonzero(easy)
+        for i, x in zip(rows.tolist(), self._plain(texts.take(pa.array(rows)))):
+            out[i] = x
+        for i in np.flatnonzero(~easy).tolist():
+            text = texts[i].as_py()
+            cut = None if whole[i] else self.hard(text)
+            if cut is None:
+                out[i] = self.ids(text)
+            else:
+                held = dict(zip(words := list(set(cut)), self.look_up(words)))
+                out[i] = b"".join([held[w] for w in cut])
+        return out
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text."""
+        return self.encode_array(pa.array(texts, pa.large_string()))
+
 
 class WordPieces(Pieces):
     mark = " | "
+    table = word_classes()
 
     def joins(self, word):
         return "|" not in word
 
-    def parts(self, text):
-        return _WORD_LATIN.findall(text.lower()) if _PLAIN.fullmatch(text) else None
+    def lowered(self, texts):
+        return pc.utf8_lower(texts)
+
+    def starts(self, data, kind, off):
+        own, prior, edge, first = self._bounds(kind, off)
+        new = first & ((own != prior) | (own == DIGIT) | edge)
+        self._take_endings(data, off, new)
+        start = np.flatnonzero(new)
+        return start, kind[start] == SPACE
 
 
 class BytePieces(Pieces):
     mark = "\n"
+    table = byte_classes()
 
     def joins(self, word):
         body = word[1:] if word[0] == " " else word
         return bool(body) and not body[0].isspace()
 
-    def parts(self, text):
-        return (_BYTE_LATIN if _PLAIN.fullmatch(text) else _BYTE).findall(text)
+    def hard(self, text):
+        return _BYTE.findall(text)
+
+    def starts(self, data, kind, off):
+        own, prior, edge, first = self._bounds(kind, off)
+        new = first & ((own != prior) | edge)
+        # Behind spaces: the last one leaves their run, and a blank joins what follows.
+        after = np.flatnonzero(new & (own != SPACE) & (prior == SPACE) & ~edge)
+        new[after - 1] = True
+        blank = data[after - 1] == 0x20
+        new[after[blank]] = False
+        self._take_endings(data, off, new)
+        start = np.flatnonzero(new)
+        return start, np.zeros(len(start), bool)
 
 
 def load(kind: str, path: str) -> Pieces:
@@ -127,9 +288,7 @@ def load(kind: str, path: str) -> Pieces:
     return _LOADED[kind, path]
 
 
-def encode_slice(pieces: Pieces, data: np.ndarray, off: np.ndarray, end_id: int) -> list[np.ndarray]:
+def encode_rows(pieces: Pieces, rows: pa.RecordBatch, end_id: int) -> list[np.ndarray]:
     """Ids of each document of a slice (see ``vec.slices``), the end id appended."""
-    raw = data.tobytes()
-    texts = [raw[a:b].decode() for a, b in zip(off[:-1].tolist(), off[1:].tolist())]
     tail = np.array([end_id], pieces.dtype).tobytes()
-    return [np.frombuffer(x + tail, pieces.dtype) for x in pieces.encode(texts)]
+    return [np.frombuffer(x + tail, pieces.dtype) for x in pieces.encode_array(rows.column("text"))]

@@ -41,16 +41,17 @@ _NONE = -(2 ** 63)
 ZERO = -20000
 
 
-def quantised(vectors: DataFrame, scale: int = 64) -> DataFrame:
-    """(vec_id, v array<long>, norm, dim) of the vectors that take part."""
+def quantised(vectors: DataFrame, scale: int = 64, is_query: Column | None = None) -> DataFrame:
+    """(vec_id, v array<long>, norm, dim, query) of the vectors that take part."""
     x = F.col("embedding")
     sound = F.forall(x, lambda a: a.isNotNull() & ~F.isnan(a) & (F.abs(a.cast("double")) < float("inf")))
     ints = vectors.filter(F.col("vec_id").isNotNull() & x.isNotNull()).filter(sound).select(
         F.col("vec_id").cast("long").alias("vec_id"),
-        F.transform(x, lambda a: F.floor(a.cast("double") * F.lit(float(scale))).cast("long")).alias("v"))
-    one = ints.groupBy("vec_id").agg(F.min("v").alias("v"))
+        F.transform(x, lambda a: F.floor(a.cast("double") * F.lit(float(scale))).cast("long")).alias("v"),
+        F.coalesce(F.lit(False) if is_query is None else is_query, F.lit(False)).alias("query"))
+    one = ints.groupBy("vec_id").agg(F.min("v").alias("v"), F.max("query").alias("query"))
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, a: s + a.cast("double") * a.cast("double")))
-    return one.select("vec_id", "v", F.size("v").alias("dim"), norm.alias("norm"))
+    return one.select("vec_id", "v", F.size("v").alias("dim"), norm.alias("norm"), "query")
 
 
 def _gathered(cut: DataFrame, keys: list[str], name: str) -> DataFrame:
@@ -144,12 +145,12 @@ def _pairs(q: DataFrame, plan: DataFrame, blocks: DataFrame, k: int) -> DataFram
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64) -> DataFrame:
-    """(query_id, rank, vec_id, score) for the rows that ``is_query`` picks,
-    against every row but the query's own."""
+    """(query_id, rank, vec_id, score) for the rows that ``is_query`` (over the
+    columns of ``vectors``) picks, against every row but the query's own."""
     spark = vectors.sparkSession
     path = scratch_path(spark, "topk")
     bucket = F.when(F.col("norm") > 0, F.floor(F.log2("norm") * 8)).otherwise(F.lit(ZERO)).cast("int")
-    quantised(vectors, scale).withColumn("bucket", bucket).write.parquet(f"{path}/v")
+    quantised(vectors, scale, is_query).withColumn("bucket", bucket).write.parquet(f"{path}/v")
     rows = spark.read.parquet(f"{path}/v")
     # One row per (dim, bucket): at most 17,000 buckets of a double's range.
     w = Window.partitionBy("dim").orderBy(F.desc("bucket"))
@@ -160,7 +161,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64) ->
     sizes = spark.read.parquet(f"{path}/n")
     cut = rows.join(F.broadcast(sizes), ["dim", "bucket"]).withColumn("_part", _part(F.col("parts")))
     blocks = _gathered(cut, ["dim", "bucket", "_part"], "x").drop("x_norm")
-    queries = rows.filter(is_query)
+    queries = rows.filter("query")
 
     plan = sizes.select("dim", "bucket", F.lit(0).alias("lo"), (F.col("seeds") - 1).alias("hi"))
     _pairs(_query_blocks(queries), plan, blocks, k).write.parquet(f"{path}/s")

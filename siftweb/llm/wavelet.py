@@ -150,8 +150,8 @@ def _write(path: str, end_id: int, size: int):
         pieces = tokens.load("word", path)
         part, no = TaskContext.get().partitionId(), 0
         docs, ids, total = [], [], 0
-        for rows, data, off in vec.slices(batches):
-            for doc, x in zip(rows.column("doc_id").to_pylist(), tokens.encode_slice(pieces, data, off, end_id)):
+        for rows, data, off in vec.slices(batches, limit=tokens.SLICE):
+            for doc, x in zip(rows.column("doc_id").to_pylist(), tokens.encode_rows(pieces, rows, end_id)):
                 if ids and total + len(x) > size:
                     yield _shard((part << 32) + no, docs, ids)
                     docs, ids, total, no = [], [], 0, no + 1
