@@ -19,8 +19,9 @@ unknown chunks of a slice fill their tables together, one position at a time
 (arrays over chunks).  The worker remembers pair tests (``2**PAIR_BITS``
 slots) and space-separated parts of the texts, in two generations of about
 ``KEEP``: when the younger is full it becomes the older, and parts still in
-use move up again.  A part is remembered with its ids as decimals and with what
-the library decodes them to, so a text's results are joins over its parts.
+use move up again.  A part is remembered with its ids as decimals and with the text
+that they stand for, so a text's results are joins over its parts; parts with
+byte pieces and texts with runs of spaces are decoded by the library.
 
 The model has to be BPE with an identity normalizer, a leading marker, byte
 fallback and no piece with a marker inside; ``Model`` checks that.  Runs of
@@ -51,6 +52,8 @@ KEEP, PAIR_BITS = 150_000, 21
 #: Bytes of text that are cut and looked up at once.
 SLICE = 4 << 20
 MARK = "▁"
+#: Stands for a byte piece; no piece of the vocabulary holds it.
+BYTE = "\0"
 NEVER = np.int64(1) << 40
 SCHEMA = "doc_id long, n_tokens long, ids string, decoded string"
 _LOADED: dict[str, Model] = {}
@@ -69,9 +72,11 @@ class Model:
         pieces = [(i, p.piece, p.score) for i, p in enumerate(proto.pieces) if p.type == 1]
         if (train.model_type != 2 or norm.precompiled_charsmap or norm.remove_extra_whitespaces
                 or not norm.add_dummy_prefix or not norm.escape_whitespaces or not train.byte_fallback
-                or any(p.type == 4 for p in proto.pieces) or any(MARK in p.lstrip(MARK) for _, p, _ in pieces)):
+                or any(p.type == 4 for p in proto.pieces) or any(BYTE in p or MARK in p.lstrip(MARK) for _, p, _ in pieces)):
             raise ValueError("this model is not a plain byte-fallback BPE model")
         self.bytes = {int(p.piece[1:-1], 16): i for i, p in enumerate(proto.pieces) if p.type == 6}
+        self.decimals = [str(i) for i in range(len(proto.pieces))]
+        self.surface = [BYTE if p.type == 6 else p.piece for p in proto.pieces]
         self.runs = {len(p): i for i, p, _ in pieces if set(p) == {MARK}}
         #: Characters of some longer piece; all others end a chunk.
         words = [(i, p, s) for i, p, s in pieces if set(p) != {MARK} or len(p) == 1]
@@ -256,8 +261,14 @@ class Model:
         ids = {c: [self.single[c]] if c in self.single else [self.bytes[b] for b in c.encode()] for c in odd}
         ids |= self._learn(sorted(whole - odd, key=len))
         found = [ids[c[0]] if len(c) == 1 else [i for x in c for i in ids[x]] for c in cut.values()]
-        for p, out, back in zip(cut, found, self.decode(found) if found else []):
-            self.known[p] = (",".join(map(str, out)), out, back)
+        number, text = self.decimals.__getitem__, self.surface.__getitem__
+        backs = ["".join(map(text, out)) for out in found]
+        # Byte pieces mean nothing one by one: the library decodes parts with them.
+        with_bytes = [k for k, b in enumerate(backs) if BYTE in b]
+        for k, b in zip(with_bytes, self.decode([found[k] for k in with_bytes]) if with_bytes else []):
+            backs[k] = MARK + b
+        for p, out, back in zip(cut, found, backs):
+            self.known[p] = (",".join(map(number, out)), out, back[1:])
 
     def look_up(self, parts: list[str]) -> list[tuple[str, list[int], str]]:
         want = set(parts)
