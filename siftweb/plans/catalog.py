@@ -22,6 +22,7 @@ from siftweb.operators import rank as R
 from siftweb.operators import search as S
 from siftweb.session import read_table, scratch_path
 from siftweb.sources import fetchlog, nodestore
+from siftweb.sources.pages import decode_pages
 from siftweb.streaming import pages_stream as ST
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,7 +71,7 @@ _STORES: dict[tuple[str, str], str] = {}
 
 def store(spark, sf) -> str:
     """Folder with the parsed pages (``pages``), the merged, ranked nodes
-    (``nodes``) and the aliases (``aliases``) of a data set, written once per
+    (``nodes``), their postings and the aliases (``aliases``) of a data set, written once per
     application under the shared checkpoint folder; searches read these.
 
     The fetched pages do not link to each other, so they are ranked over the
@@ -88,6 +89,7 @@ def store(spark, sf) -> str:
         ranks = R.rank(spark, vertices, back, teleport=TELEPORT, eps=0.0, max_iter=RANK_STEPS).ranks
         ranked = R.apply_importance(nodes, ranks.withColumn("rank", F.round("rank", 9)), "url")
         ranked.select(*N.NODE_COLUMNS).write.parquet(f"{path}/nodes")
+        S.postings(spark.read.parquet(f"{path}/nodes")).write.parquet(f"{path}/postings")
         _STORES[key] = path
     return _STORES[key]
 
@@ -151,6 +153,27 @@ def s1(spark, sf):
                                    sha(F.col("html")).alias("html_sha"))
 
 
+def raw_pages(spark, sf) -> DataFrame:
+    """The pages as bytes, in turn in plain UTF-8, in UTF-8 and both UTF-16 with a
+    mark, and as declared windows-1252 (UTF-8 where the page holds other letters)."""
+    html, i = F.col("html"), F.col("page_id") % 5
+    marked = F.concat(F.lit("\uFEFF"), html)
+    latin = F.replace(html, F.lit('charset="utf-8"'), F.lit('charset="Windows-1252"'))
+    fits = ~html.rlike("[^\\x00-\\x7F\\xA0-\\xFF]") & html.contains('charset="utf-8"')
+    content = (F.when(i == 1, F.encode(marked, "UTF-8")).when(i == 2, F.encode(marked, "UTF-16LE"))
+               .when(i == 3, F.encode(marked, "UTF-16BE")).when((i == 4) & fits, F.encode(latin, "ISO-8859-1"))
+               .otherwise(F.encode(html, "UTF-8")))
+    return pages(spark, sf).select("page_id", "url", content.alias("content"))
+
+
+@query("s1_decode_pages")
+def s1_decode(spark, sf):
+    """Pages from bytes of several charsets, each found in the page's own bytes,
+    parsed as the others are."""
+    decode_pages(raw_pages(spark, sf)).write.parquet(path := scratch_path(spark, "decoded"))
+    return node_summary(N.parse_pages(spark.read.parquet(path)))
+
+
 @query("s2_fetch_outcome")
 def s2(spark, sf):
     log = fetchlog.events_as_fetch_log(read_table(spark, sf, "events"))
@@ -660,7 +683,7 @@ def q10(spark, sf):
     """The keywords of the flagship query, and how many nodes hold each."""
     nodes, _ = merged(spark, sf)
     words = spark.createDataFrame([(k,) for k in S.parse_query(FLAGSHIP_QUERY).keywords], "keyword string")
-    return S.keyword_hits(nodes, words).groupBy("keyword").agg(
+    return S.keyword_hits(nodes, words, spark.read.parquet(f"{store(spark, sf)}/postings")).groupBy("keyword").agg(
         F.sum("m").alias("n_match"), F.sum("th").alias("n_title"), F.sum("chh").alias("n_content"))
 
 
@@ -742,7 +765,8 @@ def text_queries(spark, sf) -> DataFrame:
 @query("q23_batch_search")
 def q23(spark, sf):
     nodes, aliases = merged(spark, sf)
-    res = S.batch_search(nodes, text_queries(spark, sf), aliases)
+    found = spark.read.parquet(f"{store(spark, sf)}/postings")
+    res = S.batch_search(nodes, text_queries(spark, sf), aliases, found)
     return res.select("query_id", F.col("position").cast("bigint").alias("position"), "id",
                       F.col("title_hits").cast("bigint").alias("title_hits"),
                       F.col("content_hits").cast("bigint").alias("content_hits"))
