@@ -50,7 +50,7 @@ from siftweb.llm import vec
 
 KEEP, PAIR_BITS = 150_000, 21
 #: Bytes of text that are cut and looked up at once.
-SLICE = 2 << 20
+SLICE = 4 << 20
 MARK = "▁"
 #: Stands for a byte piece; no piece of the vocabulary holds it.
 BYTE = "\0"

@@ -29,7 +29,7 @@ from siftweb.llm import vec
 
 KEEP, LONGEST, JOIN = 300_000, 200, 2000
 #: Bytes of text that are cut and looked up at once.
-SLICE = 2 << 20
+SLICE = 4 << 20
 HARD, LETTER, DIGIT, SPACE, OTHER, INSIDE = range(6)
 # The byte tokenizer's pattern, and the endings after an apostrophe.
 _BYTE = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
