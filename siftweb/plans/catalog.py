@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from siftweb.functions import html as H
 from siftweb.functions import text as T
 from siftweb.functions import urls as U
+from siftweb.operators import components as CC
 from siftweb.operators import dedup as D
 from siftweb.operators import graph as G
 from siftweb.operators import nodes as N
@@ -484,6 +485,17 @@ def g9(spark, sf):
     return G.shared_url_groups(urls)
 
 
+@query("g9_merged_nodes")
+def g9_merged(spark, sf):
+    """Documents as nodes under two URLs each, by their start and by language and
+    length: nodes that share any URL are one, also over others."""
+    docs = read_table(spark, sf, "documents")
+    urls = docs.select(F.substring("text", 1, 24).alias("url"), F.col("doc_id").alias("node_id")).unionByName(
+        docs.select(F.concat(F.lit("#"), "lang", F.lit(":"), F.col("n_chars").cast("string")).alias("url"),
+                    F.col("doc_id").alias("node_id")))
+    return CC.merge_by_urls(urls)
+
+
 def sp_start(resolved: DataFrame) -> DataFrame:
     return resolved.filter(F.col("src").startswith("S")).agg(
         F.min_by("src", F.substring("src", 2, 20).cast("bigint")).alias("id"))
