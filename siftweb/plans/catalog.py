@@ -7,6 +7,7 @@ doubles rounded to 9 places) so they compare exactly with the SQL oracle.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,7 +23,7 @@ from siftweb.operators import nodes as N
 from siftweb.operators import rank as R
 from siftweb.operators import search as S
 from siftweb.session import read_table, scratch_path
-from siftweb.sources import fetchlog, nodestore
+from siftweb.sources import bucketstore, fetchlog, nodestore
 from siftweb.sources.pages import decode_pages
 from siftweb.streaming import pages_stream as ST
 
@@ -227,23 +228,34 @@ def s6(spark, sf):
                          F.length("content").cast("bigint").alias("content_len"))
 
 
-def upsert_demo(spark, sf) -> DataFrame:
-    """Store = page nodes; batch = a rank update of every stored node
-    (content null, importance 1/n) plus every document as a new node."""
-    store = page_nodes(spark, sf)
+def upsert_batch(spark, sf, store: DataFrame) -> DataFrame:
+    """A rank update of every stored node (content null, importance 1/n) plus
+    every document as a new node."""
     n = store.count()
     updates = store.withColumn("content", F.lit(None).cast("array<string>")) \
         .withColumn("importance", F.lit(1.0 / n) if n else F.lit(0.0))
     inserts = doc_nodes(spark, sf).withColumn("id", F.lit(None).cast("bigint"))
-    batch = updates.select(*N.NODE_COLUMNS).unionByName(inserts.select(*N.NODE_COLUMNS))
-    return nodestore.upsert(store, batch)
+    return updates.select(*N.NODE_COLUMNS).unionByName(inserts.select(*N.NODE_COLUMNS))
+
+
+def upserted_columns(nodes: DataFrame) -> DataFrame:
+    return nodes.select("id", "url", r9("importance").alias("importance"), "content_hash",
+                        F.size("content").cast("bigint").alias("n_content"))
 
 
 @query("s7_upsert")
 def s7(spark, sf):
-    return upsert_demo(spark, sf).select(
-        "id", "url", r9("importance").alias("importance"), "content_hash",
-        F.size("content").cast("bigint").alias("n_content"))
+    """Store = page nodes."""
+    store = page_nodes(spark, sf)
+    return upserted_columns(nodestore.upsert(store, upsert_batch(spark, sf, store)))
+
+
+@query("s7_s9_bucketed_upsert")
+def s7_s9(spark, sf):
+    """The same over a bucketed catalog table of its own."""
+    table = f"nodes_{uuid.uuid4().hex[:12]}"
+    store = bucketstore.save(spark, table, page_nodes(spark, sf), clear=True, buckets=spark.sparkContext.defaultParallelism)
+    return upserted_columns(bucketstore.save(spark, table, upsert_batch(spark, sf, store)))
 
 
 @query("s8_assign_ids")

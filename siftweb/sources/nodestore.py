@@ -90,13 +90,17 @@ def last_updates(updates: DataFrame, order_by: str | None = None) -> DataFrame:
     return last.select("id", "content", "_f.*").select(*NODE_COLUMNS)
 
 
-def upsert(store: DataFrame, batch: DataFrame, order_by: str | None = None) -> DataFrame:
+def upsert(store: DataFrame, batch: DataFrame, order_by: str | None = None,
+           buckets: int | None = None) -> DataFrame:
     """S7 (+S8): rows with an id update that node, taking every field from
     the batch (even nulls) except content, which a null keeps; an id that the
     batch names several times takes the last of its rows; rows without an id
-    are inserted with fresh ids after the largest stored id."""
+    are inserted with fresh ids after the largest stored id.  With ``buckets``, the
+updates (one per id by then) are dealt like a store of so many buckets."""
     cols = NODE_COLUMNS
     updates = last_updates(batch.filter(F.col("id").isNotNull()), order_by)
+    if buckets:
+        updates = updates.repartition(buckets, "id")
     inserts = batch.filter(F.col("id").isNull())
     old = store.select(*cols)
     upd = updates.select(*[F.col(c).alias("n_" + c) for c in cols])
@@ -107,7 +111,15 @@ def upsert(store: DataFrame, batch: DataFrame, order_by: str | None = None) -> D
         for c in cols])
     max_id = store.agg(F.max("id"))
     new_rows = assign_ids(inserts.drop("id"), ["content_hash", "url"], max_id).select(*cols)
-    return kept.unionByName(new_rows)
+    return kept.unionByName(new_rows.repartition(buckets, "id") if buckets else new_rows)
+
+
+def new_store(batch: DataFrame, order_by: str | None = None) -> DataFrame:
+    """The batch alone, rows without an id numbered after the largest id it holds."""
+    keep = last_updates(batch.filter(F.col("id").isNotNull()), order_by)
+    inserts = batch.filter(F.col("id").isNull()).drop("id")
+    fresh = assign_ids(inserts, ["content_hash", "url"], batch.agg(F.max("id")))
+    return keep.unionByName(fresh.select(*NODE_COLUMNS))
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -124,10 +136,7 @@ def save(spark: SparkSession, path: str, batch: DataFrame, clear: bool = False,
     written to ``path`` and read back.  A store that is there but cannot be
     read raises; only a missing path counts as no store yet."""
     if clear or not exists(spark, path):
-        keep = last_updates(batch.filter(F.col("id").isNotNull()), order_by)
-        inserts = batch.filter(F.col("id").isNull()).drop("id")
-        fresh = assign_ids(inserts, ["content_hash", "url"], batch.agg(F.max("id")))
-        result = keep.unionByName(fresh.select(*NODE_COLUMNS))
+        result = new_store(batch, order_by)
     else:
         result = upsert(spark.read.parquet(path), batch, order_by)
     tmp = path.rstrip("/") + ".next"
