@@ -83,7 +83,9 @@ def text_buffers(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = 1 << 20
            ) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Cut batches into (rows, text bytes, offsets) of about ``limit`` bytes."""
+    """Cut batches into (rows, text bytes, offsets) of about ``limit`` bytes.
+    Workers outlive their task, so what Arrow's pool holds unused is given back
+    with the last batch."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -94,6 +96,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             b = min(n, max(b, a + 1))
             yield batch.slice(a, b - a), data[off[a]: off[b]], off[a: b + 1] - off[a]
             a = b
+    pa.default_memory_pool().release_unused()
 
 
 def words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
