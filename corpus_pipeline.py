@@ -26,23 +26,39 @@ from siftweb.llm import chosenpath, lempelziv, packing, quality, toxicity
 from siftweb.session import scratch_path
 
 
+#: Documents reach the Python workers in batches of about this many bytes, so that
+#: what a batch takes in the JVM and in a worker does not grow with the texts.
+BATCH_BYTES = 8 << 20
+
+
+def _bound_batches(spark: SparkSession) -> None:
+    """For the session, where it names no bound of its own."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _bound_batches(spark)
     return toxicity.keep_clean(docs, toxicity.fit(docs, _labels(spark, sf_dir)))
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _bound_batches(spark)
     return quality.keep_good(docs, quality.fit(docs, _labels(spark, sf_dir)))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _bound_batches(spark)
     return chosenpath.keep_one(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _bound_batches(spark)
     # The row travels whole beside its text, so the operator's columns replace none of its own.
     done = lempelziv.remove_repeats(docs.select("doc_id", "text", F.struct("*").alias("row")))
 
@@ -57,6 +73,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _bound_batches(spark)
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
