@@ -25,6 +25,7 @@ from siftweb.operators import search as S
 from siftweb.session import read_table, scratch_path
 from siftweb.sources import bucketstore, fetchlog, nodestore
 from siftweb.sources.pages import decode_pages
+from siftweb.streaming import frontier as FR
 from siftweb.streaming import pages_stream as ST
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -886,3 +887,37 @@ def t5(spark, sf):
     # Restart with a fresh checkpoint: pages whose URL is stored are skipped.
     ST.merge_stream(spark, page_stream(spark, arrived), store, ST.scratch(spark, "t5-b"), known_urls=aliases)
     return store_summary(spark, store)
+
+
+RETRY_SECONDS, ARRIVAL_SECONDS, ARRIVAL_DISORDER = 86_400, 7 * 86_400, "8 days"
+
+
+def events_as_fetches(events: DataFrame) -> DataFrame:
+    """The fetch log with forty URLs a user, so that some fetch again and some never succeed."""
+    log = fetchlog.fetch_outcomes(fetchlog.events_as_fetch_log(events, "ts"))
+    return log.select(F.concat("url", F.pmod("event_id", F.lit(40)).cast("string")).alias("url"),
+                      F.col("ts").cast("timestamp").alias("fetched_at"), "outcome")
+
+
+def arriving_by_time(spark, df: DataFrame, key: str, seconds: int) -> tuple[str, int]:
+    """As ``arriving``, with the files of one span of time after those of the one before."""
+    path, files = ST.scratch(spark, "arriving"), 0
+    span = F.floor(F.unix_seconds(key) / seconds)
+    ends = df.agg(F.min(span).alias("a"), F.max(span).alias("b")).first()
+    for i in range(ends["a"], ends["b"] + 1) if ends["a"] is not None else ():
+        part = df.filter(span == i)
+        part.write.mode("append").parquet(path)
+        files += max(1, part.rdd.getNumPartitions())
+    if not files:
+        df.limit(0).write.parquet(path)
+    return path, per_batch(max(files, STREAM_BATCHES))
+
+
+@query("t3_s2_retry_frontier")
+def t3_s2(spark, sf):
+    fetches = events_as_fetches(read_table(spark, sf, "events"))
+    folder, files = arriving_by_time(spark, fetches, "fetched_at", ARRIVAL_SECONDS)
+    stream = spark.readStream.schema(fetches.schema).option("maxFilesPerTrigger", files).parquet(folder)
+    out, ck = ST.scratch(spark, "frontier-out"), ST.scratch(spark, "frontier-ckpt")
+    ST.run_to_table(FR.frontier(stream, RETRY_SECONDS, ARRIVAL_DISORDER), out, ck)
+    return spark.read.schema(FR.OUT).parquet(out)

@@ -37,8 +37,8 @@ def classify(status: Column, error_kind: Column) -> Column:
     )
 
 
-def events_as_fetch_log(events: DataFrame) -> DataFrame:
-    """Stand-in fetch log from the events table (one fetch per event)."""
+def events_as_fetch_log(events: DataFrame, *keep: str) -> DataFrame:
+    """Stand-in fetch log from the events table (one fetch per event), with the columns ``keep``."""
     status = F.lit(None).cast("int")
     kind = F.lit(None).cast("string")
     for et, (st, ek) in EVENT_FETCH_MAP.items():
@@ -47,7 +47,7 @@ def events_as_fetch_log(events: DataFrame) -> DataFrame:
     return events.select(
         "event_id",
         F.concat(F.lit("http://user"), F.col("user_id").cast("string"), F.lit(".example.org/")).alias("url"),
-        status.alias("status"), kind.alias("error_kind"))
+        status.alias("status"), kind.alias("error_kind"), *keep)
 
 
 def fetch_outcomes(fetch_log: DataFrame) -> DataFrame:
