@@ -128,6 +128,7 @@ def _sets(wanted: Bloom):
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
     """Consecutive rows of equal (g, part); input sorted by them."""
+    vec.give_back()
     held: list[pa.RecordBatch] = []
     last = None
     for batch in batches:
@@ -452,6 +453,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
                 ids = b.column("doc_id").cast(pa.int64())
                 hit = bloom.may_hold(ids.fill_null(0).to_numpy()) & ids.is_valid().to_numpy(zero_copy_only=False)
                 yield b.filter(pa.array(hit == inside))
+            vec.give_back()
         return run
 
     # Only documents that may have to go are shuffled, each row as one column.

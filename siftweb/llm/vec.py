@@ -11,6 +11,7 @@ bit mixer, so equal words hash equally in every task and session.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -81,9 +82,20 @@ def text_buffers(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[off[0]: off[-1]], off - off[0]
 
 
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Return what the allocators hold unused to the system, for workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = 1 << 20
            ) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Cut batches into (rows, text bytes, offsets) of about ``limit`` bytes."""
+    give_back()
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -94,6 +106,8 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             b = min(n, max(b, a + 1))
             yield batch.slice(a, b - a), data[off[a]: off[b]], off[a: b + 1] - off[a]
             a = b
+    batch = data = off = None
+    give_back()
 
 
 def words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
