@@ -28,7 +28,7 @@ from siftweb.session import scratch_path
 
 #: Documents reach the Python workers in batches of about this many bytes, so that
 #: what a batch takes in the JVM and in a worker does not grow with the texts.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 
 
 def _bound_batches(spark: SparkSession) -> None:
