@@ -456,9 +456,10 @@ def keep_one(docs: DataFrame) -> DataFrame:
             vec.give_back()
         return run
 
+    names, docs = docs.columns, vec.numbered(docs)
     # Only documents that may have to go are shuffled, each row as one column.
     doubt = docs.mapInArrow(side(True), docs.schema).select(
         F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("h"), F.struct("*").alias("row"))
     doubt = doubt.join(odd.filter("not kept").select(F.col("doc_id").alias("id")), "id", "left_anti")
     one = doubt.withColumn("place", F.row_number().over(Window.partitionBy("id").orderBy("h"))).filter("place = 1")
-    return docs.mapInArrow(side(False), docs.schema).unionByName(one.select("row.*"))
+    return docs.mapInArrow(side(False), docs.schema).unionByName(one.select("row.*")).toDF(*names)

@@ -223,4 +223,5 @@ def keep_good(docs: DataFrame, model: Machine, least: float = 0.5) -> DataFrame:
             n = rows.column("n_chars").fill_null(-1).to_numpy() if "n_chars" in rows.schema.names \
                 else np.full(rows.num_rows, -1)
             yield rows.filter(pa.array(m.scores(*features(data, off, n)) >= least))
-    return docs.mapInArrow(run, docs.schema)
+    plain = vec.numbered(docs)
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)

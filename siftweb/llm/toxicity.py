@@ -183,4 +183,5 @@ def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, off in vec.slices(batches):
             yield rows.filter(pa.array(model.above(*counted(data, off))[:, 0] < 0.5))
-    return docs.mapInArrow(run, docs.schema)
+    plain = vec.numbered(docs)
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)

@@ -110,6 +110,12 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
     give_back()
 
 
+def numbered(docs):
+    """The same rows, columns but doc_id, text and n_chars named by their number, so that
+    tasks take columns of any name; ``toDF(*docs.columns)`` goes back."""
+    return docs.toDF(*[c if c in ("doc_id", "text", "n_chars") else f"o{i}" for i, c in enumerate(docs.columns)])
+
+
 def words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, end) byte positions of all words, and per-document word
     offsets (document i has words woff[i]:woff[i+1])."""

@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -109,6 +110,20 @@ def test_classifiers_on_odd_rows(spark, odd, none):
     assert quality.keep_good(odd, q).columns == odd.columns
 
 
+def test_filters_keep_what_they_score_and_columns_of_any_name(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    odd = docs.select("source", "doc_id", F.lit(1).alias("a.b"), "text", F.lit("x").alias("o0"), "n_chars", "lang")
+    q, t = quality.fit(docs, labels), toxicity.fit(docs, labels)
+    good = {r["doc_id"] for r in quality.score(docs, q).filter("score >= 0.5").collect()}
+    clean = {r["doc_id"] for r in toxicity.score(docs, t).filter("not toxic").collect()}
+    assert 0 < len(good) < docs.count() and 0 < len(clean) < docs.count()
+    for kept, want in ((quality.keep_good(odd, q), good), (toxicity.keep_clean(odd, t), clean)):
+        assert kept.schema == odd.schema
+        assert sorted(kept.collect(), key=lambda r: r["doc_id"]) == [
+            r for r in sorted(odd.collect(), key=lambda r: r["doc_id"]) if r["doc_id"] in want]
+
+
 def test_severity_orders_grades():
     rng = np.random.default_rng(3)
     n = 600
