@@ -20,6 +20,11 @@ a span only the last retry can stand, and only the first one of the next span
 can follow it within the delay.  The same summary is taken of every Arrow batch
 before the shuffle, so a URL with a third of all fetches sends a few rows a batch.
 
+URLs are kept in pages, by their hash: a page is one state row and one call of the
+Python function a micro-batch, which costs some milliseconds whatever it holds.
+Choose ``pages`` when a stream starts, about one for every thousand URLs
+(``URLS_PER_PAGE``); a page is read and written whole when one of its URLs is.
+
 Defined cases: rows with a null url, time or outcome, or with another outcome,
 take no part; retries at one time are one; of a 'body' and a 'never' at one time
 the 'body' counts; an empty stream gives nothing.
@@ -36,9 +41,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 PARTIAL = "url string, outcome string, span long, first long, last long"
-STATE = "final long, outcome string, told boolean, spans array<long>, firsts array<long>, lasts array<long>"
+#: A page: the columns of ``Visits.state`` for each of its URLs.
+STATE = ("urls array<string>, finals array<long>, outcomes array<string>, tolds array<boolean>, "
+         "spans array<array<long>>, firsts array<array<long>>, lasts array<array<long>>")
 OUT = "url string, outcome string, fetched_us long, due_us long"
 FINAL = ("body", "never")
+PAGES, URLS_PER_PAGE = 1024, 1000
 
 
 def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,30 +105,37 @@ class Visits:
 
 def _step(delay: int):
     def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        visits = Visits(*state.get) if state.exists else Visits()
+        page = {url: Visits(*kept) for url, *kept in zip(*state.get)} if state.exists else {}
         if not state.hasTimedOut:
             for frame in frames:
-                for row in zip(frame["outcome"], frame["span"], frame["first"], frame["last"]):
-                    visits.add(row[0], *map(int, row[1:]))
+                columns = (frame[c].tolist() for c in ("url", "outcome", "span", "first", "last"))
+                for url, outcome, span, first, last in zip(*columns):
+                    if (visits := page.get(url)) is None:
+                        visits = page[url] = Visits()
+                    visits.add(outcome, span, first, last)
         # Whole milliseconds, as the watermark; a time in the millisecond of the watermark is not past.
         mark = max(state.getCurrentWatermarkMs(), 0)
-        rows = visits.pass_to(mark * 1000, delay)
-        state.update(visits.state())
-        if (then := visits.next_time(delay)) is not None:
+        rows = [(url, *row) for url, visits in page.items() for row in visits.pass_to(mark * 1000, delay)]
+        state.update(tuple(map(list, zip(*((url, *visits.state()) for url, visits in page.items())))))
+        then = min((t for visits in page.values() if (t := visits.next_time(delay)) is not None), default=None)
+        if then is not None:
             state.setTimeoutTimestamp(max(then // 1000, mark, 1))
         if rows:
-            yield pd.DataFrame({"url": key[0], "outcome": [r[0] for r in rows],
-                                "fetched_us": pd.array([r[1] for r in rows], "Int64"),
-                                "due_us": pd.array([r[2] for r in rows], "Int64")})
+            yield pd.DataFrame({"url": [r[0] for r in rows], "outcome": [r[1] for r in rows],
+                                "fetched_us": pd.array([r[2] for r in rows], "Int64"),
+                                "due_us": pd.array([r[3] for r in rows], "Int64")})
     return run
 
 
-def frontier(fetches: DataFrame, delay_seconds: int, disorder: str) -> DataFrame:
+def frontier(fetches: DataFrame, delay_seconds: int, disorder: str, pages: int = PAGES) -> DataFrame:
     """Final outcomes and due retries of a stream ``(url, fetched_at, outcome)``:
-    url, outcome, fetched_us, due_us (null for 'body' and 'never')."""
+    url, outcome, fetched_us, due_us (null for 'body' and 'never').  ``pages`` stays
+    the same over restarts of a stream."""
     delay = int(delay_seconds) * 1_000_000
     if delay <= 0:
         raise ValueError("delay_seconds must be positive")
+    if pages <= 0:
+        raise ValueError("pages must be positive")
     at = F.unix_micros(F.col("fetched_at").cast("timestamp"))
     known = (fetches.filter(F.col("url").isNotNull() & F.col("fetched_at").isNotNull()
                             & F.col("outcome").isin("retry", *FINAL))
@@ -128,5 +143,6 @@ def frontier(fetches: DataFrame, delay_seconds: int, disorder: str) -> DataFrame
                      F.when(F.col("outcome") == "retry", F.floor(at / delay)).otherwise(0).cast("long").alias("span")))
     summaries = (known.mapInArrow(_summaries, PARTIAL)
                  .withColumn("seen", F.timestamp_micros("last")).withWatermark("seen", disorder))
-    return summaries.groupBy("url").applyInPandasWithState(
+    paged = summaries.withColumn("page", F.pmod(F.xxhash64("url"), F.lit(pages)))
+    return paged.groupBy("page").applyInPandasWithState(
         _step(delay), OUT, STATE, "append", GroupStateTimeout.EventTimeTimeout)

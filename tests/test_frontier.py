@@ -103,3 +103,18 @@ def test_hot_url_is_summed_up_before_the_shuffle(spark):
          pa.array([t // 5000 for t in range(n)], pa.int64())], names=["url", "outcome", "at", "span"])
     rows = [r for b in FR._summaries(iter([batch])) for r in b.to_pylist()]
     assert sorted((r["span"], r["first"], r["last"]) for r in rows) == [(0, 0, 4999), (1, 5000, 9999)]
+
+
+def test_a_call_takes_many_urls(spark):
+    """3,000 URLs in 4 pages: with a call for each URL and batch this took minutes."""
+    from pyspark.sql import functions as F
+    folder, out, ck = (ST.scratch(spark, f"frontier-{n}") for n in ("in", "out", "ck"))
+    every = spark.range(3000).select(F.concat(F.lit("u"), "id").alias("url"), F.lit(at(0)).alias("fetched_at"),
+                                     F.when(F.col("id") % 3 == 0, "body").otherwise("retry").alias("outcome"))
+    every.coalesce(1).write.parquet(folder)
+    add(spark, folder, [[("clock", 30 * HOUR, "body")]])
+    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(folder)
+    ST.run_to_table(FR.frontier(stream, 3600, "1 hour", pages=4), out, ck)
+    assert result(spark, out) == {(f"u{i}", "retry" if i % 3 else "body", 0, HOUR if i % 3 else None) for i in range(3000)}
+    states = spark.read.format("statestore").load(ck)
+    assert states.count() <= 4 + 1 and states.selectExpr("value").count() > 0
