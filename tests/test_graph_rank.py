@@ -116,3 +116,30 @@ def test_reachability_cap(spark):
     start = spark.createDataFrame([("a",)], "id string")
     got = {r.id: r.depth for r in G.reachability(spark, e, start, max_sites=4).collect()}
     assert got == {"a": 0, "b": 1, "c": 1, "d": 2}
+
+
+def test_edges_lie_in_a_grid(spark):
+    """Partial sums a step: one a target and row of the grid; ranks sent: one a source and column."""
+    from pyspark.sql import functions as F
+    n = 200
+    pairs = spark.range(n * n).selectExpr(f"id % {n} as src", f"id div {n} as dst")
+    rows, columns = R.grid_for(16)
+    keys = R.cell_keys(spark, rows * columns)
+    assert (rows, columns) == (4, 4) and len(set(keys)) == 16
+    for hubs in (None, spark.createDataFrame([(7,)], "hub long")):
+        cells = R.place(pairs, hubs, rows, columns, keys).withColumn("at", F.spark_partition_id()).persist()
+        assert cells.count() == n * n
+        assert cells.select("at", "cell").distinct().count() == cells.select("at").distinct().count() == 16
+        assert cells.select("at", "dst").distinct().count() == rows * n
+        assert cells.filter("src <> 7").select("at", "src").distinct().count() == columns * (n - 1)
+        assert cells.filter("src = 7").select("at").distinct().count() == (columns if hubs is None else 16)
+        cells.unpersist()
+
+
+def test_ids_of_another_type_than_links(spark):
+    ids, links, _ = GRAPHS["hub"]
+    v = spark.createDataFrame([(i,) for i in ids], "id int")
+    e = spark.createDataFrame(links, "src long, dst long")
+    exp = by_hand("hub", 0.1, 3)
+    got = R.rank(spark, v, e, teleport=0.1, eps=0.0, max_iter=3).ranks.collect()
+    assert {r.id: r.rank for r in got} == {k: pytest.approx(exp[k], abs=1e-12) for k in ids}
