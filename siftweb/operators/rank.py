@@ -14,6 +14,7 @@ to the shared checkpoint folder to cut lineage.
 from __future__ import annotations
 
 import math
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -66,6 +67,19 @@ def cell_keys(spark: SparkSession, cells: int) -> list[int]:
     return [keys[i] for i in range(cells)]
 
 
+@contextmanager
+def _joined_in_place(spark: SparkSession):
+    """Both sides lie by cell, which is one of the two join keys: without this
+    setting the planner deals the edges anew by both keys in every step."""
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _cell(keys: list[int], columns: int, row: Column, column: Column) -> Column:
     return F.get(F.array(*[F.lit(k) for k in keys]), row * F.lit(columns) + column)
 
@@ -138,51 +152,52 @@ def rank(spark: SparkSession, vertices: DataFrame, resolved: DataFrame,
     dangling_mass = n_dangling / n
     history = []
     prev = x
-    for step in range(max_iter):
-        xs = x.filter(F.col("weight").isNotNull())
-        # An int and a long hash differently, though they join.
-        in_rows = F.array(_line(F.col("id").cast(pairs.schema["src"].dataType), rows, 0))
-        if hubs is not None:
-            xs = xs.join(F.broadcast(hubs), xs["id"] == hubs["hub"], "left")
-            in_rows = F.when(F.col("hub").isNull(), in_rows).otherwise(F.sequence(F.lit(0), F.lit(rows - 1)))
-        xs = xs.select("id", (F.col("raw") * F.col("weight")).alias("share"), F.explode(in_rows).alias("row"))
-        xs = xs.select("id", "share", F.explode(F.transform(
-            F.sequence(F.lit(0), F.lit(columns - 1)), lambda c: _cell(keys, columns, F.col("row"), c))).alias("to")).repartition(parts, "to")
-        contrib = (xs.join(edges, (xs["to"] == edges["cell"]) & (xs["id"] == edges["src"]))
-                   .groupBy("dst").agg(F.sum("share").alias("c")))
-        mx = F.coalesce(F.col("c"), F.lit(0.0)) * F.lit(scale) + F.lit(dangling_mass / n)
-        both = (x.join(contrib, x["id"] == contrib["dst"], "left")
-                .select("id", "weight", (F.col("raw") * F.lit(scale)).alias("x"),
-                        ((1.0 - p) * mx + p / n).alias("y")))
-        if (step + 1) % checkpoint_every == 0:
-            both = both.checkpoint()
-        else:
-            both = both.persist(StorageLevel.MEMORY_AND_DISK)
-        st = both.agg(
-            F.sum(F.abs("y")).alias("l1"),
-            F.sum(F.col("x") * F.col("x")).alias("xx"),
-            F.sum(F.col("x") * F.col("y")).alias("xy"),
-            F.sum(F.col("y") * F.col("y")).alias("yy"),
-            F.sum(F.when(F.col("weight").isNull(), F.col("y")).otherwise(0.0)).alias("dy"),
-        ).first()
-        l1 = st["l1"] or 0.0
-        if l1 < eps:                      # R5: heading to the null vector
-            history.append((step, float(l1), None))
-            both.unpersist()
-            break
-        diff2 = st["xx"] - 2.0 * st["xy"] / l1 + st["yy"] / (l1 * l1)   # R6
-        if diff2 < 1e-10 * st["xx"]:      # too close for the expanded square
-            step_by = F.col("y") / F.lit(l1) - F.col("x")
-            diff2 = both.agg(F.sum(step_by * step_by)).first()[0] or 0.0
-        diff = math.sqrt(max(diff2, 0.0))
-        history.append((step, float(l1), float(diff)))
-        prev.unpersist()
-        prev = both
-        x = both.select("id", "weight", F.col("y").alias("raw"))
-        scale = 1.0 / l1                  # R4: renormalize lazily
-        dangling_mass = (st["dy"] or 0.0) / l1   # R3
-        if diff < eps:
-            break
+    with _joined_in_place(spark):
+        for step in range(max_iter):
+            xs = x.filter(F.col("weight").isNotNull())
+            # An int and a long hash differently, though they join.
+            in_rows = F.array(_line(F.col("id").cast(pairs.schema["src"].dataType), rows, 0))
+            if hubs is not None:
+                xs = xs.join(F.broadcast(hubs), xs["id"] == hubs["hub"], "left")
+                in_rows = F.when(F.col("hub").isNull(), in_rows).otherwise(F.sequence(F.lit(0), F.lit(rows - 1)))
+            xs = xs.select("id", (F.col("raw") * F.col("weight")).alias("share"), F.explode(in_rows).alias("row"))
+            xs = xs.select("id", "share", F.explode(F.transform(
+                F.sequence(F.lit(0), F.lit(columns - 1)), lambda c: _cell(keys, columns, F.col("row"), c))).alias("to")).repartition(parts, "to")
+            contrib = (xs.join(edges, (xs["to"] == edges["cell"]) & (xs["id"] == edges["src"]))
+                       .groupBy("dst").agg(F.sum("share").alias("c")))
+            mx = F.coalesce(F.col("c"), F.lit(0.0)) * F.lit(scale) + F.lit(dangling_mass / n)
+            both = (x.join(contrib, x["id"] == contrib["dst"], "left")
+                    .select("id", "weight", (F.col("raw") * F.lit(scale)).alias("x"),
+                            ((1.0 - p) * mx + p / n).alias("y")))
+            if (step + 1) % checkpoint_every == 0:
+                both = both.checkpoint()
+            else:
+                both = both.persist(StorageLevel.MEMORY_AND_DISK)
+            st = both.agg(
+                F.sum(F.abs("y")).alias("l1"),
+                F.sum(F.col("x") * F.col("x")).alias("xx"),
+                F.sum(F.col("x") * F.col("y")).alias("xy"),
+                F.sum(F.col("y") * F.col("y")).alias("yy"),
+                F.sum(F.when(F.col("weight").isNull(), F.col("y")).otherwise(0.0)).alias("dy"),
+            ).first()
+            l1 = st["l1"] or 0.0
+            if l1 < eps:                      # R5: heading to the null vector
+                history.append((step, float(l1), None))
+                both.unpersist()
+                break
+            diff2 = st["xx"] - 2.0 * st["xy"] / l1 + st["yy"] / (l1 * l1)   # R6
+            if diff2 < 1e-10 * st["xx"]:      # too close for the expanded square
+                step_by = F.col("y") / F.lit(l1) - F.col("x")
+                diff2 = both.agg(F.sum(step_by * step_by)).first()[0] or 0.0
+            diff = math.sqrt(max(diff2, 0.0))
+            history.append((step, float(l1), float(diff)))
+            prev.unpersist()
+            prev = both
+            x = both.select("id", "weight", F.col("y").alias("raw"))
+            scale = 1.0 / l1                  # R4: renormalize lazily
+            dangling_mass = (st["dy"] or 0.0) / l1   # R3
+            if diff < eps:
+                break
     x.select("id", (F.col("raw") * F.lit(scale)).alias("rank")).write.parquet(f"{path}/ranks")
     x.unpersist()
     prev.unpersist()

@@ -143,3 +143,16 @@ def test_ids_of_another_type_than_links(spark):
     exp = by_hand("hub", 0.1, 3)
     got = R.rank(spark, v, e, teleport=0.1, eps=0.0, max_iter=3).ranks.collect()
     assert {r.id: r.rank for r in got} == {k: pytest.approx(exp[k], abs=1e-12) for k in ids}
+
+
+def test_step_leaves_the_edges_in_place(spark):
+    from pyspark.sql import functions as F
+    keys = R.cell_keys(spark, 4)
+    edges = R.place(spark.range(100).selectExpr("id as src", "id * 7 % 100 as dst"), None, 2, 2, keys)
+    sent = spark.range(100).select("id", R._cell(keys, 2, F.col("id") % 2, F.col("id") % 2).alias("to")).repartition(4, "to")
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(name)
+    with R._joined_in_place(spark):
+        step = sent.hint("merge").join(edges, (sent["to"] == edges["cell"]) & (sent["id"] == edges["src"]))
+        assert "ENSURE_REQUIREMENTS" not in step._jdf.queryExecution().executedPlan().toString()
+    assert spark.conf.get(name) == before
