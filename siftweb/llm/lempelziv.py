@@ -41,6 +41,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from siftweb.llm import vec
 from siftweb.session import scratch_path
@@ -255,7 +256,11 @@ def remove_repeats(docs: DataFrame, keep_text: bool = True) -> DataFrame:
     columns = list(held.values())
     docs = docs.select(*[F.col(f"`{c}`").cast("long").alias(h) if c == "doc_id" else F.col(f"`{c}`").alias(h)
                          for c, h in held.items()])
-    shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+
+    def shape(more: str) -> StructType:
+        """The columns and more; no text form of their types, for a nested name may need quotes."""
+        return StructType([*(StructField(f.name, f.dataType) for f in docs.schema), *StructType.fromDDL(more)])
+
     points = docs.select("doc_id", "text").filter("doc_id is not null and text is not null") \
         .mapInArrow(_points, "h long, doc_id long, at long")
     points.groupBy("h").agg(F.min(F.struct("doc_id", "at")).alias("r"), F.max("doc_id").alias("last")) \
@@ -264,9 +269,9 @@ def remove_repeats(docs: DataFrame, keep_text: bool = True) -> DataFrame:
     blocks = spark.read.parquet(f"{path}/blocks")
     hits = points.join(blocks, "h").groupBy("doc_id", F.shiftright("at", 32).alias("_mark")).agg(
         F.collect_list(F.struct("at", "ref", "ref_at")).alias("_hits"))
-    marked = docs.mapInArrow(_marks, f"{shape}, _mark long")
+    marked = docs.mapInArrow(_marks, shape("_mark long"))
     marked.join(hits, ["doc_id", "_mark"], "left").select(*columns, "_mark", "_hits") \
-        .mapInArrow(_parse("doc_id", keep_text), f"{shape}, {MIDDLE}").write.parquet(f"{path}/middle")
+        .mapInArrow(_parse("doc_id", keep_text), shape(MIDDLE)).write.parquet(f"{path}/middle")
     middle = spark.read.parquet(f"{path}/middle")
 
     ask = middle.select("doc_id", "_mark", F.explode("_ask").alias("a")).select("doc_id", "_mark", "a.pos", "a.h")
@@ -276,6 +281,6 @@ def remove_repeats(docs: DataFrame, keep_text: bool = True) -> DataFrame:
     repeats = ask.join(spark.read.parquet(f"{path}/windows"), "h").filter("first < doc_id") \
         .groupBy("doc_id", "_mark").agg(F.collect_set("pos").alias("_more"))
     open_ = middle.filter("_open").select(*columns, "_mark", "_spans").join(repeats, ["doc_id", "_mark"], "left") \
-        .select(*columns, "_spans", "_more").mapInArrow(_finish(keep_text), f"{shape}, {RESULT}")
+        .select(*columns, "_spans", "_more").mapInArrow(_finish(keep_text), shape(RESULT))
     done = middle.filter("not _open").select(*columns, "n_words", "n_removed", "kept_sha256").unionByName(open_)
     return done.select(*[F.col(h).alias(c) for c, h in held.items()], "n_words", "n_removed", "kept_sha256")

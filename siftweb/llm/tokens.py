@@ -8,7 +8,7 @@ the distinct pre-tokens of the slice, only those are looked up, and the ids are
 gathered by numpy.  Texts of characters whose class is not known to be the
 library's go through the pattern itself (``byte_bpe_50k``) or through the library
 (``word_bpe_49k``, which also normalizes); texts that hold the string of an added
-token are encoded whole.
+token, or a character that the library's pattern sees otherwise, are encoded whole.
 
 Each worker keeps the ids of the pre-tokens that it has seen, in two
 generations of about ``KEEP``: when the younger is full it becomes the older,
@@ -71,6 +71,18 @@ def byte_classes() -> np.ndarray:
     return c
 
 
+def unlike(chars: str) -> set[str]:
+    """Those of distinct characters (without U+0000) that the library's regular
+    expressions class otherwise than those here, whose Unicode version may differ."""
+    from tokenizers import Regex, normalizers
+
+    odd: set[str] = set()
+    for kind in (r"\p{L}", r"\p{N}", r"\s"):
+        theirs = normalizers.Replace(Regex(kind), "\0").normalize_str(chars)
+        odd |= {c for c, a, b in zip(chars, theirs, regex.sub(kind, "\0", chars)) if a != b}
+    return odd
+
+
 def classes_of(data: np.ndarray, table: np.ndarray) -> np.ndarray:
     """Class of each byte's character; INSIDE for all but a character's first byte."""
     at = data.astype(np.int16)
@@ -261,12 +273,23 @@ class BytePieces(Pieces):
     mark = "\n"
     table = byte_classes()
 
+    def __init__(self, path):
+        super().__init__(path)
+        self.judged: set[str] = {chr(c) for c in range(PLAIN)}
+        self.odd = unlike("".join(sorted(self.judged - {"\0"})))
+        self.table = self.table.copy()
+        self.table[[ord(c) for c in self.odd]] = HARD
+
     def joins(self, word):
         body = word[1:] if word[0] == " " else word
         return bool(body) and not body[0].isspace()
 
     def hard(self, text):
-        return _BYTE.findall(text)
+        used = set(text)
+        if new := used - self.judged:
+            self.odd |= unlike("".join(new))
+            self.judged |= new
+        return _BYTE.findall(text) if self.odd.isdisjoint(used) else None
 
     def starts(self, data, kind, off):
         own, prior, edge, first = self._bounds(kind, off)

@@ -393,6 +393,16 @@ def test_every_character_as_the_library(kind, file):
     assert got == library_ids(file, texts, end=False)
 
 
+def test_characters_of_another_unicode_version():
+    """Those that the pattern here and the library's class differently, of all there are."""
+    every = "".join(chr(c) for c in [*range(1, 0xD800), *range(0xE000, 0x110000)])
+    odd = sorted(tokens.unlike(every))[::7]
+    texts = [f"{a}{c}{b}" for c in odd for a, b in (("'", "'s"), ("x ", "1"), ("", "'s"))] + ["\0 \u4e2d's"]
+    model = tokens.load("byte", public_tokenizers.path("byte_bpe_50k.json"))
+    got = [np.frombuffer(x, model.dtype).tolist() for x in model.encode(texts)]
+    assert got == library_ids("byte_bpe_50k.json", texts, end=False)
+
+
 # ------------------------------------------------------------------------ 4
 
 def test_top_k(spark):
