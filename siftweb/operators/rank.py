@@ -100,6 +100,17 @@ def place(pairs: DataFrame, hubs: DataFrame | None, rows: int, columns: int, key
             .repartition(rows * columns, "cell").sortWithinPartitions("cell", "src"))
 
 
+def contributions(xs: DataFrame, edges: DataFrame, parts: int) -> DataFrame:
+    """(dst, c): what each target gets of the shares in ``xs(id, share, to)``.
+
+    Merge joins, so that a step does not gather the vector on the driver for a
+    broadcast.  A cell sums up its targets where it lies; the sums then come to
+    the vector's own partitions, so no step has more tasks than the grid has cells."""
+    return (xs.hint("merge").join(edges, (xs["to"] == edges["cell"]) & (xs["id"] == edges["src"]))
+            .groupBy("cell", "dst").agg(F.sum("share").alias("s"))
+            .repartition(parts, "dst").groupBy("dst").agg(F.sum("s").alias("c")))
+
+
 def rank(spark: SparkSession, vertices: DataFrame, resolved: DataFrame,
          teleport: float = 0.0, eps: float = DEFAULT_EPS,
          max_iter: int = DEFAULT_MAX_ITER, checkpoint_every: int = 5,
@@ -137,7 +148,7 @@ def rank(spark: SparkSession, vertices: DataFrame, resolved: DataFrame,
         hub_rows = deg.filter(F.col("deg") > target).select(F.col("src").alias("hub")).collect()
         hubs = spark.createDataFrame(hub_rows, "hub " + pairs.schema["src"].dataType.simpleString())
     edges = place(pairs, hubs, rows, columns, keys).persist(StorageLevel.MEMORY_AND_DISK)
-    verts = (vertices.select("id").distinct().join(deg.select(F.col("src").alias("id"), "weight"), "id", "left")
+    verts = (vertices.select("id").distinct().join(deg.select(F.col("src").alias("id"), "weight").hint("merge"), "id", "left")
              .checkpoint())
     vstats = verts.agg(F.count(F.lit(1)).alias("n"),
                        F.count_if(F.col("weight").isNull()).alias("nd")).first()
@@ -163,10 +174,9 @@ def rank(spark: SparkSession, vertices: DataFrame, resolved: DataFrame,
             xs = xs.select("id", (F.col("raw") * F.col("weight")).alias("share"), F.explode(in_rows).alias("row"))
             xs = xs.select("id", "share", F.explode(F.transform(
                 F.sequence(F.lit(0), F.lit(columns - 1)), lambda c: _cell(keys, columns, F.col("row"), c))).alias("to")).repartition(parts, "to")
-            contrib = (xs.join(edges, (xs["to"] == edges["cell"]) & (xs["id"] == edges["src"]))
-                       .groupBy("dst").agg(F.sum("share").alias("c")))
+            contrib = contributions(xs, edges, parts)
             mx = F.coalesce(F.col("c"), F.lit(0.0)) * F.lit(scale) + F.lit(dangling_mass / n)
-            both = (x.join(contrib, x["id"] == contrib["dst"], "left")
+            both = (x.join(contrib.hint("merge"), x["id"] == contrib["dst"], "left")
                     .select("id", "weight", (F.col("raw") * F.lit(scale)).alias("x"),
                             ((1.0 - p) * mx + p / n).alias("y")))
             if (step + 1) % checkpoint_every == 0:

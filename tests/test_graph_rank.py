@@ -156,3 +156,18 @@ def test_step_leaves_the_edges_in_place(spark):
         step = sent.hint("merge").join(edges, (sent["to"] == edges["cell"]) & (sent["id"] == edges["src"]))
         assert "ENSURE_REQUIREMENTS" not in step._jdf.queryExecution().executedPlan().toString()
     assert spark.conf.get(name) == before
+
+
+def test_step_gathers_nothing_on_the_driver(spark):
+    """However small the vector is, a step joins it in place, in one task a cell."""
+    keys = R.cell_keys(spark, 4)
+    edges = R.place(spark.range(100).selectExpr("id as src", "id * 7 % 100 as dst"), None, 2, 2, keys)
+    edges = edges.persist()
+    xs = spark.range(100).selectExpr("id", "0.01 as share", f"explode(array({', '.join(map(str, keys))})) as to") \
+        .repartition(4, "to")
+    with R._joined_in_place(spark):
+        got = R.contributions(xs, edges, 4)
+        assert sorted((r["dst"], float(r["c"])) for r in got.collect()) == [(i, 0.01) for i in range(100)]
+        plan = got._jdf.queryExecution().toString()
+        assert "Broadcast" not in plan and got.rdd.getNumPartitions() == 4
+    edges.unpersist()
