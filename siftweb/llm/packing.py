@@ -33,6 +33,8 @@ from siftweb.llm import tokens, vec
 from siftweb.session import scratch_path
 
 LENGTH, DIMS, GRID_BITS = 2048, 4, 12
+#: Bytes of text that are projected at once: word hashes take many times the text's bytes.
+PROJECTED = 1 << 18
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long, hilbert long")
 _ERF = np.vectorize(math.erf, otypes=[float])
@@ -53,6 +55,11 @@ def project(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     return cells
 
 
+def keys_of(rows: pa.RecordBatch) -> np.ndarray:
+    """Hilbert key of each document of a slice."""
+    return np.concatenate([hilbert_key(project(data, off)) for _, data, off in vec.cuts(rows, limit=PROJECTED)])
+
+
 def hilbert_key(cells: np.ndarray, bits: int = GRID_BITS) -> np.ndarray:
     """Position of each cell on the Hilbert curve through the grid.
 
@@ -100,10 +107,10 @@ def hilbert_key(cells: np.ndarray, bits: int = GRID_BITS) -> np.ndarray:
 def _encode(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = tokens.load("byte", path)
-        for rows, data, off in vec.slices(batches, limit=tokens.SLICE):
+        for rows, _, _ in vec.slices(batches, limit=tokens.SLICE):
             ids = tokens.encode_rows(pieces, rows, end_id)
             yield pa.RecordBatch.from_arrays(
-                [rows.column("doc_id"), pa.array(hilbert_key(project(data, off)), pa.int64()),
+                [rows.column("doc_id"), pa.array(keys_of(rows), pa.int64()),
                  pa.array([x.astype("<u2" if pieces.dtype.itemsize == 2 else "<u4").tobytes() for x in ids], pa.binary())],
                 names=["doc_id", "hilbert", "ids"])
     return run

@@ -175,26 +175,38 @@ class Pieces:
             cut = np.flatnonzero(found == self.mark_id) * size
             if len(cut) == len(part) - 1:
                 starts = [0, *(cut + size).tolist()]
-                out |= {w: raw[i:j] for w, i, j in zip(part, starts, [*cut.tolist(), len(raw)])}
-        for w in words:
-            if w not in out:
-                out[w] = self.ids(w)
+                out.update({w: raw[i:j] for w, i, j in zip(part, starts, [*cut.tolist(), len(raw)])})
+        if len(out) < len(words):
+            for w in words:
+                if w not in out:
+                    out[w] = self.ids(w)
         return out
 
     def look_up(self, words: list[str]) -> list[bytes]:
         """Ids of distinct pre-tokens."""
-        want = set(words)
         if len(self.known) > KEEP:
             self.known, self.older = {}, self.known
-        new = want - self.known.keys()
-        again = new & self.older.keys()
-        self.known |= {p: self.older[p] for p in again}
-        new -= again
-        self.known |= self.ids_of(list(new))
-        out = list(map(self.known.__getitem__, words))
-        for p in new:
-            if len(p) > LONGEST:
-                del self.known[p]
+        out = list(map(self.known.get, words))
+        absent = [i for i, x in enumerate(out) if x is None]
+        again = {}
+        new = []
+        for i in absent:
+            w = words[i]
+            x = out[i] = self.older.get(w)
+            if x is None:
+                new.append(w)
+            else:
+                again[w] = x
+        self.known.update(again)
+        if new:
+            found = self.ids_of(new)
+            for i in absent:
+                if out[i] is None:
+                    out[i] = found[words[i]]
+            self.known.update(found)
+            for w in new:
+                if len(w) > LONGEST:
+                    del self.known[w]
         return out
 
     def _plain(self, texts: pa.Array) -> list[bytes]:
