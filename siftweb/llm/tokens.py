@@ -11,9 +11,10 @@ library's go through the pattern itself (``byte_bpe_50k``) or through the librar
 token, or a character that the library's pattern sees otherwise, are encoded whole.
 
 Each worker keeps the ids of the pre-tokens that it has seen, in two
-generations of about ``KEEP``: when the younger is full it becomes the older,
-and pre-tokens that are still in use move up again.  New ones go through the
-library, thousands in one call between ``mark``s.
+generations of about ``keep``: when the younger is full it becomes the older,
+and pre-tokens that are still in use move up again.  New ones go to the merges of
+the library's model one by one, written in its letters for bytes, without the
+library's own normalizing, cutting and counting of offsets, which is done by then.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import regex
 
 from siftweb.llm import vec
 
-KEEP, LONGEST, JOIN = 300_000, 200, 2000
+LONGEST = 200
 #: Bytes of text that are cut and looked up at once.
 SLICE = 4 << 20
 HARD, LETTER, DIGIT, SPACE, OTHER, INSIDE = range(6)
@@ -36,6 +37,9 @@ _BYTE = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\
 _ENDINGS = (b"s", b"t", b"m", b"d", b"re", b"ve", b"ll")
 #: Characters whose classes are looked up by code point.
 PLAIN = 0x800
+#: The letters by which both vocabularies write bytes: printable ones as they are, the others from U+0100 on.
+_PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_LETTERS = {b: 0x100 + i for i, b in enumerate(sorted(set(range(256)) - set(_PRINTED)))}
 _LOADED: dict[tuple[str, str], Pieces] = {}
 
 
@@ -85,12 +89,11 @@ def unlike(chars: str) -> set[str]:
 
 def classes_of(data: np.ndarray, table: np.ndarray) -> np.ndarray:
     """Class of each byte's character; INSIDE for all but a character's first byte."""
-    at = data.astype(np.int16)
+    one = np.full(256, HARD, np.uint8)
+    one[:0x80], one[0x80:0xC0] = table[:0x80], INSIDE
+    out = np.frombuffer(bytearray(data.tobytes().translate(one.tobytes())), np.uint8)
     two = np.flatnonzero((data >= 0xC2) & (data <= 0xDF))
-    at[two] = ((at[two] & 31) << 6) | (at[two + 1] & 63)
-    out = table[at]
-    out[data >= 0xE0] = HARD
-    out[(data & 0xC0) == 0x80] = INSIDE
+    out[two] = table[((data[two] & 31).astype(np.int16) << 6) | (data[two + 1] & 63)]
     return out
 
 
@@ -110,9 +113,9 @@ def _endings(data: np.ndarray, at: np.ndarray, stop: np.ndarray) -> np.ndarray:
 class Pieces:
     """Ids of pre-tokens as little-endian 16- or 32-bit strings."""
 
-    #: Stands between words in one call; no token but its own holds it.
-    mark: str
     table: np.ndarray
+    #: Pre-tokens in a generation.
+    keep: int
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
@@ -123,16 +126,11 @@ class Pieces:
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        alone = self.library.encode(self.mark.strip(" ") or self.mark, add_special_tokens=False).ids
-        self.mark_id = alone[0] if len(alone) == 1 else None
+        self.model = self.library.model
 
     def ids(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
-    def joins(self, word: str) -> bool:
-        """The word may stand between two marks without changing its ids."""
-        raise NotImplementedError
-
     def starts(self, data: np.ndarray, kind: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(start of each pre-token or gap, whether it is a gap); the first of
         each document starts at the document."""
@@ -142,10 +140,13 @@ class Pieces:
         """Per byte: its character's class, that of the byte before, whether a
         document starts there, whether it is a character's first byte."""
         first = kind != INSIDE
-        own = np.where(first, kind, np.concatenate([[HARD], kind[:-1]]) if len(kind) else kind)
+        both = np.empty(len(kind) + 1, np.uint8)
+        both[0], both[1:] = HARD, kind
+        own, inside = both[1:], np.flatnonzero(~first)
+        own[inside] = kind[inside - 1]
         edge = np.zeros(len(kind) + 1, bool)
         edge[off] = True
-        return own, np.concatenate([[HARD], own[:-1]]) if len(own) else own, edge[:-1], first
+        return own, both[:-1], edge[:-1], first
 
     def _take_endings(self, data: np.ndarray, off: np.ndarray, new: np.ndarray) -> None:
         """An apostrophe that starts its pre-token takes an ending with it."""
@@ -164,27 +165,19 @@ class Pieces:
         return texts
 
     def ids_of(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of many words by few library calls."""
-        out = {}
-        fit = [w for w in words if self.joins(w)] if self.mark_id is not None else []
-        for a in range(0, len(fit), JOIN):
-            part = fit[a: a + JOIN]
-            raw = self.ids(self.mark.join(part))
-            found = np.frombuffer(raw, self.dtype)
-            size = self.dtype.itemsize
-            cut = np.flatnonzero(found == self.mark_id) * size
-            if len(cut) == len(part) - 1:
-                starts = [0, *(cut + size).tolist()]
-                out.update({w: raw[i:j] for w, i, j in zip(part, starts, [*cut.tolist(), len(raw)])})
-        if len(out) < len(words):
-            for w in words:
-                if w not in out:
-                    out[w] = self.ids(w)
-        return out
+        """Ids of many pre-tokens."""
+        ids, ends, merged = [], [0], self.model.tokenize
+        for w in words:
+            if not (w.isascii() and w.isalnum()):
+                w = w.encode().decode("latin-1").translate(_LETTERS)
+            ids += [t.id for t in merged(w)]
+            ends.append(len(ids))
+        raw, size = np.array(ids, self.dtype).tobytes(), self.dtype.itemsize
+        return {w: raw[i * size: j * size] for w, i, j in zip(words, ends, ends[1:])}
 
     def look_up(self, words: list[str]) -> list[bytes]:
         """Ids of distinct pre-tokens."""
-        if len(self.known) > KEEP:
+        if len(self.known) > self.keep:
             self.known, self.older = {}, self.known
         out = list(map(self.known.get, words))
         absent = [i for i, x in enumerate(out) if x is None]
@@ -238,8 +231,8 @@ class Pieces:
         texts = pc.fill_null(pc.cast(texts, pa.large_string()), "")
         data, off = vec.text_buffers(texts)
         kind = classes_of(data, self.table)
-        bad = np.concatenate([[0], np.cumsum(kind == HARD, dtype=np.int64)])
-        easy = bad[off[1:]] == bad[off[:-1]]
+        bad = np.searchsorted(np.flatnonzero(kind == HARD), off)
+        easy = bad[1:] == bad[:-1]
         whole = np.zeros(len(texts), bool)
         for x in self.added:
             whole |= pc.match_substring(texts, x).to_numpy(zero_copy_only=False)
@@ -264,11 +257,8 @@ class Pieces:
 
 
 class WordPieces(Pieces):
-    mark = " | "
     table = word_classes()
-
-    def joins(self, word):
-        return "|" not in word
+    keep = 300_000
 
     def lowered(self, texts):
         return pc.utf8_lower(texts)
@@ -282,8 +272,8 @@ class WordPieces(Pieces):
 
 
 class BytePieces(Pieces):
-    mark = "\n"
     table = byte_classes()
+    keep = 100_000
 
     def __init__(self, path):
         super().__init__(path)
@@ -292,10 +282,6 @@ class BytePieces(Pieces):
         self.table = self.table.copy()
         self.table[[ord(c) for c in self.odd]] = HARD
 
-    def joins(self, word):
-        body = word[1:] if word[0] == " " else word
-        return bool(body) and not body[0].isspace()
-
     def hard(self, text):
         used = set(text)
         if new := used - self.judged:

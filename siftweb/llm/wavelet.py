@@ -32,6 +32,8 @@ from pyspark.sql import functions as F
 from siftweb.llm import tokens, vec
 
 SHARD_TOKENS, BITS = 4_000_000, 512
+#: Bytes of text that are cut and looked up at once: more share more words.
+SLICE = 8 << 20
 SCHEMA = ("shard long, n_tokens long, zeros array<long>, planes array<binary>, "
           "directory array<binary>, doc_ids array<long>, doc_tokens array<long>")
 
@@ -150,7 +152,7 @@ def _write(path: str, end_id: int, size: int):
         pieces = tokens.load("word", path)
         part, no = TaskContext.get().partitionId(), 0
         docs, ids, total = [], [], 0
-        for rows, data, off in vec.slices(batches, limit=tokens.SLICE):
+        for rows, data, off in vec.slices(batches, limit=SLICE):
             for doc, x in zip(rows.column("doc_id").to_pylist(), tokens.encode_rows(pieces, rows, end_id)):
                 if ids and total + len(x) > size:
                     yield _shard((part << 32) + no, docs, ids)

@@ -371,6 +371,26 @@ def test_look_up_in_written_shards(spark):
             assert got == want
 
 
+@pytest.mark.parametrize("kind,file", [("word", "word_bpe_49k.json"), ("byte", "byte_bpe_50k.json")])
+def test_new_words_meet_the_merges_only(kind, file, monkeypatch):
+    """New words of plain texts are neither normalized nor cut by the library again, and a
+    worker remembers a bounded number of them."""
+    import tokenizers
+
+    path = public_tokenizers.path(file)
+    words = [f"w{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}" * (1 + i // 100 % 3) for i in range(300)]
+    texts = [" ".join(words), "It's  caf\u00e9, 12 %\t x's don't\n\n('ll) " + "a" * 500, "", " ", "\u00df \x07~\x7f"]
+    model = type(tokens.load(kind, path))(path)
+    library = tokenizers.Tokenizer.from_file(path)
+    monkeypatch.setattr(model, "ids", None)
+    got = [np.frombuffer(x, model.dtype).tolist() for x in model.encode(texts)]
+    assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    for a in range(0, 400_000, 50_000):
+        model.look_up([f"{i:x}" for i in range(a, a + 50_000)])
+    if kind == "byte":  # of the pipeline, where workers have little room
+        assert len(model.known) + len(model.older) <= 300_000
+
+
 @pytest.mark.parametrize("kind,file", [("word", "word_bpe_49k.json"), ("byte", "byte_bpe_50k.json")])
 def test_tokens_as_the_library(kind, file):
     rng = random.Random(4)
