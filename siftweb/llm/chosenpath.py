@@ -33,9 +33,11 @@ Each level of all trees is one round of Spark jobs:
 3. Nodes that are not small branch into the next level.  Beyond the last level
    (``SHARED // FAN`` equal tokens) they are compared exhaustively, chunk by chunk.
 
-A comparison looks at the set sizes and the minwise tokens first: at least
-``AGREE`` of ``COORDS`` low bytes must be equal (at similarity 0.75 a pair misses
-this with a chance of less than 1e-8).  Then the full sets decide, in integers.
+A comparison looks at the set sizes and at two bits of each of ``BRIEF`` minwise
+tokens first, which are all that travels with the members of a node: at least
+``ALIKE`` must be equal.  Of what is left, at least ``AGREE`` of ``COORDS`` low bytes
+must be equal (at similarity 0.75 a pair misses either with a chance of less than
+1e-8).  Then the full sets decide, in integers.  Nodes of two are done with the star.
 Work goes to groups of at most ``CHUNK + LEAF`` sets, however large a node is.
 
 Defined cases: texts without words (null, empty, white space) have n_shingles
@@ -64,9 +66,11 @@ SHINGLE, PART, WHOLE = 5, 75, 100
 TREES, SHARED, FAN = 16, 179, 4
 COORDS = TREES + SHARED
 LEAF, CHUNK, AGREE, FEW = 1024, 2000, 110, 100_000
-SETS = "doc_id long, n_shingles long, s1 long, s2 long, sig array<int>, low binary"
+BRIEF, ALIKE = 192, 123
+SETS = "doc_id long, n_shingles long, s1 long, s2 long, sig array<int>, low binary, brief binary"
 
 _U = np.uint64
+_PAIRS = _U(0x5555555555555555)
 _XOR, _ODD = vec.mix(np.arange(1, COORDS + 1, dtype=_U) * _U(0x9E3779B97F4A7C15)), \
     vec.mix(np.arange(1001, COORDS + 1001, dtype=_U) * _U(0xD1342543DE82EF95)) | _U(1)
 
@@ -102,8 +106,15 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [rows.column("doc_id"), pa.array(n, pa.int64()), pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64)),
              pa.ListArray.from_arrays(step, flat),
-             pa.array([r.tobytes() for r in (sig & 0xFF).astype(np.uint8)], pa.binary())],
-            names=["doc_id", "n_shingles", "s1", "s2", "sig", "low"])
+             pa.array([r.tobytes() for r in (sig & 0xFF).astype(np.uint8)], pa.binary()),
+             pa.array([r.tobytes() for r in _brief(sig)], pa.binary())],
+            names=["doc_id", "n_shingles", "s1", "s2", "sig", "low", "brief"])
+
+
+def _brief(sig: np.ndarray) -> np.ndarray:
+    """Two bits of each token, four tokens a byte."""
+    two = ((sig[:, :BRIEF] >> 8) & 3).astype(np.uint8).reshape(len(sig), -1, 4)
+    return two[..., 0] | two[..., 1] << 2 | two[..., 2] << 4 | two[..., 3] << 6
 
 
 def _identity(h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -111,19 +122,16 @@ def _identity(h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.add.reduceat(vec.mix(h + _U(1)), at), np.add.reduceat(vec.mix(h ^ _U(0xABCDEF987654321)), at)
 
 
-def _sets(wanted: Bloom):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        some = (b.filter(pa.array(wanted.may_hold(b.column("doc_id").to_numpy()))) for b in batches)
-        for rows, data, off in vec.slices(some):
-            h, soff = shingle_sets(data, off)
-            full = np.flatnonzero(np.diff(soff))
-            if len(full):
-                s1, s2 = _identity(h, soff[full])
-                yield pa.RecordBatch.from_arrays(
-                    [rows.column("doc_id").take(pa.array(full)), pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64)),
-                     pa.array([h[soff[i]:soff[i + 1]].tobytes() for i in full.tolist()], pa.binary())],
-                    names=["doc", "s1", "s2", "elements"])
-    return run
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for rows, data, off in vec.slices(batches):
+        h, soff = shingle_sets(data, off)
+        full = np.flatnonzero(np.diff(soff))
+        if len(full):
+            s1, s2 = _identity(h, soff[full])
+            yield pa.RecordBatch.from_arrays(
+                [rows.column("doc_id").take(pa.array(full)), pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64)),
+                 pa.array([h[soff[i]:soff[i + 1]].tobytes() for i in full.tolist()], pa.binary())],
+                names=["doc", "s1", "s2", "elements"])
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -152,13 +160,22 @@ class _Group:
     def __init__(self, t: pa.Table):
         self.rid, self.comp, self.size = (t.column(c).to_numpy() for c in ("rid", "comp", "size"))
         self.focus = t.column("focus").to_numpy(zero_copy_only=False)
-        self.low = np.frombuffer(b"".join(t.column("low").to_pylist()), np.uint8).reshape(t.num_rows, COORDS)
+
+        def rows(name: str, kind):
+            return np.frombuffer(b"".join(t.column(name).to_pylist()), kind).reshape(t.num_rows, -1)
+        self.brief = rows("brief", "<u8")
+        self.low = rows("low", np.uint8) if "low" in t.column_names else None
 
     def near(self, i: int) -> np.ndarray:
-        """Sets that may be similar to the i-th, by sizes and equal low bytes."""
+        """Sets of other components that may be similar to the i-th, by sizes, equal
+        bits and, where they are there, low bytes."""
         n = self.size
-        fit = (WHOLE * n >= PART * n[i]) & (WHOLE * n[i] >= PART * n)
-        return fit & ((self.low == self.low[i]).sum(1) >= AGREE)
+        at = np.flatnonzero((WHOLE * n >= PART * n[i]) & (WHOLE * n[i] >= PART * n) & (self.comp != self.comp[i]))
+        x = self.brief[at] ^ self.brief[i]
+        at = at[np.bitwise_count((x | x >> _U(1)) & _PAIRS).sum(1, dtype=np.int64) <= BRIEF - ALIKE]
+        if self.low is not None:
+            at = at[(self.low[at] == self.low[i]).sum(1) >= AGREE]
+        return at
 
 
 def _estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,13 +185,12 @@ def _estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held, n = [], 0
     for t in _groups(batches):
         x = _Group(t)
-        rid, comp, focus = x.rid, x.comp, x.focus
+        rid, focus = x.rid, x.focus
         keep = np.zeros(len(rid), bool)
         for i in np.flatnonzero(focus):
-            hit = x.near(i) & (comp != comp[i])
-            if hit.any():
-                keep |= hit
-                keep[i] = True
+            hit = x.near(i)
+            if len(hit):
+                keep[hit] = keep[i] = True
         if keep.any():
             name = vec.mix(vec.mix(rid[keep].view(_U) ^ (focus[keep].astype(_U) << _U(63))).sum(keepdims=True)).view(np.int64)
             t = t.set_column(t.schema.get_field_index("g"), "g", pa.array(np.repeat(name, len(rid))))
@@ -209,10 +225,11 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for t in _groups(batches):
         x = _Group(t)
-        rid, comp, focus = x.rid, x.comp.copy(), x.focus
+        rid, focus = x.rid, x.focus
+        comp = x.comp = x.comp.copy()
         sets = [np.frombuffer(e, _U) for e in t.column("elements").to_pylist()]
         for i in np.flatnonzero(focus):
-            for j in np.flatnonzero(x.near(i) & (comp != comp[i])).tolist():
+            for j in x.near(i).tolist():
                 if comp[j] != comp[i] and linked(sets[i], sets[j]):
                     out.append((int(rid[i]), int(rid[j])))
                     comp[comp == comp[j]] = comp[i]
@@ -257,22 +274,40 @@ class _Join:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def among(self, rows: DataFrame, key: str, ids: DataFrame, name: str, n: int) -> DataFrame:
+        """The rows whose key is among n written ids, and maybe others, without a shuffle:
+        at most ``FEW`` ids (1 MB) are broadcast, more become a Bloom filter."""
+        if n <= FEW:
+            return rows.join(F.broadcast(ids.select(F.col(name).alias(key))), key, "left_semi")
+        bloom = Bloom(ids, name)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                yield b.filter(pa.array(bloom.may_hold(b.column(key).to_numpy())))
+        return rows.mapInArrow(run, rows.schema)
+
     def compare(self, groups: DataFrame, reps: DataFrame, comps: DataFrame | None) -> DataFrame | None:
         """Links (a, b) among the members of groups (g, part, rid, focus)."""
-        rows = groups.join(reps.select("rid", F.col("n_shingles").alias("size"), "low"), "rid")
+        groups = self.write(groups, "groups")
+        size = F.col("n_shingles").alias("size")
+        rows = groups.join(self.among(reps.select("rid", size, "brief"), "rid", groups, "rid", groups.count()), "rid")
         if comps is None:
             rows = rows.withColumn("comp", F.col("rid"))
         else:
             rows = rows.join(comps, "rid", "left").withColumn("comp", F.coalesce("comp", "rid"))
-        rows = rows.select("g", "part", "rid", "comp", "focus", "size", "low")
-        kind = "g long, part int, rid long, comp long, focus boolean, size long, low binary"
+        rows = rows.select("g", "part", "rid", "comp", "focus", "size", "brief")
+        kind = "g long, part int, rid long, comp long, focus boolean, size long, brief binary"
         some = self.write(rows.repartition("g", "part").sortWithinPartitions("g", "part", "rid")
                           .mapInArrow(_estimate, kind).dropDuplicates(["g", "rid", "focus"]), "promising")
-        if some.isEmpty():
+        n = some.count()
+        if not n:
             return None
-        asked = self.write(some.select("rid").distinct().join(reps.select("rid", "doc", "s1", "s2"), "rid"), "asked")
-        sets = self.docs.mapInArrow(_sets(Bloom(asked, "doc")), "doc long, s1 long, s2 long, elements binary") \
-            .join(asked, ["doc", "s1", "s2"]).select("rid", "elements").dropDuplicates(["rid"])
+        asked = self.among(reps.select("rid", "doc", "s1", "s2", "low"), "rid", some, "rid", n)
+        if n > FEW:
+            asked = asked.join(some.select("rid").distinct(), "rid")
+        asked = self.write(asked, "asked")
+        sets = self.among(self.docs, "doc_id", asked, "doc", n).mapInArrow(_sets, "doc long, s1 long, s2 long, elements binary") \
+            .join(asked, ["doc", "s1", "s2"]).select("rid", "low", "elements").dropDuplicates(["rid"])
         full = some.join(sets, "rid").repartition("g", "part").sortWithinPartitions("g", "part", "rid")
         links = self.write(full.mapInArrow(_verify, "a long, b long"), "links")
         return None if links.isEmpty() else links
@@ -369,7 +404,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sets = every.filter("n_shingles > 0 and doc_id is not null")
     # Numbered as they are written, once: a set's number is its own, whatever doc_ids repeat.
     reps = run.write(sets.groupBy("n_shingles", "s1", "s2").agg(
-        F.min("doc_id").alias("doc"), F.first("sig").alias("sig"), F.first("low").alias("low"))
+        F.min("doc_id").alias("doc"), F.first("sig").alias("sig"), F.first("low").alias("low"), F.first("brief").alias("brief"))
         .withColumn("rid", F.monotonically_increasing_id()), "reps")
     places = run.write(sets.select("doc_id", "n_shingles", "s1", "s2").join(
         reps.select("n_shingles", "s1", "s2", "rid"), ["n_shingles", "s1", "s2"]).select("doc_id", "n_shingles", "rid"), "places")
@@ -402,7 +437,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         rows = run.write(rows, "placed")
         held = rows.groupBy("node", "comp").agg(F.count("*").alias("n")).groupBy("node").agg(
             F.sum("n").alias("m"), F.max(F.struct("n", "comp")).alias("top"))
-        live = run.write(held.filter("m > top.n").select(
+        # Nodes of two have been compared in their star.
+        live = run.write(held.filter("m > top.n and m > 2").select(
             "node", "m", F.col("top.comp").alias("major"),
             ((F.col("m") <= LEAF) | (F.col("m") - F.col("top.n") <= LEAF)).alias("small"),
             F.when(F.col("m") <= LEAF, 1).otherwise(F.ceil(F.col("top.n") / CHUNK)).cast("int").alias("_k")), "live")
@@ -418,7 +454,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         if depth == SHARED // FAN:
             comps = run.merge(comps, run.compare(_all_pairs(rows.select("node", "rid"), wide), reps, comps))
             break
-        wide = rows.join(wide.select("node"), "node", "left_semi").join(reps.select("rid", "sig"), "rid")
+        wide = run.write(rows.join(wide.select("node"), "node", "left_semi").select("node", "rid"), "wide")
+        wide = wide.join(run.among(reps.select("rid", "sig"), "rid", wide, "rid", wide.count()), "rid")
         level = run.members(wide.select(F.explode(_children(depth)).alias("node"), "rid"))
 
     found = places

@@ -741,3 +741,35 @@ def test_pipeline_on_an_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         out = stage(spark, docs, SF)
         assert out.count() == 0
+
+
+def test_paths_carry_few_bits(spark, monkeypatch):
+    """Neither low bytes nor whole sketches are dealt out with the members of nodes, and only
+    sets in question leave the table of all sets."""
+    rng = random.Random(23)
+    words = [f"w{i}" for i in range(4000)]
+    base = [rng.choices(words, k=120) for _ in range(60)]
+    rows = []
+    for i, x in enumerate(base):
+        y = list(x)
+        y[60] = "changed"
+        rows += [(2 * i, " ".join(x)), (2 * i + 1, " ".join(y))]
+    seen = []
+    write = chosenpath._Join.write
+
+    def noted(self, df, name):
+        seen.append((name, df.columns))
+        return write(self, df, name)
+    monkeypatch.setattr(chosenpath._Join, "write", noted)
+    got = {r["doc_id"]: r["component_id"] for r in chosenpath.near_duplicates(frame(spark, rows)).collect()}
+    assert got == {i: i - i % 2 for i in got}
+    held = [c for name, c in seen if name in ("groups", "promising")]
+    assert held and not any({"low", "sig"} & set(c) for c in held)
+    n, p = chosenpath.BRIEF, 0.75 + 0.25 / 4
+    assert sum(math.comb(n, k) * p ** k * (1 - p) ** (n - k) for k in range(chosenpath.ALIKE)) < 1e-8
+    bits = np.random.default_rng(1).integers(0, 2 ** 32, (2, chosenpath.COORDS), np.uint32)
+    bits[1, :150] = bits[0, :150]
+    a, b = chosenpath._brief(bits).view("<u8")
+    x = a ^ b
+    same = n - int(np.bitwise_count((x | x >> np.uint64(1)) & np.uint64(0x5555555555555555)).sum())
+    assert same == sum((bits[0, :n] >> 8 & 3) == (bits[1, :n] >> 8 & 3))
