@@ -67,6 +67,10 @@ TREES, SHARED, FAN = 16, 179, 4
 COORDS = TREES + SHARED
 LEAF, CHUNK, AGREE, FEW = 1024, 2000, 110, 100_000
 BRIEF, ALIKE = 192, 123
+#: Bits of an element that are compared before whole elements.
+CODE = 18
+#: A table has at most a file for so many documents, or FILES for each core.
+ROWS, FILES = 5000, 8
 SETS = "doc_id long, n_shingles long, s1 long, s2 long, sig array<int>, low binary, brief binary"
 
 _U = np.uint64
@@ -216,6 +220,15 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
     return WHOLE * same >= PART * (len(a) + len(b) - same)
 
 
+def _promising(codes: list[np.ndarray], n: np.ndarray, i: int, at: np.ndarray, mark: np.ndarray) -> np.ndarray:
+    """Those of the sets ``at`` (of ``n`` elements each) that may be linked to the i-th, all
+    at once.  Elements of equal codes (their high bits) count as equal, so this is never less than what the sets share."""
+    mark[codes[i]] = True
+    same = np.add.reduceat(mark[np.concatenate([codes[j] for j in at.tolist()])], np.cumsum(n) - n, dtype=np.int64)
+    mark[codes[i]] = False
+    return at[WHOLE * same >= PART * (len(codes[i]) + n - same)]
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links between different components, as few as join the group's."""
     out: list[tuple[int, int]] = []
@@ -223,13 +236,18 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def flush():
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["a", "b"])
 
+    mark = np.zeros(1 << CODE, bool)
     for t in _groups(batches):
         x = _Group(t)
         rid, focus = x.rid, x.focus
         comp = x.comp = x.comp.copy()
         sets = [np.frombuffer(e, _U) for e in t.column("elements").to_pylist()]
+        codes = [(s >> _U(64 - CODE)).astype(np.uint32) for s in sets]
         for i in np.flatnonzero(focus):
-            for j in x.near(i).tolist():
+            at = x.near(i)
+            if len(at):
+                at = _promising(codes, x.size[at], i, at, mark)
+            for j in at.tolist():
                 if comp[j] != comp[i] and linked(sets[i], sets[j]):
                     out.append((int(rid[i]), int(rid[j])))
                     comp[comp == comp[j]] = comp[i]
@@ -266,12 +284,24 @@ class _Join:
     def __init__(self, docs: DataFrame):
         self.spark: SparkSession = docs.sparkSession
         self.root = scratch_path(self.spark, "chosenpath")
-        self.docs, self.count = docs, 0
+        self.docs, self.count, self.files = docs, 0, None
+
+    def grown(self, rows: int) -> None:
+        """From now on tables get files in proportion to the documents, however many
+        partitions a shuffle has."""
+        self.files = max(rows // ROWS, FILES * self.spark.sparkContext.defaultParallelism)
+
+    def few(self, df: DataFrame) -> DataFrame:
+        return df.coalesce(self.files) if self.files else df
+
+    def together(self, df: DataFrame) -> DataFrame:
+        """Rows of equal (g, part) side by side, for ``_groups``."""
+        return self.few(df.repartition("g", "part")).sortWithinPartitions("g", "part", "rid")
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         self.count += 1
         path = f"{self.root}/{name}-{self.count}"
-        df.write.parquet(path)
+        self.few(df).write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def among(self, rows: DataFrame, key: str, ids: DataFrame, name: str, n: int) -> DataFrame:
@@ -290,15 +320,19 @@ class _Join:
         """Links (a, b) among the members of groups (g, part, rid, focus)."""
         groups = self.write(groups, "groups")
         size = F.col("n_shingles").alias("size")
-        rows = groups.join(self.among(reps.select("rid", size, "brief"), "rid", groups, "rid", groups.count()), "rid")
+        n = groups.count()
+        # Few rows (less than 4 MB each) go to the tables instead of a shuffle.
+        near = F.broadcast if n <= FEW // 8 else self.few
+        rows = self.among(reps.select("rid", size, "brief"), "rid", groups, "rid", n).join(near(groups), "rid")
         if comps is None:
             rows = rows.withColumn("comp", F.col("rid"))
         else:
+            if n <= FEW // 8:
+                comps = F.broadcast(self.among(comps, "rid", groups, "rid", n))
             rows = rows.join(comps, "rid", "left").withColumn("comp", F.coalesce("comp", "rid"))
         rows = rows.select("g", "part", "rid", "comp", "focus", "size", "brief")
         kind = "g long, part int, rid long, comp long, focus boolean, size long, brief binary"
-        some = self.write(rows.repartition("g", "part").sortWithinPartitions("g", "part", "rid")
-                          .mapInArrow(_estimate, kind).dropDuplicates(["g", "rid", "focus"]), "promising")
+        some = self.write(self.together(self.few(rows)).mapInArrow(_estimate, kind).dropDuplicates(["g", "rid", "focus"]), "promising")
         n = some.count()
         if not n:
             return None
@@ -307,9 +341,11 @@ class _Join:
             asked = asked.join(some.select("rid").distinct(), "rid")
         asked = self.write(asked, "asked")
         sets = self.among(self.docs, "doc_id", asked, "doc", n).mapInArrow(_sets, "doc long, s1 long, s2 long, elements binary") \
-            .join(asked, ["doc", "s1", "s2"]).select("rid", "low", "elements").dropDuplicates(["rid"])
-        full = some.join(sets, "rid").repartition("g", "part").sortWithinPartitions("g", "part", "rid")
-        links = self.write(full.mapInArrow(_verify, "a long, b long"), "links")
+            .dropDuplicates(["doc", "s1", "s2"])
+        near = F.broadcast if n <= FEW // 8 else self.few
+        sets = sets.join(near(asked), ["doc", "s1", "s2"]).select("rid", "low", "elements")
+        full = self.few(self.few(sets).join(near(some), "rid")).select(*some.columns, "low", "elements")
+        links = self.write(self.together(full).mapInArrow(_verify, "a long, b long"), "links")
         return None if links.isEmpty() else links
 
     def components(self, edges: DataFrame) -> DataFrame:
@@ -401,6 +437,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     run = _Join(plain.filter("doc_id is not null"))
     every = run.write(plain.mapInArrow(_sketch, SETS), "sketches")
+    run.grown(every.count())
     sets = every.filter("n_shingles > 0 and doc_id is not null")
     # Numbered as they are written, once: a set's number is its own, whatever doc_ids repeat.
     reps = run.write(sets.groupBy("n_shingles", "s1", "s2").agg(
@@ -422,7 +459,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             star = star.join(compared, ["g", "rid"], "left_anti")
         star = run.write(star, "pairs")
         compared = star if compared is None else compared.unionByName(star)
-        chunks = star.groupBy("g").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("_k"))
+        chunks = run.few(star.groupBy("g").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("_k")))
         star = star.join(chunks, "g").select("g", "rid", _chunk("rid", F.col("_k")).alias("part"))
         hubs = chunks.select("g", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)).alias("part"))
         groups = star.select("g", "part", "rid", F.lit(False).alias("focus")).unionByName(
@@ -435,7 +472,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         else:
             rows = rows.join(comps, "rid", "left").select("node", "rid", F.coalesce("comp", "rid").alias("comp"))
         rows = run.write(rows, "placed")
-        held = rows.groupBy("node", "comp").agg(F.count("*").alias("n")).groupBy("node").agg(
+        held = run.few(rows.groupBy("node", "comp").agg(F.count("*").alias("n"))).groupBy("node").agg(
             F.sum("n").alias("m"), F.max(F.struct("n", "comp")).alias("top"))
         # Nodes of two have been compared in their star.
         live = run.write(held.filter("m > top.n and m > 2").select(

@@ -773,3 +773,48 @@ def test_paths_carry_few_bits(spark, monkeypatch):
     x = a ^ b
     same = n - int(np.bitwise_count((x | x >> np.uint64(1)) & np.uint64(0x5555555555555555)).sum())
     assert same == sum((bits[0, :n] >> 8 & 3) == (bits[1, :n] >> 8 & 3))
+
+
+def test_exact_comparison_of_many_unlinked_sets(monkeypatch):
+    """Sets that share a little less than a link needs are told apart all at once; only
+    pairs of enough equal codes are compared element by element."""
+    rng = np.random.default_rng(3)
+    sets = []
+    for i in range(120):
+        shared = rng.integers(0, 2 ** 63, 150, np.uint64) if i % 60 == 0 else sets[i - i % 60][:150]
+        sets.append(np.concatenate([shared, rng.integers(0, 2 ** 63, 30, np.uint64)]))
+    sets += [np.concatenate([sets[0][:170], rng.integers(0, 2 ** 63, 10, np.uint64)]), sets[60][:150]]
+    sets = [np.sort(s) for s in sets]
+    n = len(sets)
+    table = pa.table({
+        "g": np.zeros(n, np.int64), "part": np.zeros(n, np.int32), "rid": np.arange(n), "comp": np.arange(n),
+        "focus": np.ones(n, bool), "size": np.array([len(s) for s in sets]),
+        "brief": [bytes(chosenpath.BRIEF // 4)] * n, "low": [bytes(chosenpath.COORDS)] * n,
+        "elements": [s.tobytes() for s in sets]})
+    exact, calls = chosenpath.linked, []
+    monkeypatch.setattr(chosenpath, "linked", lambda a, b: calls.append(1) or exact(a, b))
+    got = [row for b in chosenpath._verify(iter(table.to_batches())) for row in zip(*b.to_pydict().values())]
+    want = {(i, j) for i in range(n) for j in range(i + 1, n) if exact(sets[i], sets[j])}
+    assert want
+
+    def parts(edges):
+        name = list(range(n))
+        for a, b in edges:
+            old, new = max(name[a], name[b]), min(name[a], name[b])
+            name = [new if x == old else x for x in name]
+        return name
+    assert parts(got) == parts(want)
+    assert len(calls) < 400
+
+
+def test_few_files_however_many_partitions(spark, monkeypatch):
+    """A small table's files and the tasks that read it do not grow with a shuffle's partitions."""
+    monkeypatch.setattr(chosenpath, "FILES", 1)
+    run = chosenpath._Join(docs_of(spark))
+    run.grown(1000)
+    df = run.write(docs_of(spark).repartition(97, "doc_id").select("doc_id"), "some")
+    at = df.inputFiles()
+    assert len(at) <= max(1, spark.sparkContext.defaultParallelism)
+    assert df.count() == docs_of(spark).count()
+    run.grown(10 ** 9)
+    assert run.files == 10 ** 9 // chosenpath.ROWS
