@@ -104,8 +104,9 @@ def learn(h: np.ndarray, n: np.ndarray, off: np.ndarray, label: np.ndarray) -> M
     x = np.zeros((len(label), len(words)))
     x[doc[hit], at[hit]] = np.log1p(n[hit])
     if len(np.unique(label)) <= 2:
-        share_hot = (x[hot > 0] > 0).mean(0) > (x[hot == 0] > 0).mean(0)
-        hits = (x * share_hot).sum(1)
+        both = [np.bincount(at[hit], y[doc[hit]], len(words)) / y.sum() for y in (hot, 1 - hot)]
+        share_hot = both[0] > both[1]
+        hits = np.concatenate([(x[i:i + 256] * share_hot).sum(1) for i in range(0, len(x), 256)])
         cuts = np.quantile(hits[hot > 0], [1 / 3, 2 / 3])
         grade = np.where(hot > 0, 1 + np.searchsorted(cuts, hits, side="left"), 0).astype(int)
     else:
@@ -160,8 +161,11 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", sample: int =
         .select("label", "h", "n").toArrow().combine_chunks()
     h, n = (got.column(c).combine_chunks() for c in ("h", "n"))
     off = np.concatenate([[0], np.cumsum([len(x) for x in h])]).astype(np.int64)
-    return learn(h.flatten().to_numpy(), n.flatten().to_numpy().astype(float), off,
-                 got.column("label").to_numpy().astype(float))
+    model = learn(h.flatten().to_numpy(), n.flatten().to_numpy().astype(float), off,
+                  got.column("label").to_numpy().astype(float))
+    got = h = n = None
+    vec.give_back()
+    return model
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
