@@ -818,3 +818,20 @@ def test_few_files_however_many_partitions(spark, monkeypatch):
     assert df.count() == docs_of(spark).count()
     run.grown(10 ** 9)
     assert run.files == 10 ** 9 // chosenpath.ROWS
+
+
+def test_toxicity_learns_without_copies_of_the_sample(monkeypatch):
+    """The driver holds the sample's matrix once."""
+    monkeypatch.setattr(toxicity, "STEPS", 2)
+    rng, n = np.random.default_rng(4), 4000
+    label = (np.arange(n) % 4 == 0).astype(float)
+    rows = [np.sort(rng.choice(np.arange(400) + (0 if y else 400), 10, replace=False)) for y in label]
+    h, off = np.concatenate(rows), np.arange(n + 1) * 10
+    tracemalloc.start()
+    try:
+        model = toxicity.learn(h, np.ones(len(h)), off, label)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(model.words) == toxicity.WORDS
+    assert peak < 1.6 * 8 * n * toxicity.WORDS
