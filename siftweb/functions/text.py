@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftweb.functions.html import WS_CLASS, strip_ws
+from siftweb.functions.urls import _let
 
 # The 30 counted letters and the two reference letter
 # profiles (percent, A-Z then ß Ä Ö Ü).
@@ -84,43 +85,57 @@ def with_language_guess(df: DataFrame, text: str, out: str = "guess") -> DataFra
         .drop(*[f"_s{i:02d}" for i in range(len(LETTERS))])
 
 
-def squeeze_ws(c: Column) -> Column:
-    """Collapse whitespace runs to one space and cut both ends."""
-    return F.regexp_replace(F.regexp_replace(c, f"{WS_CLASS}+", " "), "^ | $", "")
+def squeeze_ws(stripped: Column) -> Column:
+    """Collapse the whitespace runs of a stripped text to one space (a run that
+    is one already matches nothing)."""
+    return F.regexp_replace(stripped, f" {WS_CLASS}+|(?! ){WS_CLASS}+", " ")
 
 
 def nice_lines(content: Column) -> Column:
     """Q18: squeeze whitespace in each line; a one-word line (after the
-    first) is appended to the previous line."""
-    empty = F.array().cast("array<string>")
+    first) is appended to the previous line.
+
+    Each line is stripped once, and a line's one-word followers are cut out
+    of the array together: linear in the lines."""
+    def opens(word: Column, i: Column) -> Column:
+        return (i == 0) | F.coalesce(word.contains(" "), F.lit(True))
 
-    def step(acc: Column, line: Column) -> Column:
-        word = strip_ws(line)
-        one_word = ~word.contains(" ") & (F.size(acc) > 0)
-        merged = F.concat(
-            F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))),
-            F.array(F.concat(F.element_at(acc, -1), F.lit(" "), word)))
-        return F.when(one_word, merged).otherwise(F.concat(acc, F.array(squeeze_ws(line))))
+    def grouped(words: Column) -> Column:
+        starts = F.array_compact(F.transform(words, lambda w, i: F.when(opens(w, i), i)))
+        parts = F.transform(words, lambda w, i: F.when(opens(w, i), squeeze_ws(w)).otherwise(w))
+        return _let(F.struct(starts.alias("starts"), parts.alias("parts")), lambda x: F.transform(
+            x["starts"], lambda start, j: line(x["parts"], start, F.coalesce(F.get(x["starts"], j + 1), F.size(x["parts"])))))
 
-    return F.aggregate(F.coalesce(content, empty), empty, step)
+    def line(parts: Column, start: Column, end: Column) -> Column:
+        whole = F.array_join(F.slice(parts, start + 1, end - start), " ")
+        return F.when(F.get(parts, start).isNotNull(), whole)      # a null line stays one
+
+    empty = F.array().cast("array<string>")
+    return _let(F.transform(F.coalesce(content, empty), strip_ws), grouped)
 
 
 def snippet(lines: Column, keywords: Column, delta: int = SNIPPET_DELTA) -> Column:
     """Q19/Q20: text around the first keyword found (in keyword order).
 
     ``delta`` characters either side, '...' in front when cut on the left.
-    No keyword in the text: the second line if any, else ''.
+    No keyword in the text: the second line if any, else ''.  Lines, text
+    and place are bound once, however often they are used.
     """
-    text = F.array_join(lines, " ")
-    low = F.lower(text)
-    positions = F.transform(keywords, lambda k: F.position(F.lower(k), low))
-    found = F.filter(positions, lambda pos: pos > 0)
-    first = F.element_at(found, 1)         # 1-based position
-    start0 = F.greatest(first - 1 - delta, F.lit(0))
-    end0 = F.least(F.length(text), first - 1 + delta)
-    cut = F.substring(text, start0 + 1, end0 - start0)
-    around = F.concat(F.when(start0 > 0, F.lit("...")).otherwise(F.lit("")), cut)
-    fallback = F.when(F.size(lines) > 1, F.element_at(lines, 2)).otherwise(F.lit(""))
-    return (F.when(F.length(text) == 0, F.lit(""))
-            .when(F.size(found) > 0, around)
-            .otherwise(fallback))
+    def around(text: Column, first: Column) -> Column:             # 1-based position
+        start0 = F.greatest(first - 1 - delta, F.lit(0))
+        end0 = F.least(F.length(text), first - 1 + delta)
+        cut = F.substring(text, start0 + 1, end0 - start0)
+        return F.concat(F.when(start0 > 0, F.lit("...")).otherwise(F.lit("")), cut)
+
+    def first_found(low: Column) -> Column:
+        positions = F.transform(keywords, lambda k: F.position(F.lower(k), low))
+        return F.get(F.filter(positions, lambda pos: pos > 0), F.lit(0))
+
+    def of(lines: Column, text: Column) -> Column:
+        fallback = F.when(F.size(lines) > 1, F.element_at(lines, 2)).otherwise(F.lit(""))
+        return _let(_let(F.lower(text), first_found), lambda first: (
+            F.when(F.length(text) == 0, F.lit(""))
+            .when(first.isNotNull(), around(text, first))
+            .otherwise(fallback)))
+
+    return _let(lines, lambda ls: _let(F.array_join(ls, " "), lambda text: of(ls, text)))
