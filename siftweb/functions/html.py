@@ -20,6 +20,8 @@ from html import entities as _entities
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from siftweb.functions.urls import _let
+
 # Named character references decoded in text, as
 # (entity, character).  ``&amp;`` must stay last so that ``&amp;lt;`` turns
 # into the literal text ``&lt;``.
@@ -64,17 +66,21 @@ WS_CLASS = (
     "[\\t\\n\\x0B\\f\\r\\x1C-\\x1F \\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}"
     "\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]"
 )
+#: The same characters as a string.
+WHITESPACE = ("\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B)))
+              + "\u2028\u2029\u202f\u205f\u3000")
 
 # A tag as the HTML tokenizer sees it: '<' followed by a letter, '/', '!'
 # or '?', up to the first '>' outside a quoted attribute value.  A bare '<'
 # followed by a space is text.  The outer loop is possessive ('*+'), so an
 # unclosed tag fails in linear time (no backtracking into the runs).
 TAG_RE = "<[!/?a-zA-Z](?:[^>\"']+|\"[^\"]*\"|'[^']*')*+>"
-_COMMENT = "<!--.*?(?:-->|\\z)"
-_STYLE = "<style(?=[\\s>/])[^>]*>.*?(?:</style\\s*>|\\z)"
-_SCRIPT = "<script(?=[\\s>/])[^>]*>(.*?)(?:</script\\s*>|\\z)"
-#: What carries no text; group 1 is the text of a script.
-DROPPED_RE = f"(?is){_SCRIPT}|{_STYLE}|{_COMMENT}"
+_COMMENT = "!--.*?(?:-->|\\z)"
+_STYLE = "style(?=[\\s>/])[^>]*>.*?(?:</style\\s*>|\\z)"
+_SCRIPT = "script(?=[\\s>/])[^>]*>(.*?)(?:</script\\s*>|\\z)"
+#: What carries no text; group 1 is the text of a script.  '<' stands in front
+#: once, so that most characters of a page are passed by one comparison.
+DROPPED_RE = f"(?is)<(?:{_SCRIPT}|{_STYLE}|{_COMMENT})"
 TITLE_RE = "(?is)<title(?=[\\s>/])[^>]*>(.*?)</title\\s*>"
 LANG_RE = "(?is)<[a-z][^\\s>]*\\s(?:[^>]*\\s)?lang\\s*=\\s*[\"']?([^\"'\\s>]*)"
 A_TAG_RE = "(?is)<a\\s(?:[^>\"']+|\"[^\"]*\"|'[^']*')*+>"
@@ -185,8 +191,8 @@ def decode_entities(c: Column) -> Column:
 
 
 def strip_ws(c: Column) -> Column:
-    """Cut Unicode whitespace at both ends (``trim`` cuts only spaces)."""
-    return F.regexp_replace(c, f"^{WS_CLASS}+|{WS_CLASS}+\\z", "")
+    """Cut Unicode whitespace at both ends (``trim`` alone cuts only spaces)."""
+    return F.btrim(c, F.lit(WHITESPACE))
 
 
 def clean_html(html: Column) -> Column:
@@ -217,10 +223,15 @@ def _attribute(tag: Column, name: str) -> Column:
     common named references only (a language code holds no others; this
     keeps the plan small)."""
     body = F.regexp_replace(tag, "^<[^\\s>/]*|/?>$", "")
-    pairs = F.filter(F.arrays_zip(F.regexp_extract_all(body, F.lit(ATTR_RE), 1).alias("n"),
-                                  F.regexp_extract_all(body, F.lit(ATTR_RE), 2).alias("v")),
-                     lambda a: F.lower(a["n"]) == name)
-    return F.when(F.size(pairs) > 0, decode_common_entities(_unquote(F.element_at(pairs, -1)["v"])))
+    return _let(_last_value(body, name), decode_common_entities)
+
+
+def _last_value(body: Column, name: str) -> Column:
+    """Last unquoted value of an attribute in the inside of a tag; null if it has none."""
+    pairs = _let(body, lambda b: F.filter(
+        F.arrays_zip(F.regexp_extract_all(b, F.lit(ATTR_RE), 1).alias("n"), F.regexp_extract_all(b, F.lit(ATTR_RE), 2).alias("v")),
+        lambda a: F.lower(a["n"]) == name))
+    return _let(F.try_element_at(pairs, F.lit(-1))["v"], _unquote)
 
 
 def language(clean: Column) -> Column:
@@ -229,7 +240,7 @@ def language(clean: Column) -> Column:
     tags = F.filter(F.regexp_extract_all(clean, F.lit(START_TAG_RE), 0),
                     lambda t: F.lower(t).contains("lang"))
     vals = F.filter(F.transform(tags, lambda t: _attribute(t, "lang")), lambda v: v.isNotNull())
-    return F.when(F.size(vals) > 0, F.element_at(vals, 1)).otherwise(F.lit(""))
+    return F.coalesce(F.get(vals, F.lit(0)), F.lit(""))
 
 
 def segments(clean: Column) -> Column:
@@ -243,7 +254,7 @@ def segments(clean: Column) -> Column:
         F.transform(parts, lambda s: strip_ws(decode_entities(s))),
         lambda s: s != "",
     )
-    return F.when(F.size(parts) == 0, F.array(F.lit(""))).otherwise(parts)
+    return _let(parts, lambda found: F.when(F.size(found) == 0, F.array(F.lit(""))).otherwise(found))
 
 
 # One attribute: name, then optionally '=' and a quoted or bare value.
@@ -268,11 +279,7 @@ def anchor_hrefs(clean: Column) -> Column:
 
     def href_of(t: Column) -> Column:
         body = F.substring(t, F.lit(3), F.length(t) - 3)          # inside "<a" ... ">"
-        names = F.regexp_extract_all(body, F.lit(ATTR_RE), 1)
-        values = F.regexp_extract_all(body, F.lit(ATTR_RE), 2)
-        pairs = F.filter(F.arrays_zip(names.alias("n"), values.alias("v")),
-                         lambda a: F.lower(a["n"]) == "href")
-        return F.when(F.size(pairs) > 0, decode_entities(_unquote(F.element_at(pairs, -1)["v"])))
+        return _let(_last_value(body, "href"), decode_entities)
 
     return F.filter(F.transform(tags, href_of), lambda h: h.isNotNull())
 

@@ -87,8 +87,8 @@ def with_language_guess(df: DataFrame, text: str, out: str = "guess") -> DataFra
 
 def squeeze_ws(stripped: Column) -> Column:
     """Collapse the whitespace runs of a stripped text to one space (a run that
-    is one already matches nothing)."""
-    return F.regexp_replace(stripped, f" {WS_CLASS}+|(?! ){WS_CLASS}+", " ")
+    is one already matches nothing, other ASCII is passed by one comparison)."""
+    return F.regexp_replace(stripped, f"(?![!-~])(?: {WS_CLASS}+|(?! ){WS_CLASS}+)", " ")
 
 
 def nice_lines(content: Column) -> Column:

@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from siftweb.functions import html as H
+from siftweb.functions.urls import LinkConstraint
 from siftweb.operators import nodes as N
 
 PAGE = (
@@ -96,3 +97,26 @@ def test_scripts_styles_and_comments_in_order(spark):
         row = df.select(H.segments(H.clean_html(F.col("html"))).alias("s"), H.script_hrefs(F.col("html")).alias("j")).first()
         assert (row.s, row.j) == (texts, links), body
         assert N.parse_pages(df).first().content == texts
+
+
+def test_parts_of_a_page_are_worked_out_once(spark):
+    """Each pattern stands once in its expression, however often its result is used."""
+    df = spark.createDataFrame([("<p lang=en>",)], "c string")
+
+    def named(col, word):
+        return df.select(col.alias("x"))._jdf.queryExecution().analyzed().toString().split("LogicalRDD")[0].count(word)
+    c = F.col("c")
+    assert named(H.segments(c), "split(c#") == 1
+    assert named(H.language(c), "regexp_extract_all(c#") == 1
+    assert named(H.language(c), "regexp_extract_all(") == 3            # the tags, their names, their values
+    assert named(H.anchor_hrefs(c), "regexp_extract_all(c#") == 1
+    assert named(H.anchor_hrefs(c), "regexp_extract_all(") == 3 + 2    # two of the references, for values with '&'
+    accepted = LinkConstraint().accepts(c)
+    assert named(accepted, "regexp") == 0                              # no rule looks at the parts
+
+
+def test_strip_cuts_all_whitespace_of_python(spark):
+    spaces = "".join(chr(i) for i in range(0x110000) if chr(i).isspace())
+    cases = [spaces, f"{spaces}a{spaces}b{spaces}", "", "x", " \U0001d4b3 ", "\u200bx\u200b", None]
+    rows = spark.createDataFrame(list(enumerate(cases)), "i int, s string").select("i", H.strip_ws(F.col("s")).alias("s")).collect()
+    assert {r.i: r.s for r in rows} == {i: c if c is None else c.strip() for i, c in enumerate(cases)}

@@ -1,6 +1,14 @@
 """Plan properties the design relies on, read from the physical plans."""
 
+import re
+
+from pyspark.sql import functions as F
+
 import __spark_entry__ as E
+from siftweb.operators import dedup as D
+from siftweb.operators import nodes as N
+from siftweb.operators import rank as R
+from siftweb.plans import catalog as C
 from tests.conftest import SF001
 
 
@@ -36,3 +44,22 @@ def test_search_is_top_k_with_snippets_after(spark):
 def test_batch_search_partial_top_k(spark):
     p = plan(E.queries()["q23_batch_search"](spark, SF001))
     assert "WindowGroupLimit" in p
+
+
+def test_store_deals_the_contents_once(spark, tmp_path):
+    """Neither the merge nor the ranks shuffle the contents a second time."""
+    C.page_nodes(spark, SF001).write.parquet(str(tmp_path / "pages"))
+    parsed = spark.read.parquet(str(tmp_path / "pages"))
+    ranks = parsed.select(F.col("url").alias("id"), F.lit(0.25).alias("rank")).limit(10)
+    nodes, _ = D.merge_duplicates(parsed)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = C.ranked_nodes(nodes, ranks)
+        steps = spark._jvm.PythonSQLUtils.explainString(got._jdf.queryExecution(), "formatted")
+        assert len(re.findall(r"\) Exchange\nInput \[\d+\]: \[[^\]]*\bcontent#", steps)) == 1
+        rows = {r.id: r for r in got.collect()}
+        want = {r.id: r for r in R.apply_importance(nodes, ranks, "url").select(*N.NODE_COLUMNS).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert rows == want and {r.importance for r in rows.values()} == {0.25, N.UNRANKED}
