@@ -211,7 +211,7 @@ def is_valid_html(clean: Column) -> Column:
 
 def title(clean: Column) -> Column:
     """Text of the first <title>, entities decoded, '' if none."""
-    return decode_entities(F.regexp_extract(clean, TITLE_RE, 1))
+    return _let(F.regexp_extract(clean, TITLE_RE, 1), decode_entities)
 
 
 START_TAG_RE = "<[a-zA-Z](?:[^>\"']+|\"[^\"]*\"|'[^']*')*+>"

@@ -8,6 +8,7 @@ import __spark_entry__ as E
 from siftweb.operators import dedup as D
 from siftweb.operators import nodes as N
 from siftweb.operators import rank as R
+from siftweb.operators import search as S
 from siftweb.plans import catalog as C
 from tests.conftest import SF001
 
@@ -63,3 +64,16 @@ def test_store_deals_the_contents_once(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert rows == want and {r.importance for r in rows.values()} == {0.25, N.UNRANKED}
+
+
+def test_postings_have_no_step_for_each_token(spark):
+    """Sets of tokens are unfolded as they are: no lambda, no second weeding out of equal ones."""
+    nodes = spark.createDataFrame([(1, ["b B é É", "a b"], "b"), (2, None, None), (3, ["x"], "X y X")], "id long, content array<string>, title string")
+    got = S.postings(nodes)
+    p = plan(got)
+    assert "lambda" not in p and "array_distinct" not in p
+    both, only = S.IN_FILTER | S.IN_CONTENT, S.IN_CONTENT
+    assert sorted((r.token, r.bits) for r in got.filter("id = 1").collect()) == sorted(
+        [("b", both), ("é", both), ("É<=_|_=>a", S.IN_FILTER), ("a", only), ("b", S.IN_FILTER | S.IN_TITLE)])
+    assert sorted((r.token, r.bits) for r in got.filter("id = 3").collect()) == sorted(
+        [("x", both), ("x", S.IN_FILTER | S.IN_TITLE), ("y", S.IN_FILTER | S.IN_TITLE)]) and got.filter("id = 2").isEmpty()
